@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.functions.numeric import dbl
-from tallycart.plans import customers, kpis, places, products, returns, sequences, stock, views
+from tallycart.plans import customers, kpis, pipeline, places, products, returns, sequences, stock, views
 from tallycart.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,24 @@ on_star("r5_stock_mismatches", views.r5)
 on_star("g1_revenue_in_range", views.g1, first=dt.date(2000, 11, 1), last=dt.date(2000, 12, 31))
 on_star("g2_revenue_of_category", views.g2, category="ECONOMY")
 on_star("g3_revenue_by_store_since", views.g3, since=LAUNCH_CUT)
+
+for name, plan in {
+    "s1_csv_extracts": pipeline.s1,
+    "s2_csv_corrupt_rows": pipeline.s2,
+    "s3_csv_unquoted": pipeline.s3,
+    "s4_csv_folder": pipeline.s4,
+    "s5_idempotent_load": pipeline.s5,
+    "s6_csv_sink": pipeline.s6,
+    "c1_clean_customers": pipeline.c1,
+    "c2_clean_products": pipeline.c2,
+    "c3_clean_sales": pipeline.c3,
+    "c4_clean_inventory": pipeline.c4,
+    "c5_clean_returns": pipeline.c5,
+    "c6_derive_stores": pipeline.c6,
+    "c7_derive_warehouses": pipeline.c7,
+    "c8_refresh_ltv": pipeline.c8,
+    "c10_rules_before_cleaning": pipeline.c10,
+    "c10_rules_after_cleaning": pipeline.c10_clean,
+    "c11_sanity": pipeline.c11,
+}.items():
+    on_star(name, plan)

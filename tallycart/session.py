@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", name: str = "tallycart") -> SparkSession:
@@ -37,10 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def checkpointed(df):
-    """Reliable checkpoint in the shared folder: cuts lineage and survives executor loss."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several later steps read, and read it back: computed once, lineage ends at the files."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
