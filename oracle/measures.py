@@ -1,3 +1,199 @@
-"""Oracle SQL."""
+"""Oracle SQL of the date tables and the measure library."""
+
+from __future__ import annotations
+
+from oracle.base import d, div, i, r, star
 
 SQL: dict[str, str] = {}
+
+SQL["k1_dim_date"] = star(
+    """SELECT day AS date, year(day) AS year, month(day) AS month_number, monthname(day) AS month_name,
+    left(monthname(day), 3) AS month_short, 'Q' || quarter(day) AS quarter, strftime(day, '%Y-%m') AS year_month,
+    dayname(day) AS day_of_week, isodow(day) > 5 AS is_weekend, year(day) AS fiscal_year,
+    (SELECT count(*) FROM fact_sales WHERE order_date = day) AS orders
+    FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', (SELECT min(order_date) FROM fact_sales)) AS DATE),
+      make_date(year((SELECT max(order_date) FROM fact_sales)), 12, 31), INTERVAL 1 DAY)) AS DATE) AS day)"""
+)
+TARGETS = """SELECT CAST(m AS DATE) AS month, CAST(900000 + 10000 * month(m) AS DOUBLE) AS target
+  FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS m)"""
+
+PAID = "return_status IN ('Approved', 'Refunded')"
+DAYS = """SELECT order_date, sum(sales_amount) AS revenue, sum(profit) AS profit, count(*) AS orders FROM fact_sales GROUP BY ALL"""
+MONTHS = """SELECT CAST(s.m AS DATE) AS month, sum(revenue) AS revenue, sum(profit) AS profit, sum(orders) AS orders,
+  nullif(count(order_date), 0) AS days_sold
+  FROM (SELECT unnest(generate_series((SELECT date_trunc('month', min(order_date)) FROM days),
+    (SELECT date_trunc('month', max(order_date)) FROM days), INTERVAL 1 MONTH)) AS m) s
+  LEFT JOIN days ON date_trunc('month', order_date) = s.m GROUP BY ALL"""
+TIMES = {"days": DAYS, "months": MONTHS}
+
+
+def based(keys: str, group: str = "") -> str:
+    """All base measures for a grouping of sales lines joined to their dimensions."""
+    by = f"{keys}, " if keys else ""
+    tail = f"GROUP BY {group}" if group else ""
+    p, v, n, c, f = "sum(profit)", "sum(sales_amount)", "count(*)", "count(DISTINCT customer_id)", "sum(refunds)"
+    return star(
+        f"""SELECT {by}{d(v)} AS total_revenue, {d(p)} AS total_profit, {n} AS total_orders,
+        {i('sum(quantity)')} AS total_units_sold, {c} AS distinct_customers, {r(div(v, n))} AS average_order_value,
+        {r(div('sum(discount)', n), 4)} AS average_discount, {d(f)} AS total_refunds, {r(div(p, v), 4)} AS gross_margin,
+        {d(f'{p} - coalesce({f}, 0)')} AS net_profit, {r(div(f'({p} - coalesce({f}, 0))', v), 4)} AS net_margin,
+        {r(div(p, c))} AS profit_per_customer, {r(div(p, n))} AS profit_per_order FROM wide {tail}""",
+        wide=f"""SELECT fact_sales.*, category, region, segment, CAST(date_trunc('month', order_date) AS DATE) AS month, refunds
+          FROM fact_sales JOIN dim_products USING (product_id) JOIN dim_stores USING (store_id)
+          JOIN dim_customers USING (customer_id) LEFT JOIN
+          (SELECT order_id, sum(refund_amount) AS refunds FROM fact_returns WHERE {PAID} GROUP BY ALL) USING (order_id)""",
+    )
+
+
+SQL["d_base_margin"] = based("month", "month")
+SQL["d_base_total"] = based("")
+SQL["d_base_region_category"] = based("region, category", "region, category")
+SQL["d_base_segment_channel"] = based("segment, sales_channel", "segment, sales_channel")
+
+
+def back(column: str, n: int) -> str:
+    return f"lag({column}, {n}) OVER (ORDER BY month)"
+
+
+def last(column: str, n: int, what: str = "sum") -> str:
+    return f"{what}({column}) OVER (ORDER BY month ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+def grow(column: str, n: int) -> str:
+    return r(div(f"({column} - {back(column, n)})", back(column, n)), 4)
+
+
+YTD = "SELECT *, sum(revenue) OVER (PARTITION BY year(month) ORDER BY month) AS ytd FROM months"
+SQL["d_time_intelligence"] = star(
+    f"""SELECT month, {d('sum(revenue) OVER (ORDER BY month)')} AS running_total_revenue, {d('ytd')} AS revenue_ytd,
+    {d("sum(revenue) OVER (PARTITION BY date_trunc('quarter', month) ORDER BY month)")} AS revenue_qtd,
+    {d('sum(profit) OVER (PARTITION BY year(month) ORDER BY month)')} AS profit_ytd,
+    {d(last('revenue', 12))} AS rolling_12_month_revenue, {d(last('revenue', 3))} AS rolling_3_month_revenue,
+    {d(back('revenue', 12))} AS prior_year_revenue, {d(back('ytd', 12))} AS prior_year_revenue_ytd FROM y""",
+    **TIMES,
+    y=YTD,
+)
+WEEK = "OVER (ORDER BY order_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)"
+SQL["d_daily"] = star(
+    f"""SELECT order_date, {d('revenue')} AS total_revenue,
+    {d("sum(revenue) OVER (PARTITION BY date_trunc('month', order_date) ORDER BY order_date)")} AS revenue_mtd,
+    {r(div(f'sum(revenue) {WEEK}', f'count(revenue) {WEEK}'))} AS revenue_7_day_moving_avg FROM every""",
+    days=DAYS,
+    every="""SELECT CAST(s.t AS DATE) AS order_date, revenue FROM (SELECT unnest(generate_series(
+      (SELECT min(order_date) FROM days), (SELECT max(order_date) FROM days), INTERVAL 1 DAY)) AS t) s
+      LEFT JOIN days ON days.order_date = s.t""",
+)
+SQL["d_moving_avg"] = star(
+    f"""SELECT month, {d('revenue')} AS total_revenue,
+    {r(div(last('revenue', 3), last('days_sold', 3)))} AS revenue_3_month_moving_avg,
+    {r(div(last('orders', 3), last('days_sold', 3)))} AS orders_3_month_moving_avg,
+    {r(div(last('revenue', 3), last('revenue', 3, 'count')))} AS monthly_3_month_moving_avg FROM months""",
+    **TIMES,
+)
+SQL["d_growth"] = star(
+    f"""SELECT month, {d('revenue')} AS total_revenue, {d(back('revenue', 1))} AS revenue_prior_month,
+    {grow('revenue', 1)} AS mom_growth, {d(back('revenue', 3))} AS revenue_prior_quarter, {grow('revenue', 3)} AS qoq_growth,
+    {grow('revenue', 12)} AS yoy_growth, {grow('ytd', 12)} AS yoy_growth_ytd, {grow('profit', 12)} AS profit_yoy_growth
+    FROM y""",
+    **TIMES,
+    y=YTD,
+)
+SQL["d_growth_quarter"] = star(
+    f"""SELECT quarter, {d('q')} AS total_revenue, {d('lag(q) OVER (ORDER BY quarter)')} AS revenue_prior_quarter,
+    {r(div('(q - lag(q) OVER (ORDER BY quarter))', 'lag(q) OVER (ORDER BY quarter)'), 4)} AS qoq_growth
+    FROM (SELECT CAST(date_trunc('quarter', order_date) AS DATE) AS quarter, sum(revenue) AS q FROM days GROUP BY ALL)""",
+    days=DAYS,
+)
+
+
+def ranks(dim: str, key: str, name: str, more: str = "") -> str:
+    place = "dense_rank() OVER (ORDER BY v DESC)"
+    return star(
+        f"""SELECT {key}, {d('v')} AS total_revenue, {place} AS {name}{more.replace('PLACE', place)} FROM
+        (SELECT {key}, coalesce(v, 0) AS v FROM {dim}
+         LEFT JOIN (SELECT {key}, sum(sales_amount) AS v FROM fact_sales GROUP BY ALL) USING ({key}))"""
+    )
+
+
+SQL["d_rank_product"] = ranks(
+    "dim_products", "product_id", "product_revenue_rank",
+    ", CASE WHEN PLACE <= 10 THEN 'Top 10' ELSE 'Other' END AS is_top_10_product",
+)
+SQL["d_rank_customer"] = ranks("dim_customers", "customer_id", "customer_ltv_rank")
+SQL["d_rank_store"] = ranks("dim_stores", "store_id", "store_revenue_rank")
+SQL["d_rank_category"] = star(
+    f"""SELECT category, {d('p')} AS total_profit, dense_rank() OVER (ORDER BY p DESC) AS category_profit_rank
+    FROM (SELECT category, coalesce(sum(profit), 0) AS p FROM dim_products LEFT JOIN fact_sales USING (product_id) GROUP BY ALL)"""
+)
+SQL["d_kpi_switch"] = star(
+    f"""SELECT month, 'Revenue' AS kpi_name, {d('v')} AS kpi_value FROM k UNION ALL SELECT month, 'Profit', {d('p')} FROM k
+    UNION ALL SELECT month, 'Orders', {d('n')} FROM k UNION ALL SELECT month, 'Margin %', {r(div('p', 'v'), 4)} FROM k
+    UNION ALL SELECT month, 'AOV', {r(div('v', 'n'))} FROM k""",
+    k="""SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, sum(sales_amount) AS v, sum(profit) AS p, count(*) AS n
+      FROM fact_sales GROUP BY ALL""",
+)
+SQL["d_kpi_selected"] = star(
+    f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, {r(div('sum(profit)', 'sum(sales_amount)'), 4)}
+    AS selected_kpi_value FROM fact_sales GROUP BY month"""
+)
+SQL["d_flags"] = star(
+    f"""SELECT month, CASE WHEN margin >= 0.2 THEN 'Healthy' WHEN margin >= 0.1 THEN 'Watch' ELSE 'At Risk' END AS margin_health_flag,
+    CASE WHEN mom > 0.02 THEN '▲' WHEN mom < -0.02 THEN '▼' ELSE '▬' END AS growth_trend_icon,
+    CASE WHEN {d('revenue')} >= usual THEN 'Above Trend' ELSE 'Below Trend' END AS above_or_below_trailing_average
+    FROM (SELECT month, revenue, {div('profit', 'revenue')} AS margin,
+      {div(f"(revenue - {back('revenue', 1)})", back('revenue', 1))} AS mom,
+      {div(last('revenue', 3), last('days_sold', 3))} AS usual FROM months)""",
+    **TIMES,
+)
+SQL["d_variance"] = star(
+    f"""SELECT month, target AS target_revenue, {r('gap')} AS revenue_variance_vs_target,
+    {r('gap / target', 4)} AS revenue_variance_pct_vs_target,
+    CASE WHEN gap / target >= 0 THEN 'On/Above Target' WHEN gap / target >= -0.05 THEN 'Slightly Below' ELSE 'Materially Below' END
+      AS variance_status
+    FROM (SELECT t.month, target, coalesce({d('revenue')}, 0) - target AS gap FROM targets t LEFT JOIN months USING (month))""",
+    **TIMES,
+    targets=TARGETS,
+)
+# recursive three-month mean after the last training month
+MA = {
+    "seen": "SELECT revenue, row_number() OVER (ORDER BY month DESC) AS b FROM months WHERE month <= DATE '2000-07-01'",
+    "ma": f"""SELECT 0 AS k, CAST(0 AS DOUBLE) AS f, (SELECT {d('revenue')} FROM seen WHERE b = 3) AS x,
+        (SELECT {d('revenue')} FROM seen WHERE b = 2) AS y, (SELECT {d('revenue')} FROM seen WHERE b = 1) AS z
+      UNION ALL SELECT k + 1, (x + y + z) / 3, y, z, (x + y + z) / 3 FROM ma WHERE k < 12""",
+    "forecast": """SELECT CAST(DATE '2000-07-01' + to_months(k) AS DATE) AS month, f FROM ma WHERE k > 0""",
+}
+SQL["d_forecast_compare"] = star(
+    f"""SELECT month, {r('f')} AS forecasted_revenue, {r('f * 0.9')} AS forecast_lower_bound,
+    {r('f * 1.1')} AS forecast_upper_bound, {r('a - f')} AS actual_vs_forecast_variance,
+    {r('(a - f) / f', 4)} AS actual_vs_forecast_variance_pct,
+    CASE WHEN a >= f * 0.9 AND a <= f * 1.1 THEN 'Within Range' ELSE 'Outside Range' END AS is_actuals_within_forecast_ci
+    FROM (SELECT forecast.month, f, {d('revenue')} AS a FROM forecast JOIN months USING (month))""",
+    **TIMES,
+    **MA,
+)
+SQL["d_customer_returns"] = star(
+    f"""SELECT month, {r(div('count(*) FILTER (n > 1)', 'count(*)'), 4)} AS repeat_purchase_rate,
+    (SELECT {r(div('sum(lifetime_value)', 'count(*)'))} FROM dim_customers) AS average_customer_lifetime_value,
+    {r(div('nullif(sum(back), 0)', 'sum(n)'), 4)} AS return_rate, {r(div('sum(refunds)', 'sum(v)'), 4)} AS refund_cost_ratio
+    FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, customer_id, count(*) AS n, sum(sales_amount) AS v,
+            count(return_id) AS back, sum(refund_amount) FILTER ({PAID}) AS refunds
+          FROM fact_sales LEFT JOIN fact_returns USING (order_id) GROUP BY ALL) GROUP BY month"""
+)
+SQL["d_inventory"] = star(
+    f"""SELECT category, {r(div('sum(sold_stock)', div('sum(f.closing_stock)', 'count(*)')))} AS turnover_ratio_closing,
+    {r(div('count(*) FILTER (f.closing_stock = 0)', 'count(*)'), 4)} AS stockout_rate
+    FROM fact_inventory f JOIN dim_products USING (product_id) GROUP BY ALL"""
+)
+SQL["d_dead_stock"] = star(
+    """SELECT product_id, CASE WHEN sum(closing_stock) > 0 AND sum(sold_stock) = 0 THEN 'Dead Stock' ELSE 'Active' END
+    AS dead_stock_flag FROM fact_inventory GROUP BY ALL"""
+)
+SQL["d_churn_by_year"] = star(
+    """SELECT year, count(*) FILTER (seen < make_date(year, 12, 31) - INTERVAL 180 DAY) AS churn_risk_customers,
+    count(*) AS distinct_customers
+    FROM (SELECT year(order_date) AS year, customer_id, max(order_date) AS seen FROM fact_sales GROUP BY ALL) GROUP BY ALL"""
+)
+SQL["d_refunds_by_return_month"] = star(
+    f"""SELECT CAST(date_trunc('month', return_date) AS DATE) AS month, {d('sum(refund_amount)')} AS refunds_by_return_date
+    FROM fact_returns WHERE {PAID} GROUP BY month"""
+)

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.functions.numeric import dbl
-from tallycart.plans import customers, kpis, pipeline, places, products, returns, sequences, stock, views
+from tallycart.plans import (
+    calendar, customers, forecasting, kpis, measures, pipeline, places, products, returns, sequences,
+    statistics, stock, views,
+)
 from tallycart.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +97,54 @@ for name, plan in {
     "c11_sanity": pipeline.c11,
 }.items():
     on_star(name, plan)
+
+FORECAST_FROM = dt.date(2000, 7, 1)  # last month the comparison forecast may see
+
+on_star("k1_dim_date", calendar.dated_orders)
+on_star("d_base_margin", measures.base, by=["month"])
+on_star("d_base_total", measures.base)
+on_star("d_base_region_category", measures.base, by=["region", "category"])
+on_star("d_base_segment_channel", measures.base, by=["segment", "sales_channel"])
+on_star("d_time_intelligence", measures.time_intelligence)
+on_star("d_daily", measures.daily_measures)
+on_star("d_moving_avg", measures.moving_averages)
+on_star("d_growth", measures.growth)
+on_star("d_growth_quarter", measures.quarter_growth)
+on_star("d_rank_product", measures.product_rank)
+on_star("d_rank_customer", measures.customer_rank)
+on_star("d_rank_store", measures.store_rank)
+on_star("d_rank_category", measures.category_rank)
+on_star("d_kpi_switch", measures.kpi_long)
+on_star("d_kpi_selected", measures.selected_kpi, kpi="Margin %")
+on_star("d_flags", measures.flags)
+on_star("d_variance", lambda wh: measures.variance(wh, calendar.sample_targets(wh.spark, FIRST_MONTH, LAST_MONTH)))
+on_star(
+    "d_forecast_compare",
+    lambda wh: measures.forecast_compare(wh, forecasting.moving_average_file(wh, FORECAST_FROM)),
+)
+on_star("d_customer_returns", measures.customer_measures)
+on_star("d_inventory", measures.inventory_measures)
+on_star("d_dead_stock", measures.dead_stock)
+on_star("d_churn_by_year", measures.churn_by_year)
+on_star("d_refunds_by_return_month", measures.refunds_by_return_month)
+
+
+def _total_and(plan: Callable[..., DataFrame], by: str) -> Callable[[Warehouse], DataFrame]:
+    """A per-series plan for the total series and one series per attribute value, complete months only."""
+    return lambda wh: plan(wh, last=LAST_FULL_MONTH).unionByName(plan(wh, by=[by], last=LAST_FULL_MONTH))
+
+
+on_star("m0_features", statistics.feature_profile)
+on_star("m1_correlations", statistics.correlations)
+on_star("m2_regression", statistics.regression)
+on_star("m3_channel_test", statistics.channel_test)
+on_star("m4_mean_interval", statistics.mean_interval)
+on_star("m5_segment_anova", statistics.segment_anova)
+on_star("m6_rfm_features", statistics.rfm_features)
+on_star("m6_cluster_profile", statistics.cluster_profile)
+on_star("m7_outliers", statistics.outliers)
+on_star("m7_outlier_summary", statistics.outlier_summary)
+on_star("m8_importance", statistics.importance)
+on_star("m9_trend", _total_and(statistics.trend, "category"))
+on_star("m10_decomposition", _total_and(statistics.decomposition, "category"))
+on_star("m10_seasonality", _total_and(statistics.seasonality, "category"))

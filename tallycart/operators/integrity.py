@@ -70,16 +70,17 @@ def _orphans(df: DataFrame, table: str, column: str, parent: DataFrame, parent_n
     )
 
 
-def rule_report(wh: Warehouse, tables: Iterable[str] = tuple(KEYS), parents: Warehouse | None = None) -> DataFrame:
+def rule_report(wh: Warehouse, tables: Iterable[str] = tuple(KEYS), parents: Warehouse | None = None, unique: bool = True) -> DataFrame:
     """One row per table and rule with the number of violating rows (0 when the rule holds).
 
-    ``parents`` holds the tables that foreign keys point to when ``wh`` is only a batch of new rows.
+    ``parents`` holds the tables that foreign keys point to when ``wh`` is only a batch of new rows; such a batch has
+    already been made unique, so ``unique`` can be left out.
     """
     parents = parents or wh
     report = None
     for table in tables:
         df = wh.table(table)
-        parts = [_row_rules(df, table), _unique(df, table)]
+        parts = [_row_rules(df, table), *([_unique(df, table)] if unique else [])]
         parts += [_orphans(df, table, c, parents.table(parent), parent) for c, parent in FOREIGN.get(table, [])]
         for part in parts:
             report = part if report is None else report.unionByName(part)
@@ -88,6 +89,6 @@ def rule_report(wh: Warehouse, tables: Iterable[str] = tuple(KEYS), parents: War
 
 def require_valid(wh: Warehouse, parents: Warehouse | None = None) -> None:
     """Strict mode: raise on any violation, as a load inside one transaction would abort. The report is short."""
-    broken = rule_report(wh, parents=parents).where(F.col("violations") > 0).collect()
+    broken = rule_report(wh, parents=parents, unique=parents is None).where(F.col("violations") > 0).collect()
     if broken:
         raise RuleViolation("; ".join(f"{r.table_name}.{r.rule}: {r.violations}" for r in broken))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEPS = 512  # rungs per factor of two
+SLICES = 64  # parts that the rows of one value are spread over
 TIE_BLOCK = 1 << 20  # ids per block when equal values must be told apart
 
 
@@ -96,9 +97,16 @@ def quantiles(df: DataFrame, value: str, points: Mapping[str, float]) -> DataFra
     )
 
 
-def ranked(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
-    """Every row with the ladder columns of its value."""
-    return df.join(ladder(df, value, descending), value)
+def ranked(df: DataFrame, key: str, value: str, descending: bool = True) -> DataFrame:
+    """Every row with the ladder columns of its value.
+
+    Rows meet their value's standing on (value, slice of the key), so a value shared by very many rows is served by
+    SLICES tasks instead of one.
+    """
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SLICES)))
+    groups = sliced.groupBy(value, "_slice").agg(F.count(F.lit(1)).alias("in_slice"))
+    standing = groups.select(value, "_slice").join(ladder(groups, value, descending, weight="in_slice"), value)
+    return sliced.join(standing, [value, "_slice"]).drop("_slice")
 
 
 def tile_of(position: Column, total: Column, tiles: int) -> Column:

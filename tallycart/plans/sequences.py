@@ -119,7 +119,7 @@ def q22(wh: Warehouse, limit: int = 50) -> DataFrame:
 def q23(wh: Warehouse) -> DataFrame:
     """Q23 cumulative revenue share per product; equal revenues share one value, as a RANGE frame gives."""
     return (
-        ranked(product_revenue(wh), "revenue")
+        ranked(product_revenue(wh), "product_id", "revenue")
         .select("product_id", dbl("revenue").alias("revenue"), pct("running", "value_total").alias("cumulative_pct"))
         .orderBy(F.desc("revenue"), "product_id")
     )
