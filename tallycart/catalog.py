@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycart.functions.numeric import dbl
 from tallycart.plans import (
-    calendar, customers, forecasting, kpis, measures, pipeline, places, products, returns, sequences,
+    calendar, customers, feeds, forecasting, insights, kpis, measures, pipeline, places, products, returns, sequences,
     statistics, stock, views,
 )
 from tallycart.sources.warehouse import Warehouse
@@ -148,3 +148,60 @@ on_star("m8_importance", statistics.importance)
 on_star("m9_trend", _total_and(statistics.trend, "category"))
 on_star("m10_decomposition", _total_and(statistics.decomposition, "category"))
 on_star("m10_seasonality", _total_and(statistics.seasonality, "category"))
+
+on_star("i1_sales_movement", insights.sales_movement, month=LAST_FULL_MONTH)
+on_star("i2_profitable_segment", insights.profitable_segment)
+on_star("i3_declining_region", insights.declining_region)
+on_star("i4_discontinue", insights.discontinue)
+on_star("i5_replenishment", insights.replenishment)
+on_star("i6_discount_damage", insights.discount_damage, **BANDS)
+on_star("i7_churn_list", insights.churn_list)
+on_star("i7_churn_rate", insights.churn_rate)
+on_star("i8_inventory_advice", insights.inventory_advice)
+on_star("i9_marketing", insights.marketing)
+on_star("i10_executive", insights.executive)
+
+on_star("b1_cards", feeds.executive_cards, month=LAST_FULL_MONTH)
+on_star("b1_trend", feeds.revenue_trend)
+QUERIES["b1_forecast"] = QUERIES["d_forecast_compare"]
+on_star("b1_category_share", products.q38)
+on_star("b1_growth_strip", feeds.growth_strip, month=LAST_FULL_MONTH)
+on_star(
+    "b2_region_target",
+    lambda wh: feeds.region_against_target(wh, calendar.sample_targets(wh.spark, FIRST_MONTH, LAST_MONTH)),
+)
+on_star("b2_country", feeds.revenue_by, attribute="country")
+on_star("b2_top_stores", feeds.top_stores, month=LAST_FULL_MONTH)
+on_star("b2_heatmap", feeds.heatmap)
+on_star("b2_channel_trend", feeds.channel_trend)
+on_star("b3_rfm_points", feeds.rfm_points, as_of=AS_OF)
+on_star("b3_tier_mix", feeds.tier_mix)
+on_star("b3_cards", feeds.customer_cards, as_of=AS_OF)
+on_star("b3_cohorts", customers.q28)
+on_star("b3_top_customers", customers.q35)
+on_star("b3_segments", feeds.revenue_by, attribute="segment")
+on_star("b4_cards", feeds.inventory_cards)
+on_star("b4_reorder", feeds.reorder_table)
+on_star("b4_stockouts", stock.q50)
+on_star("b4_abc_turnover", feeds.abc_turnover)
+on_star("b4_dead_stock", feeds.dead_stock_list)
+on_star("b5_cards", feeds.returns_cards)
+on_star("b5_refunds_by_reason", feeds.refunds_by_reason)
+on_star("b5_return_rates", returns.q56)
+on_star("b5_problem_products", returns.q57)
+on_star("b5_status_funnel", returns.q58)
+on_star("b5_days_to_return", feeds.days_to_return)
+on_star("b6_seasonal_index", _total_and(statistics.seasonal_index, "category"))
+SLICE = {
+    "region": ["ASIA", "EUROPE"], "category": ["ECONOMY"], "channel": ["Online"], "segment": ["Premium", "New"],
+    "first": dt.date(1998, 1, 15), "last": dt.date(2000, 6, 30),
+}
+on_star("b7_sliced_sales", lambda wh: measures.base(feeds.sliced(wh, **SLICE)))
+on_star("b7_sliced_inventory", lambda wh: stock.q50(feeds.sliced(wh, warehouse=[3, 7, 11], category=["ECONOMY"])))
+on_star(
+    "b7_sliced_returns",
+    lambda wh: returns.q58(feeds.sliced(wh, reason=["Late Delivery", "Changed Mind"], category=["ECONOMY"])),
+)
+on_star("b7_product_detail", feeds.detail, entity="product", key=17)
+on_star("b7_customer_detail", feeds.detail, entity="customer", key=101)
+on_star("b7_store_detail", feeds.detail, entity="store", key=9)
