@@ -1,3 +1,38 @@
-"""Oracle SQL."""
+"""Oracle SQL of the monthly panel, the moving average and its errors."""
+
+from __future__ import annotations
+
+from oracle.base import r, star
+from oracle.statistics import PANEL
 
 SQL: dict[str, str] = {}
+SQL["e0_series"] = star(f"SELECT series, month, {r('panel.revenue')} AS revenue FROM panel", **PANEL)
+
+
+def recursive(train: str) -> dict[str, str]:
+    """Mean of the last three values per series, fed back for twelve months."""
+    return {
+        **PANEL,
+        "train": train,
+        "tails": """SELECT series, max(month) AS final, list(revenue ORDER BY month DESC)[1:3] AS v FROM train GROUP BY series""",
+        "ma": """SELECT series, final, 0 AS k, CAST(NULL AS DOUBLE) AS f, v[3] AS x, v[2] AS y, v[1] AS z FROM tails
+          UNION ALL SELECT series, final, k + 1, (x + y + z) / 3, y, z, (x + y + z) / 3 FROM ma WHERE k < 12""",
+        "ahead": "SELECT series, CAST(final + to_months(k) AS DATE) AS month, f FROM ma WHERE k > 0",
+    }
+
+
+SQL["e2_moving_average"] = star(
+    f"SELECT series, month, {r('f')} AS forecast FROM ahead", **recursive("SELECT * FROM panel")
+)
+HELD = "SELECT * FROM panel WHERE month <= DATE '2000-07-01'"
+SQL["e1_metrics"] = star(
+    f"""SELECT series, {r('sqrt(avg(pow(revenue - f, 2)))')} AS rmse, {r('avg(abs(revenue - f))')} AS mae,
+    {r('100 * avg(abs((revenue - f) / revenue))', 4)} AS mape
+    FROM ahead JOIN panel USING (series, month) GROUP BY series""",
+    **recursive(HELD),
+)
+SQL["s10_forecast_csv"] = star(
+    f"""SELECT month AS "Month", {r('f')} AS "Forecasted_Revenue", {r('f * 0.9')} AS "Lower_95CI", {r('f * 1.1')} AS "Upper_95CI"
+    FROM ahead WHERE series = 'total'""",
+    **recursive(HELD),
+)

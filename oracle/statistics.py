@@ -21,7 +21,7 @@ SQL["m0_features"] = star(
 def t_tail(t: str, df: str) -> str:
     """Two-sided p: one minus twice the t density integrated from 0 to |t| by Simpson's rule."""
     n = 4000
-    return f"""greatest(0.0, 1 - 2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi()) * abs({t}) / {n} / 3 *
+    return f"""(CASE WHEN abs({t}) > 40 THEN 0 ELSE 1 END) * greatest(0.0, 1 - 2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi()) * abs({t}) / {n} / 3 *
       (SELECT sum(CASE WHEN g IN (0, {n}) THEN 1 WHEN g % 2 = 1 THEN 4 ELSE 2 END
          * pow(1 + pow(abs({t}) * g / {n}, 2) / {df}, -({df} + 1) / 2)) FROM range({n + 1}) s(g)))"""
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycart.functions.numeric import dbl
+from tallycart.functions.numeric import dbl, rnd
 from tallycart.plans import (
     calendar, customers, feeds, forecasting, insights, kpis, measures, pipeline, places, products, returns, sequences,
     statistics, stock, views,
@@ -205,3 +205,34 @@ on_star(
 on_star("b7_product_detail", feeds.detail, entity="product", key=17)
 on_star("b7_customer_detail", feeds.detail, entity="customer", key=101)
 on_star("b7_store_detail", feeds.detail, entity="store", key=9)
+
+
+def _panel(wh: Warehouse) -> DataFrame:
+    return forecasting.panel(wh, ["category"], LAST_FULL_MONTH)
+
+
+def _fits(model: str) -> Callable[[Warehouse], DataFrame]:
+    """R: forecasts of one model family for the panel; correctness is covered by tests/test_forecasting.py."""
+    return lambda wh: forecasting.model_forecasts(_panel(wh), models=[model])
+
+
+def _holdout_errors(wh: Warehouse) -> DataFrame:
+    train, test = forecasting.holdout(_panel(wh))
+    errors = forecasting.metrics(forecasting.moving_average(train).join(test, ["series", "month"]), "series")
+    return errors.select("series", rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), rnd("mape", 4).alias("mape"))
+
+
+on_star("e0_series", lambda wh: _panel(wh).select("series", "month", rnd("revenue").alias("revenue")))
+on_star("e1_metrics", _holdout_errors)
+on_star(
+    "e2_moving_average",
+    lambda wh: forecasting.moving_average(_panel(wh)).select("series", "month", rnd("forecast").alias("forecast")),
+)
+on_star("e3_holt_winters", _fits("Exponential Smoothing"))
+on_star("e4_arima", _fits("ARIMA"))
+on_star("e5_sarima", _fits("SARIMA"))
+on_star("e6_trend_and_waves", _fits("Prophet"))
+on_star("e7_scorecard", lambda wh: forecasting.scorecard(_panel(wh)))
+on_star("e8_outlook", lambda wh: forecasting.outlook(_panel(wh)))
+on_star("s10_forecast_csv", pipeline.s10, last=FORECAST_FROM)
+on_star("b6_outlook", lambda wh: forecasting.outlook_with_history(_panel(wh)))

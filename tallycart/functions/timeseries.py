@@ -1,0 +1,173 @@
+"""Fits of one short monthly series in numpy. Spark decides which series a task gets; see ``plans.forecasting``.
+
+Each fit returns (forecast, lower, upper) for the months ahead, or None when the series is too short for the model.
+These are own estimators of the named model families: the same structure as the published models, not the same
+likelihood optimisers, so single numbers differ from those packages.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+SEASON = 12
+Z95 = 1.96  # fixed value: normal quantile of the published bands
+
+Fit = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.linalg.lstsq(x, y, rcond=None)[0]
+
+
+def _month_dummies(places: np.ndarray) -> np.ndarray:
+    """Eleven contrasts: each month against the last one."""
+    return (places[:, None] == np.arange(SEASON - 1)).astype(float) - (places[:, None] == SEASON - 1)
+
+
+def holt_winters(y: np.ndarray, horizon: int) -> Fit | None:
+    """Additive level, trend and season of 12; smoothing weights by least one-step squared error.
+
+    Starting states come from a regression on time and month over the first three years. The weights are searched on
+    a grid that narrows around the best point; all grid points run through the recursion at once.
+    """
+    n = len(y)
+    if n < 2 * SEASON:
+        return None
+    head = min(n, 3 * SEASON)
+    t = np.arange(head, dtype=float)
+    start = _least_squares(np.column_stack([np.ones(head), t, _month_dummies(np.arange(head) % SEASON)]), y[:head])
+    season = np.append(start[2:], -start[2:].sum())
+
+    def run(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        alpha, beta, gamma = weights.T
+        level = np.full(len(weights), start[0] - start[1])
+        slope = np.full(len(weights), start[1])
+        cycle = np.tile(season, (len(weights), 1))
+        errors = np.empty((len(weights), n))
+        for k in range(n):
+            s = cycle[:, k % SEASON]
+            e = y[k] - (level + slope + s)
+            errors[:, k] = e
+            level, slope = level + slope + alpha * e, slope + alpha * beta * e
+            cycle[:, k % SEASON] = s + gamma * (1 - alpha) * e
+        return errors, level, slope, cycle
+
+    centre, width = np.array([0.5, 0.5, 0.5]), 0.5
+    for _ in range(5):
+        axis = np.linspace(-width, width, 7)
+        grid = np.stack(np.meshgrid(axis, axis, axis, indexing="ij"), -1).reshape(-1, 3) + centre
+        grid = np.unique(np.clip(grid, 0.0, 0.999), axis=0)
+        errors = run(grid)[0]
+        centre = grid[np.argmin((errors**2).sum(axis=1))]
+        width /= 3.0
+    errors, level, slope, cycle = run(centre[None, :])
+    ahead = np.arange(1, horizon + 1)
+    forecast = level[0] + slope[0] * ahead + cycle[0][(n + ahead - 1) % SEASON]
+    reach = Z95 * errors[0].std()
+    return forecast, forecast - reach, forecast + reach
+
+
+def _lagged(series: np.ndarray, lags: tuple[int, ...], first: int) -> np.ndarray:
+    return np.column_stack([series[first - lag : len(series) - lag] for lag in lags])
+
+
+def _shrunk(ar: np.ndarray, lags: tuple[int, ...]) -> np.ndarray:
+    """Pull an explosive autoregression back inside the unit circle."""
+    for _ in range(60):
+        poly = np.zeros(max(lags) + 1)
+        poly[0] = 1.0
+        poly[list(lags)] = -ar
+        if np.abs(np.roots(poly)).max(initial=0.0) < 0.99:
+            break
+        ar = ar * 0.95
+    return ar
+
+
+def _regressed_arma(w: np.ndarray, lags: tuple[int, ...], horizon: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Two-stage regression (Hannan and Rissanen): a long autoregression gives the shocks, then w is regressed on its
+    own lags and lagged shocks. Returns the path ahead and the weight of each shock times its deviation."""
+    longest = max(lags)
+    screen = tuple(range(1, max(4, min(8, len(w) // 8)))) + tuple(lag for lag in lags if lag >= SEASON)
+    screen = tuple(sorted(set(screen)))
+    first = max(screen)
+    if len(w) - first - longest < 2 * len(lags) + 8:
+        return None
+    x = _lagged(w, screen, first)
+    shocks = np.zeros(len(w))
+    shocks[first:] = w[first:] - x @ _least_squares(x, w[first:])
+    begin = first + longest
+    x = np.hstack([_lagged(w, lags, begin), _lagged(shocks, lags, begin)])
+    weights = _least_squares(x, w[begin:])
+    ar, ma = _shrunk(weights[: len(lags)], lags), np.clip(weights[len(lags) :], -0.95, 0.95)
+    history, noise = list(w), list(shocks)
+    for k in range(begin, len(w)):
+        past = sum(a * w[k - g] + m * noise[k - g] for a, m, g in zip(ar, ma, lags))
+        noise[k] = w[k] - past
+    deviation = float(np.std(noise[begin:]))
+    for _ in range(horizon):
+        history.append(sum(a * history[-g] + m * noise[-g] for a, m, g in zip(ar, ma, lags)))
+        noise.append(0.0)
+    psi = np.zeros(horizon)
+    for j in range(horizon):
+        psi[j] = 1.0 if j == 0 else sum(a * psi[j - g] for a, g in zip(ar, lags) if g <= j)
+        if j in lags:
+            psi[j] += ma[lags.index(j)]
+    return np.array(history[len(w) :]), psi * deviation
+
+
+def arima(y: np.ndarray, horizon: int) -> Fit | None:
+    """Order (2, 1, 2) on first differences."""
+    found = _regressed_arma(np.diff(y), (1, 2), horizon) if len(y) > 1 else None
+    if found is None:
+        return None
+    steps, psi = found
+    forecast = y[-1] + np.cumsum(steps)
+    reach = Z95 * np.sqrt(np.cumsum(np.cumsum(psi) ** 2))
+    return forecast, forecast - reach, forecast + reach
+
+
+def sarima(y: np.ndarray, horizon: int) -> Fit | None:
+    """Order (1, 1, 1)(1, 1, 1, 12): regular and seasonal differences, lags 1, 12 and 13."""
+    if len(y) <= SEASON + 1:
+        return None
+    found = _regressed_arma(np.diff(y[SEASON:] - y[:-SEASON]), (1, SEASON, SEASON + 1), horizon)
+    if found is None:
+        return None
+    steps, psi = found
+    path = list(y)
+    for step in steps:
+        path.append(path[-1] + path[-SEASON] - path[-SEASON - 1] + step)
+    response = np.zeros(horizon)  # of the undifferenced series to one shock
+    for j in range(horizon):
+        back = lambda k: response[j - k] if j >= k else 0.0
+        response[j] = psi[j] + back(1) + back(SEASON) - back(SEASON + 1)
+    forecast = np.array(path[len(y) :])
+    reach = Z95 * np.sqrt(np.cumsum(response**2))
+    return forecast, forecast - reach, forecast + reach
+
+
+def trend_and_waves(y: np.ndarray, horizon: int, waves: int = 4) -> Fit | None:
+    """Multiplicative trend and yearly season: a line and Fourier terms on the log scale, residual interval."""
+    n = len(y)
+    if n < 2 * SEASON:
+        return None
+
+    def terms(t: np.ndarray) -> np.ndarray:
+        angle = 2.0 * np.pi * t[:, None] * np.arange(1, waves + 1) / SEASON
+        return np.column_stack([np.ones(len(t)), t / n, np.sin(angle), np.cos(angle)])
+
+    logs = np.log1p(np.maximum(y, 0.0))
+    now = terms(np.arange(n, dtype=float))
+    weights = _least_squares(now, logs)
+    deviation = float(np.sqrt(((logs - now @ weights) ** 2).sum() / max(n - now.shape[1], 1)))
+    middle = terms(np.arange(n, n + horizon, dtype=float)) @ weights
+    return np.expm1(middle), np.expm1(middle - Z95 * deviation), np.expm1(middle + Z95 * deviation)
+
+
+# Names of the models in scorecards.
+MODELS = {
+    "Exponential Smoothing": holt_winters,
+    "ARIMA": arima,
+    "SARIMA": sarima,
+    "Prophet": trend_and_waves,
+}

@@ -5,15 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycart.functions.dates import spine_between
+from tallycart.functions.numeric import rnd
+from tallycart.functions.timeseries import MODELS
 from tallycart.plans.measures import fact_keys, in_context
+from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
 
-SEASON = 12
-
 
 def monthly_series(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
     """(series, month, revenue) with every month between a series' first and last sale; missing months are 0.
@@ -74,3 +76,129 @@ def moving_average_file(wh: Warehouse, last: dt.date, horizon: int = 12) -> Data
         (F.col("forecast") * 0.9).alias("Lower_95CI"),
         (F.col("forecast") * 1.1).alias("Upper_95CI"),
     )
+
+
+MOVING_AVERAGE = "Moving Average"  # fixed value: its name in scorecards
+FORECAST_SCHEMA = "series string, model string, month date, forecast double, lower double, upper double"
+
+
+def _ahead(months: pd.Series, horizon: int) -> list[dt.date]:
+    last = max(months)
+    spots = [last.year * 12 + last.month - 1 + k for k in range(1, horizon + 1)]
+    return [dt.date(spot // 12, spot % 12 + 1, 1) for spot in spots]
+
+
+def model_forecasts(series: DataFrame, horizon: int = 12, models: Sequence[str] = tuple(MODELS)) -> DataFrame:
+    """Forecasts of the named models, one task per group of series.
+
+    A series is as long as the calendar, so no group can grow with the data; more data means more series. With a
+    ``model`` column in ``series`` each series is fitted with that model only.
+    """
+    names = tuple(models)
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("month")
+        wanted = (rows["model"].iloc[0],) if "model" in rows.columns else names
+        months = _ahead(rows["month"], horizon)
+        values = rows["revenue"].to_numpy(dtype=float)
+        parts = []
+        for name in wanted:
+            found = MODELS[name](values, horizon)
+            if found is not None:
+                forecast, lower, upper = found
+                parts.append(
+                    pd.DataFrame(
+                        {"series": rows["series"].iloc[0], "model": name, "month": months,
+                         "forecast": forecast, "lower": lower, "upper": upper}
+                    )
+                )
+        columns = ["series", "model", "month", "forecast", "lower", "upper"]
+        return pd.concat(parts) if parts else pd.DataFrame(columns=columns)
+
+    return series.groupBy("series").applyInPandas(fit, FORECAST_SCHEMA)
+
+
+def holdout(series: DataFrame, months: int = 12) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of every series: the last ``months`` are held out in time order."""
+    back = F.row_number().over(Window.partitionBy("series").orderBy(F.desc("month")))
+    marked = series.withColumn("back", back)
+    return (
+        marked.where(F.col("back") > months).drop("back"),
+        marked.where(F.col("back") <= months).drop("back"),
+    )
+
+
+def metrics(pairs: DataFrame, *by: str) -> DataFrame:
+    """RMSE, MAE and MAPE of (revenue, forecast) per group; MAPE is NULL when an actual value is 0."""
+    miss = F.col("revenue") - F.col("forecast")
+    share = F.abs(F.try_divide(miss, "revenue"))
+    undefined = F.max(F.when(F.col("revenue") == 0, 1).otherwise(0)) == 1
+    return pairs.groupBy(*by).agg(
+        F.sqrt(F.avg(miss * miss)).alias("rmse"),
+        F.avg(F.abs(miss)).alias("mae"),
+        F.when(~undefined, F.avg(share) * 100).alias("mape"),
+    )
+
+
+def all_forecasts(train: DataFrame, horizon: int = 12) -> DataFrame:
+    """Every model's forecast of every series; the moving average has no interval of its own."""
+    simple = moving_average(train, horizon).select(
+        "series", F.lit(MOVING_AVERAGE).alias("model"), "month", "forecast",
+        F.col("forecast").alias("lower"), F.col("forecast").alias("upper"),
+    )
+    return model_forecasts(train, horizon).unionByName(simple)
+
+
+def scorecard(series: DataFrame, months: int = 12) -> DataFrame:
+    """Errors of every model on the held-out months, the one with least MAPE marked per series."""
+    train, test = holdout(series, months)
+    scores = metrics(all_forecasts(train, months).join(test, ["series", "month"]), "series", "model")
+    place = F.row_number().over(Window.partitionBy("series").orderBy(F.asc_nulls_last("mape"), "model"))
+    return scores.select(
+        "series", "model", rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), rnd("mape", 4).alias("mape"),
+        (place == 1).alias("chosen"),
+    )
+
+
+def outlook(series: DataFrame, horizon: int = 12, months: int = 12) -> DataFrame:
+    """The chosen model of each series refitted on its whole history, ``horizon`` months ahead with bounds."""
+    kept = staged(series, "series")
+    best = staged(scorecard(kept, months).where("chosen").select("series", "model"), "chosen")
+    simple = kept.join(best.where(F.col("model") == MOVING_AVERAGE).select("series"), "series", "left_semi")
+    fitted = kept.join(best.where(F.col("model") != MOVING_AVERAGE), "series")
+    flat = moving_average(simple, horizon).select(
+        "series", F.lit(MOVING_AVERAGE).alias("model"), "month", "forecast",
+        F.col("forecast").alias("lower"), F.col("forecast").alias("upper"),
+    )
+    return (
+        model_forecasts(fitted, horizon)
+        .unionByName(flat)
+        .select("series", "model", "month", *[rnd(c).alias(c) for c in ("forecast", "lower", "upper")])
+    )
+
+
+def panel(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+    """The total series and one series per value of the given attribute."""
+    total = monthly_series(wh, last=last)
+    return total.unionByName(monthly_series(wh, by, last)) if by else total
+
+
+def forecast_file(rows: DataFrame, series: str = "total") -> DataFrame:
+    """A series' outlook in the columns of the stored forecast file."""
+    return rows.where(F.col("series") == series).select(
+        F.col("month").alias("Month"), F.col("forecast").alias("Forecasted_Revenue"),
+        F.col("lower").alias("Lower_95CI"), F.col("upper").alias("Upper_95CI"),
+    )
+
+
+def outlook_with_history(series: DataFrame, horizon: int = 12) -> DataFrame:
+    """B6 line and band: history first, then the forecast with its bounds."""
+    nothing = F.lit(None).cast("double")
+    past = series.select(
+        "series", "month", rnd("revenue").alias("total_revenue"), nothing.alias("forecast"),
+        nothing.alias("lower"), nothing.alias("upper"),
+    )
+    ahead = outlook(series, horizon).select(
+        "series", "month", nothing.alias("total_revenue"), "forecast", "lower", "upper"
+    )
+    return past.unionByName(ahead)

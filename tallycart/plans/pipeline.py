@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycart.functions.numeric import big, dbl
+from tallycart.functions.numeric import big, dbl, rnd
 from tallycart.operators import cleaning
 from tallycart.operators.integrity import rule_report
+from tallycart.plans import forecasting
 from tallycart.plans.rollups import monthly
 from tallycart.session import scratch, staged
 from tallycart.sources import extracts, fixtures, loading
@@ -122,6 +123,14 @@ def s6(wh: Warehouse) -> DataFrame:
     return back.select("month", dbl("revenue").alias("revenue"))
 
 
+def s10(wh: Warehouse, last) -> DataFrame:
+    """S10 a forecast table written as the forecast file and imported again with its fixed types."""
+    table = forecasting.moving_average_file(wh, last)
+    numbers = ("Forecasted_Revenue", "Lower_95CI", "Upper_95CI")
+    path = extracts.write_csv(table.select("Month", *[rnd(c).alias(c) for c in numbers]), scratch(wh.spark, "forecast.csv"))
+    return extracts.read_extract(wh.spark, path, "forecast")
+
+
 def _doubles(df: DataFrame) -> DataFrame:
     """Decimals as double and small integers as bigint, for comparison with other engines."""
     out = []

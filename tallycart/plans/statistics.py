@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tallycart.functions.numeric import dbl, pct, ratio, rnd
 from tallycart.functions.tails import f_p_value, t_bound, t_p_value
 from tallycart.operators.ladder import quantiles
-from tallycart.plans.forecasting import SEASON, monthly_series
+from tallycart.functions.timeseries import SEASON
+from tallycart.plans.forecasting import monthly_series
 from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
 
