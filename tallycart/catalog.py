@@ -14,6 +14,7 @@ from tallycart.plans import (
     statistics, stock, views,
 )
 from tallycart.sources.warehouse import Warehouse
+from tallycart.streaming import checks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,3 +237,9 @@ on_star("e7_scorecard", lambda wh: forecasting.scorecard(_panel(wh)))
 on_star("e8_outlook", lambda wh: forecasting.outlook(_panel(wh)))
 on_star("s10_forecast_csv", pipeline.s10, last=FORECAST_FROM)
 on_star("b6_outlook", lambda wh: forecasting.outlook_with_history(_panel(wh)))
+
+on_star("x1_clean_orders", checks.x1)
+on_star("x2_stock_alerts", checks.x2)
+on_star("x3_customer_value", checks.x3)
+on_star("x4_daily_revenue", checks.x4)
+on_star("x5_sliding_revenue", checks.x5)
