@@ -127,12 +127,16 @@ def arima(y: np.ndarray, horizon: int) -> Fit | None:
 
 
 def sarima(y: np.ndarray, horizon: int) -> Fit | None:
-    """Order (1, 1, 1)(1, 1, 1, 12): regular and seasonal differences, lags 1, 12 and 13."""
-    if len(y) <= SEASON + 1:
+    """Order (1, 1, 1)(1, 1, 1, 12): regular and seasonal differences, lags 1, 12 and 13.
+
+    A history too short for the seasonal lags keeps lag 1 only, a still shorter one the differences alone.
+    """
+    if len(y) < 2 * SEASON:
         return None
-    found = _regressed_arma(np.diff(y[SEASON:] - y[:-SEASON]), (1, SEASON, SEASON + 1), horizon)
+    w = np.diff(y[SEASON:] - y[:-SEASON])
+    found = _regressed_arma(w, (1, SEASON, SEASON + 1), horizon) or _regressed_arma(w, (1,), horizon)
     if found is None:
-        return None
+        found = np.zeros(horizon), np.eye(1, horizon)[0] * float(np.std(w))
     steps, psi = found
     path = list(y)
     for step in steps:
