@@ -12,12 +12,13 @@ in one task and broadcast. Inside a rung an ordinary partitioned window finishes
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEPS = 512  # rungs per factor of two
-SLICES = 64  # parts that the rows of one value are spread over
+SLICES = 64  # parts that the rows of one value are spread over; a power of two
 TIE_BLOCK = 1 << 20  # ids per block when equal values must be told apart
 
 
@@ -78,12 +79,38 @@ def ladder(
 
 
 def quantiles(df: DataFrame, value: str, points: Mapping[str, float]) -> DataFrame:
-    """Exact linear-interpolated percentiles as a one-row frame; distributed, unlike a percentile aggregate."""
-    numbers = df.select(F.col(value).cast("double").alias("_v"))
-    steps = ladder(numbers, "_v")
+    """Exact linear-interpolated percentiles as a one-row frame; distributed, unlike a percentile aggregate.
+
+    Rows are first only counted per rung. The one or two rungs that hold each wanted position are then read again, so
+    only their values are ever shuffled.
+    """
+    numbers = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    numbers = numbers.withColumn("_rung", rung_of(F.col("_v"), False))
+    before = Window.orderBy("_rung").rowsBetween(Window.unboundedPreceding, -1)
+    spots = [(F.col("rows_total") - 1).cast("double") * F.lit(share) for share in points.values()]
+    edges = [edge for spot in spots for edge in (F.floor(spot), F.ceil(spot))]
+    holds = [(F.col("_n0") <= edge) & (edge < F.col("_n0") + F.col("rn")) for edge in edges]
+    wanted = (
+        numbers.groupBy("_rung")
+        .agg(F.count(F.lit(1)).alias("rn"))
+        .select(
+            "_rung",
+            "rn",
+            F.coalesce(F.sum("rn").over(before), F.lit(0)).alias("_n0"),
+            F.sum("rn").over(Window.partitionBy()).alias("rows_total"),
+        )
+        .where(reduce(lambda a, b: a | b, holds))
+        .select("_rung", "_n0", "rows_total")
+    )
+    upto = Window.partitionBy("_rung").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = (
+        numbers.join(F.broadcast(wanted), "_rung")
+        .groupBy("_rung", "_v", "_n0", "rows_total")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("ahead", F.col("_n0") + F.sum("n").over(upto) - F.col("n"))
+    )
     picks = []
-    for name, share in points.items():
-        spot = (F.col("rows_total") - 1).cast("double") * F.lit(share)
+    for name, spot in zip(points, spots):
         for end, edge in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             hit = (F.col("ahead") <= edge) & (edge < F.col("ahead") + F.col("n"))
             picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"{name}_{end}"))
@@ -103,10 +130,11 @@ def ranked(df: DataFrame, key: str, value: str, descending: bool = True) -> Data
     Rows meet their value's standing on (value, slice of the key), so a value shared by very many rows is served by
     SLICES tasks instead of one.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(SLICES)))
+    sliced = df.withColumn("_slice", F.xxhash64(key).bitwiseAND(SLICES - 1))
     groups = sliced.groupBy(value, "_slice").agg(F.count(F.lit(1)).alias("in_slice"))
-    standing = groups.select(value, "_slice").join(ladder(groups, value, descending, weight="in_slice"), value)
-    return sliced.join(standing, [value, "_slice"]).drop("_slice")
+    # the filter keeps in_slice alive in both uses of ``groups``, so that Spark computes and shuffles them once
+    standing = groups.where("in_slice > 0").join(ladder(groups, value, descending, weight="in_slice"), value)
+    return sliced.join(standing, [value, "_slice"]).drop("_slice", "in_slice")
 
 
 def tile_of(position: Column, total: Column, tiles: int) -> Column:

@@ -12,7 +12,7 @@ from tallycart.functions.dates import month_of
 from tallycart.functions.numeric import big, count_if, dbl, pct, ratio, rnd
 from tallycart.plans.customers import segment_profit
 from tallycart.plans.products import banded
-from tallycart.plans.rollups import per_customer, per_product
+from tallycart.plans.rollups import per_customer, per_product, totals
 from tallycart.sources.warehouse import Warehouse
 
 
@@ -21,13 +21,16 @@ def sales_movement(wh: Warehouse, month: dt.date | None = None) -> DataFrame:
 
     Categories that sold in only one of the months count with 0 in the other.
     """
-    chosen = (
-        wh.sales.agg(month_of(F.max("order_date")).alias("now"))
-        if month is None
-        else wh.spark.range(1).select(F.lit(month).alias("now"))
-    ).withColumn("before", F.add_months("now", -1))
-    per = per_product(wh, month_of("order_date").alias("month")).join(
-        F.broadcast(chosen), F.col("month").isin(F.col("now"), F.col("before"))
+    if month is None:  # one value decides which two month folders are read
+        latest = wh.sales.agg(F.max("order_date")).first()[0]
+        month = latest.replace(day=1)
+    before = (month - dt.timedelta(days=1)).replace(day=1)
+    sold = wh.sales_between(before, (month + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1))
+    per = (
+        totals(sold, "product_id", month_of("order_date").alias("month"))
+        .join(wh.products, "product_id")
+        .withColumn("now", F.lit(month))
+        .withColumn("before", F.lit(before))
     )
     zero = F.lit(0).cast("decimal(32,2)")
 

@@ -1,6 +1,6 @@
 """Statistical analyses M0-M10.
 
-Moments are summed exactly in decimals and turned into doubles at the end. Tests that involve a customer attribute
+Means and variances come from exact decimal sums; cross products are summed as doubles. Tests that involve a customer attribute
 first reduce the sales to sums per customer, so the fact table is never joined row by row.
 """
 
@@ -20,7 +20,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycart.functions.numeric import dbl, pct, ratio, rnd
+from tallycart.functions.numeric import count_if, dbl, pct, ratio, rnd
 from tallycart.functions.tails import f_p_value, t_bound, t_p_value
 from tallycart.operators.ladder import quantiles
 from tallycart.functions.timeseries import SEASON
@@ -58,10 +58,6 @@ SALE_VARIABLES = ("quantity", "discount", "sales_amount", "profit")
 PERSON_VARIABLES = ("income", "age")
 
 
-def _exact(name: str) -> Column:
-    return F.col(name).cast("decimal(14,3)")
-
-
 def product_sums(wh: Warehouse) -> DataFrame:
     """One row with n, the sum of every variable and the sum of every product of two, rows with a gap left out.
 
@@ -73,8 +69,8 @@ def product_sums(wh: Warehouse) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.sum(_exact(v)).alias(v) for v in SALE_VARIABLES],
-            *[F.sum(_exact(a) * _exact(b)).alias(f"{a}*{b}") for a, b in pairs],
+            *[F.sum(dbl(v)).alias(v) for v in SALE_VARIABLES],
+            *[F.sum(dbl(a) * dbl(b)).alias(f"{a}*{b}") for a, b in pairs],
         )
     )
     people = wh.customers.select("customer_id", *[dbl(v).alias(f"p_{v}") for v in PERSON_VARIABLES])
@@ -296,32 +292,35 @@ def _limits(wh: Warehouse) -> DataFrame:
     )
 
 
-def outliers(wh: Warehouse) -> DataFrame:
-    """M7: orders outside the IQR fences or more than three population standard deviations from the mean."""
+def _marked(wh: Warehouse) -> DataFrame:
     value = dbl("sales_amount")
-    marked = wh.sales.crossJoin(F.broadcast(_limits(wh))).select(
+    return wh.sales.crossJoin(F.broadcast(_limits(wh))).select(
         "order_id",
         value.alias("sales_amount"),
         ((value < F.col("low")) | (value > F.col("high"))).alias("iqr_outlier"),
         (F.abs(value - F.col("m")) > F.col("sd") * 3).alias("z_outlier"),
-    )
-    return marked.where(F.col("iqr_outlier") | F.col("z_outlier"))
+        "n", "low", "high", "m", "sd",
+    )
+
+
+def outliers(wh: Warehouse) -> DataFrame:
+    """M7: orders outside the IQR fences or more than three population standard deviations from the mean."""
+    columns = ("order_id", "sales_amount", "iqr_outlier", "z_outlier")
+    return _marked(wh).where(F.col("iqr_outlier") | F.col("z_outlier")).select(*columns)
 
 
 def outlier_summary(wh: Warehouse) -> DataFrame:
     """M7: fences, counts and shares of both rules."""
-    rows = outliers(wh).agg(
-        F.sum(F.col("iqr_outlier").cast("bigint")).alias("iqr"), F.sum(F.col("z_outlier").cast("bigint")).alias("z")
+    both = _marked(wh).agg(
+        count_if(F.col("iqr_outlier")).alias("iqr"),
+        count_if(F.col("z_outlier")).alias("z"),
+        *[F.max(c).alias(c) for c in ("n", "low", "high", "m", "sd")],
     )
-    both = _limits(wh).crossJoin(F.broadcast(rows))
     entry = F.array(
-        F.struct(
-            F.lit("iqr").alias("method"), F.col("low").alias("lower"), F.col("high").alias("upper"),
-            F.coalesce("iqr", F.lit(0)).alias("hits"),
-        ),
+        F.struct(F.lit("iqr").alias("method"), F.col("low").alias("lower"), F.col("high").alias("upper"), F.col("iqr").alias("hits")),
         F.struct(
             F.lit("z_score").alias("method"), (F.col("m") - F.col("sd") * 3).alias("lower"),
-            (F.col("m") + F.col("sd") * 3).alias("upper"), F.coalesce("z", F.lit(0)).alias("hits"),
+            (F.col("m") + F.col("sd") * 3).alias("upper"), F.col("z").alias("hits"),
         ),
     )
     return both.select("n", F.explode(entry).alias("e")).select(
