@@ -6,10 +6,12 @@ midnight. Every query keeps its state and progress below a checkpoint folder and
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tallycart.functions.numeric import dbl, ratio, rnd
 from tallycart.operators.cleaning import clipped
@@ -71,34 +73,39 @@ def windowed_revenue(sales: DataFrame, length: str, slide: str | None = None, de
     )
 
 
-def append_to(stream: DataFrame, folder: str, checkpoint: str) -> None:
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """The number of state partitions is fixed when a stateful query starts for the first time, and AQE cannot change
+    it later. By default one per core of the cluster."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def append_to(stream: DataFrame, folder: str, checkpoint: str, partitions: int | None = None) -> None:
     """Run over everything that has arrived and append final rows to Parquet; exactly once per input file."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").option("path", folder).outputMode("append")
+    _run(stream, writer, checkpoint, partitions)
 
 
-def upsert_to(stream: DataFrame, folder: str, checkpoint: str) -> None:
+def upsert_to(stream: DataFrame, folder: str, checkpoint: str, partitions: int | None = None) -> None:
     """X3 sink: each batch's changed customers go to a folder named after the batch. Rewriting the folder of a repeated
     batch makes the sink idempotent; ``latest`` reads the newest value per customer."""
 
     def store(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
-    query = (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(stream, stream.writeStream.foreachBatch(store).outputMode("update"), checkpoint, partitions)
+
+
+def _run(stream: DataFrame, writer: DataStreamWriter, checkpoint: str, partitions: int | None) -> None:
+    with state_partitions(stream.sparkSession, partitions):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
 
 
 def latest(spark: SparkSession, folder: str, key: str) -> DataFrame:
