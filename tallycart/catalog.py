@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycart.functions.numeric import dbl, rnd
 from tallycart.plans import (
-    calendar, customers, feeds, forecasting, insights, kpis, measures, pipeline, places, products, returns, sequences,
+    calendar, customers, extract_checks, feeds, forecasting, insights, kpis, measures, places, products, returns, sequences,
     statistics, stock, views,
 )
 from tallycart.sources.warehouse import Warehouse
@@ -79,23 +79,23 @@ on_star("g2_revenue_of_category", views.g2, category="ECONOMY")
 on_star("g3_revenue_by_store_since", views.g3, since=LAUNCH_CUT)
 
 for name, plan in {
-    "s1_csv_extracts": pipeline.s1,
-    "s2_csv_corrupt_rows": pipeline.s2,
-    "s3_csv_unquoted": pipeline.s3,
-    "s4_csv_folder": pipeline.s4,
-    "s5_idempotent_load": pipeline.s5,
-    "s6_csv_sink": pipeline.s6,
-    "c1_clean_customers": pipeline.c1,
-    "c2_clean_products": pipeline.c2,
-    "c3_clean_sales": pipeline.c3,
-    "c4_clean_inventory": pipeline.c4,
-    "c5_clean_returns": pipeline.c5,
-    "c6_derive_stores": pipeline.c6,
-    "c7_derive_warehouses": pipeline.c7,
-    "c8_refresh_ltv": pipeline.c8,
-    "c10_rules_before_cleaning": pipeline.c10,
-    "c10_rules_after_cleaning": pipeline.c10_clean,
-    "c11_sanity": pipeline.c11,
+    "s1_csv_extracts": extract_checks.s1,
+    "s2_csv_corrupt_rows": extract_checks.s2,
+    "s3_csv_unquoted": extract_checks.s3,
+    "s4_csv_folder": extract_checks.s4,
+    "s5_idempotent_load": extract_checks.s5,
+    "s6_csv_sink": extract_checks.s6,
+    "c1_clean_customers": extract_checks.c1,
+    "c2_clean_products": extract_checks.c2,
+    "c3_clean_sales": extract_checks.c3,
+    "c4_clean_inventory": extract_checks.c4,
+    "c5_clean_returns": extract_checks.c5,
+    "c6_derive_stores": extract_checks.c6,
+    "c7_derive_warehouses": extract_checks.c7,
+    "c8_refresh_ltv": extract_checks.c8,
+    "c10_rules_before_cleaning": extract_checks.c10,
+    "c10_rules_after_cleaning": extract_checks.c10_clean,
+    "c11_sanity": extract_checks.c11,
 }.items():
     on_star(name, plan)
 
@@ -235,7 +235,7 @@ on_star("e5_sarima", _fits("SARIMA"))
 on_star("e6_trend_and_waves", _fits("Prophet"))
 on_star("e7_scorecard", lambda wh: forecasting.scorecard(_panel(wh)))
 on_star("e8_outlook", lambda wh: forecasting.outlook(_panel(wh)))
-on_star("s10_forecast_csv", pipeline.s10, last=FORECAST_FROM)
+on_star("s10_forecast_csv", extract_checks.s10, last=FORECAST_FROM)
 on_star("b6_outlook", lambda wh: forecasting.outlook_with_history(_panel(wh)))
 
 on_star("x1_clean_orders", checks.x1)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 STEPS = 512  # rungs per factor of two
 SLICES = 64  # parts that the rows of one value are spread over; a power of two
 TIE_BLOCK = 1 << 20  # ids per block when equal values must be told apart
+TIE_TAIL = 5  # characters that text keys of one block may differ in
 
 
 def rung_of(value: Column, descending: bool) -> Column:
@@ -154,10 +155,16 @@ def tile_scores(
     """NTILE over the whole table for several columns at once: ``scores`` maps output -> (column, descending).
 
     Rows with equal values are told apart by ascending ``key``. ``block`` is any expression that grows with the key
-    and holds a bounded number of keys (default: TIE_BLOCK consecutive integers); it splits a value that very
-    many rows share. All scores travel in one long frame, so the input is read once.
+    and holds a bounded number of keys; it splits a value that very many rows share. By default it is TIE_BLOCK
+    consecutive integers, or for text keys all but the last TIE_TAIL characters of the longest key. All scores
+    travel in one long frame, so the input is read once.
     """
-    block = F.floor(F.col(key) / TIE_BLOCK) if block is None else block
+    if block is None and dict(df.dtypes)[key] == "string":
+        longest = df.agg(F.greatest(F.max(F.length(key)) - TIE_TAIL, F.lit(1)).alias("_head"))
+        df = df.crossJoin(F.broadcast(longest))
+        block = F.substring(F.col(key), F.lit(1), F.col("_head"))
+    elif block is None:
+        block = F.floor(F.col(key) / TIE_BLOCK)
     entries = [
         F.struct(
             F.lit(name).alias("score"),

@@ -125,9 +125,10 @@ def register_sql(wh: Warehouse, as_of: dt.date = AS_OF) -> None:
         "vw_inventory_health": v4(wh),
     }.items():
         frame.createOrReplaceTempView(name)
+    key = dict(wh.products.dtypes)["product_id"]
     wh.spark.sql(
-        """CREATE OR REPLACE TEMPORARY FUNCTION top_products_by_category(wanted STRING, top INT DEFAULT 10)
-        RETURNS TABLE (product_id BIGINT, product_name STRING, revenue DOUBLE)
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION top_products_by_category(wanted STRING, top INT DEFAULT 10)
+        RETURNS TABLE (product_id {key}, product_name STRING, revenue DOUBLE)
         RETURN SELECT product_id, product_name, CAST(held AS DOUBLE)
           FROM (SELECT p.product_id, p.product_name, t.held,
                        row_number() OVER (ORDER BY t.held DESC, p.product_id) AS place
