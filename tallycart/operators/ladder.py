@@ -159,12 +159,13 @@ def tile_scores(
     consecutive integers, or for text keys all but the last TIE_TAIL characters of the longest key. All scores
     travel in one long frame, so the input is read once.
     """
+    # a default block is never NULL: no filter can slip into one of the uses of ``long``, so they stay equal and run once
     if block is None and dict(df.dtypes)[key] == "string":
         longest = df.agg(F.greatest(F.max(F.length(key)) - TIE_TAIL, F.lit(1)).alias("_head"))
         df = df.crossJoin(F.broadcast(longest))
-        block = F.substring(F.col(key), F.lit(1), F.col("_head"))
+        block = F.coalesce(F.substring(F.col(key), F.lit(1), F.col("_head")), F.lit(""))
     elif block is None:
-        block = F.floor(F.col(key) / TIE_BLOCK)
+        block = F.coalesce(F.floor(F.col(key) / TIE_BLOCK), F.lit(0))
     entries = [
         F.struct(
             F.lit(name).alias("score"),

@@ -19,7 +19,8 @@ AS_OF = dt.date(2024, 12, 31)  # fixed value: the reporting date of the publishe
 
 def rfm_base(wh: Warehouse, as_of: dt.date | Column = AS_OF) -> DataFrame:
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return wh.sales.groupBy("customer_id").agg(
+    # the filter that a later join on the customer would add is stated here, so that all uses share one scan
+    return wh.sales.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.datediff(day, F.max("order_date")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum("sales_amount").alias("monetary"),
