@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallycart.llm.bpe import tokens
 from tallycart.llm.common import table
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
@@ -13,6 +15,8 @@ from tallycart.llm.repetition import repetition
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
@@ -24,6 +28,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_ids=False)
+
+
 @query
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
