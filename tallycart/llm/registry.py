@@ -11,6 +11,7 @@ from tallycart.llm.bpe import tokens
 from tallycart.llm.common import table
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
+from tallycart.llm.toxicity import toxic_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_ids=False)
