@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallycart.llm.bpe import tokens
 from tallycart.llm.common import table
+from tallycart.llm.html import main_text
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
@@ -42,3 +43,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
