@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tallycart.llm.bpe import tokens
 from tallycart.llm.common import table
 from tallycart.llm.html import main_text
+from tallycart.llm.mixing import drawn_copies
+from tallycart.llm.mixing import oracle as mixing_sql
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
@@ -40,6 +42,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_ids=False)
 
 
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drawn_copies(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_mixing"] = mixing_sql()
+
+
 @query
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
