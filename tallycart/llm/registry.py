@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallycart.llm.bpe import tokens
 from tallycart.llm.common import table
 from tallycart.llm.html import main_text
+from tallycart.llm.minhash import near_duplicates
 from tallycart.llm.mixing import drawn_copies
 from tallycart.llm.mixing import oracle as mixing_sql
 from tallycart.llm.pii import pii_spans
@@ -58,3 +59,8 @@ def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
