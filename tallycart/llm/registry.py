@@ -13,6 +13,7 @@ from tallycart.llm.html import main_text
 from tallycart.llm.minhash import near_duplicates
 from tallycart.llm.mixing import drawn_copies
 from tallycart.llm.mixing import oracle as mixing_sql
+from tallycart.llm.neighbours import nearest
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
@@ -64,3 +65,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
