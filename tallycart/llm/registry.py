@@ -17,6 +17,7 @@ from tallycart.llm.neighbours import nearest
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
+from tallycart.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,17 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, b, octet_length(b) AS n, max(page_id) OVER (PARTITION BY b) AS last FROM p)
+SELECT page_id, n::bigint AS payload_bytes, sha1(b) AS payload_digest,
+       CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM d"""
