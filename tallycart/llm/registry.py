@@ -14,6 +14,7 @@ from tallycart.llm.minhash import near_duplicates
 from tallycart.llm.mixing import drawn_copies
 from tallycart.llm.mixing import oracle as mixing_sql
 from tallycart.llm.neighbours import nearest
+from tallycart.llm.passages import removed_passages
 from tallycart.llm.pii import pii_spans
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
@@ -40,6 +41,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_ids=False)
