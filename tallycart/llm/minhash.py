@@ -246,3 +246,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("label", "doc_id"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
+    """The rows of the kept documents, one row for each id; all rows with a null id."""
+    found = staged(near_duplicates(docs, id_col, text_col, settings), "near-duplicates")
+    dropped = found.where("not kept").select(F.col("doc_id").alias(id_col))
+    kept = docs.join(dropped.distinct(), id_col, "left_anti").select(*docs.columns)
+    again = staged(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col)), "repeated")
+    if again.isEmpty():
+        return kept
+    return kept.join(again, id_col, "left_anti").unionByName(kept.join(again, id_col, "left_semi").dropDuplicates([id_col])).select(*docs.columns)

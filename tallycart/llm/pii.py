@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycart.llm.common import texts_of
+from tallycart.llm.common import beside, texts_of
 from tallycart.llm.semicrf import Lattice, best, fit
 
 KINDS = ("email", "ip", "card", "phone")
@@ -317,3 +317,33 @@ def masked(text: str, spans: str) -> str:
             out += [text[at:a], f"<{kind.upper()}>"]
         at = max(at, -b)
     return "".join(out) + text[at:]
+
+
+def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", settings: Settings | None = None) -> DataFrame:
+    """The rows with all spans of their texts replaced by the names of their kinds, and the length column, if it is
+    there, counted anew. Null texts stay null."""
+    settings = settings or Settings()
+    model = trained(sample_windows(docs, text_col, settings.windows), settings)
+
+    def fresh() -> Callable[[list[str]], list]:
+        def made(texts: list[str]) -> list:
+            out = []
+            for text in texts:
+                base = base_spans(text)
+                spans = [(k, a, b) for k in KINDS for a, b in base[k]] + model.added(text, base)
+                out.append(masked(text, listed(spans)))
+            return [pa.array(out, pa.string())]
+
+        return made
+
+    rows = beside(docs, text_col, "masked string", fresh)
+    new = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.col("masked"))
+    columns = []
+    for name, kind in docs.dtypes:
+        old = F.col(f"row.`{name}`")
+        if name == text_col:
+            old = new
+        elif name == length_col:
+            old = F.when(new.isNotNull(), F.char_length(new).cast(kind)).otherwise(old)
+        columns.append(old.alias(name))
+    return rows.select(*columns)

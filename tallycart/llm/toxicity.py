@@ -258,3 +258,8 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     scored = toxicity(slim, labels, settings=settings)
     return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """The rows that aren't predicted to be toxic."""
+    return toxicity(docs, labels, settings=settings).where("predicted = 0").select("row.*")
