@@ -68,6 +68,8 @@ SEEDS: tuple[tuple[str, tuple[tuple[str, str], ...]], ...] = (
     ("visa 4111/1111/1111/1111 was used", (("card", "4111/1111/1111/1111"),)),
     ("server 10 . 0 . 0 . 12 is down", (("ip", "10 . 0 . 0 . 12"),)),
     ("host 192,168,1,20 is down", (("ip", "192,168,1,20"),)),
+    ("reach +1 (212) 555-0134 4111111111111111 now", (("phone", "+1 (212) 555-0134"), ("card", "4111111111111111"))),
+    ("or +44 20 7946 0958 and 5500005555555559 too", (("phone", "+44 20 7946 0958"), ("card", "5500005555555559"))),
     ("version 4.0.1 of 2021-03-04 at 10:30", ()),
     ("isbn 978-3-16-148410-0 in print", ()),
     ("card 4111 1111 1111 1112 fails the check", ()),
