@@ -98,10 +98,8 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     first, found = first[found >= 0], found[found >= 0]
     order = np.argsort(found, kind="stable")
     first, found = first[order], found[order]
-    starts = np.flatnonzero(np.diff(found, prepend=-1))
-    index: dict[int, list[np.ndarray]] = {
-        int(found[a]): [first[a:b]] for a, b in zip(starts, np.append(starts[1:], len(found)), strict=True)
-    }
+    edges = [*np.flatnonzero(np.diff(found, prepend=-1)).tolist(), len(found)]
+    index: dict[int, list[np.ndarray]] = {int(found[a]): [first[a:b]] for a, b in zip(edges, edges[1:], strict=False)}
     heap = list(index)
     heapq.heapify(heap)
     few: dict[int, list[int]] = {}  # single positions, beside the arrays of the index
