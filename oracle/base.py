@@ -16,13 +16,13 @@ fact_sales0 AS (
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit Card' WHEN '2-HIGH' THEN 'Debit Card' WHEN '3-MEDIUM' THEN 'UPI'
       WHEN '4-NOT SPECIFIED' THEN 'Wallet' ELSE 'Cash on Delivery' END AS payment_method,
     CASE l_linestatus WHEN 'O' THEN 'Online' ELSE 'Offline' END AS sales_channel,
-    l_returnflag, l_linenumber
+    sale_region, l_returnflag, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE o_custkey % 50 <> 0
+  JOIN (SELECT r_name AS sale_region, row_number() OVER (ORDER BY r_name) - 1 AS turn FROM region) ON l_orderkey % 5 = turn
 ),
 fact_sales AS (
   SELECT order_id, order_date, customer_id, product_id, quantity, discount, sales_amount,
-    CAST(sales_amount - cost_price * quantity AS DECIMAL(12,2)) AS profit, store_id, payment_method, sales_channel
+    CAST(sales_amount - cost_price * quantity AS DECIMAL(12,2)) AS profit, store_id, payment_method, sales_channel, sale_region
   FROM fact_sales0
 ),
 dim_products AS (
@@ -94,7 +94,7 @@ fact_returns AS (
     CASE WHEN (product_id*7 + store_id) % 100 < 30 THEN 'Approved' WHEN (product_id*7 + store_id) % 100 < 38 THEN 'Rejected'
          WHEN (product_id*7 + store_id) % 100 < 50 THEN 'Pending' ELSE 'Refunded' END AS return_status,
     CAST(1 + (product_id + store_id + l_linenumber) % 30 AS INT) AS days_after_purchase
-  FROM fact_sales0 WHERE l_returnflag = 'R' AND product_id % 3 = 0
+  FROM fact_sales0 WHERE l_returnflag = 'R'
 )
 """
 

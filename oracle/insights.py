@@ -28,8 +28,7 @@ SQL["i3_declining_region"] = star(
     {pct('(v - before)', 'before')} AS yoy_change_pct
     FROM (SELECT *, lag(v) OVER (PARTITION BY region ORDER BY yr) AS before FROM y)
     WHERE yr = (SELECT max(yr) FROM y) AND v < before ORDER BY v - before, region LIMIT 1""",
-    y="""SELECT country AS region, year(order_date) AS yr, sum(sales_amount) AS v
-      FROM fact_sales JOIN dim_customers USING (customer_id) GROUP BY ALL""",
+    y="SELECT sale_region AS region, year(order_date) AS yr, sum(sales_amount) AS v FROM fact_sales GROUP BY ALL",
 )
 SQL["i4_discontinue"] = star(
     f"""SELECT product_id, product_name, category, n AS orders, {d('p')} AS profit

@@ -8,33 +8,35 @@ K = "CAST(split_part(order_id, '-', 1) AS BIGINT)"
 COPIES = "(SELECT unnest([1, 2]) AS copy)"
 RAW = {
     "raw_customers": f"""SELECT CAST(customer_id AS VARCHAR) AS cid,
-        CASE WHEN customer_id % 43 = 0 THEN -5 WHEN customer_id % 47 = 0 THEN 140 ELSE age END AS age, gender, city, state,
-        country, segment, income, signup_date, CASE WHEN customer_id % 29 = 0 THEN NULL ELSE lifetime_value END AS ltv,
-        loyalty_tier FROM dim_customers, {COPIES} WHERE copy = 1 OR customer_id % 101 = 0""",
-    "raw_products": f"""SELECT CAST(product_id AS VARCHAR) AS pid, category, subcategory, brand, product_name,
-        CASE WHEN product_id % 71 = 0 THEN -cost_price ELSE cost_price END AS cost,
-        CASE WHEN product_id % 73 = 0 THEN cost_price - 1 ELSE selling_price END AS price, supplier, launch_date
+        CASE WHEN customer_id % 43 = 0 THEN -5 WHEN customer_id % 47 = 0 THEN 140 ELSE age END AS age, gender,
+        CASE copy WHEN 1 THEN city ELSE ' copy' END AS city, state, country, segment, CASE copy WHEN 1 THEN income END AS income, signup_date, CASE WHEN customer_id % 29 = 0 THEN NULL ELSE lifetime_value END AS ltv,
+        loyalty_tier, copy FROM dim_customers, {COPIES} WHERE copy = 1 OR customer_id % 101 = 0""",
+    "raw_products": f"""SELECT CAST(product_id AS VARCHAR) AS pid, category, subcategory,
+        CASE copy WHEN 1 THEN brand ELSE ' copy' END AS brand, product_name, CASE WHEN product_id % 71 = 0 THEN -cost_price ELSE cost_price END AS cost,
+        CASE WHEN product_id % 73 = 0 THEN cost_price - 1 ELSE selling_price END AS price, supplier, launch_date, copy
         FROM dim_products, {COPIES} WHERE copy = 1 OR product_id % 101 = 0""",
     "raw_sales": f"""SELECT order_id, order_date,
         CAST(CASE WHEN {K} % 211 = 0 THEN customer_id + 10000000 ELSE customer_id END AS VARCHAR) AS cid,
         CAST(product_id AS VARCHAR) AS pid, CASE WHEN {K} % 89 = 0 THEN 0 ELSE quantity END AS quantity,
         CASE WHEN {K} % 97 = 0 THEN 1.5 ELSE discount END AS discount, sales_amount, profit,
-        CAST(store_id AS VARCHAR) AS store, country AS region, payment_method, sales_channel
-        FROM fact_sales JOIN dim_customers USING (customer_id), {COPIES} WHERE copy = 1 OR {K} % 101 = 0""",
+        CAST(store_id AS VARCHAR) AS store, CASE copy WHEN 1 THEN sale_region ELSE ' copy' END AS region,
+        CASE copy WHEN 1 THEN payment_method ELSE ' copy' END AS payment_method, sales_channel, copy FROM fact_sales, {COPIES} WHERE copy = 1 OR {K} % 101 = 0""",
     "raw_inventory": """SELECT CAST(product_id AS VARCHAR) AS pid, 'WH' || lpad(CAST(warehouse_id AS VARCHAR), 3, '0') AS wid,
         opening_stock, received_stock, sold_stock, damaged_stock,
         CASE WHEN product_id % 29 = 0 THEN -closing_stock - 1 ELSE closing_stock END AS closing_stock,
         reorder_level, lead_time_days, supplier_rating FROM fact_inventory""",
-    "raw_returns": f"""SELECT return_id, order_id, reason, refund_amount, return_date, return_status, days_after_purchase
+    "raw_returns": f"""SELECT return_id, order_id, CASE copy WHEN 1 THEN reason ELSE ' copy' END AS reason, refund_amount,
+        return_date, return_status, days_after_purchase, copy
         FROM fact_returns, {COPIES} WHERE copy = 1 OR days_after_purchase = 11
         UNION ALL SELECT 'BAD-' || return_id, 'NONE-' || order_id, reason, refund_amount, return_date, return_status,
-        days_after_purchase FROM fact_returns WHERE days_after_purchase = 7""",
+        days_after_purchase, 1 FROM fact_returns WHERE days_after_purchase = 7""",
 }
-OK_CUSTOMERS = """SELECT DISTINCT cid, least(greatest(age, 0), 110) AS age, gender, city, state, country, segment,
-  coalesce(CAST(income AS DOUBLE), (SELECT median(CAST(income AS DOUBLE)) FROM (SELECT DISTINCT * FROM raw_customers))) AS income,
-  signup_date, coalesce(ltv, 0) AS ltv, loyalty_tier FROM raw_customers"""
-OK_PRODUCTS = "SELECT DISTINCT * FROM raw_products WHERE cost > 0 AND price >= cost"
-OK_SALES = """SELECT DISTINCT * REPLACE (least(greatest(discount, 0), 1) AS discount) FROM raw_sales
+FIRST = "QUALIFY row_number() OVER (PARTITION BY {} ORDER BY copy) = 1"
+OK_CUSTOMERS = f"""SELECT cid, least(greatest(age, 0), 110) AS age, gender, city, state, country, segment,
+  coalesce(CAST(income AS DOUBLE), (SELECT median(CAST(income AS DOUBLE)) FROM (SELECT * FROM raw_customers {FIRST.format("cid")}))) AS income,
+  signup_date, coalesce(ltv, 0) AS ltv, loyalty_tier FROM raw_customers {FIRST.format("cid")}"""
+OK_PRODUCTS = f"SELECT * FROM (SELECT * FROM raw_products {FIRST.format('pid')}) WHERE cost > 0 AND price >= cost"
+OK_SALES = f"""SELECT * REPLACE (least(greatest(discount, 0), 1) AS discount) FROM (SELECT * FROM raw_sales {FIRST.format("order_id")})
   WHERE quantity > 0 AND cid IN (SELECT cid FROM raw_customers) AND pid IN (SELECT pid FROM ok_products)"""
 CLEAN = RAW | {"ok_customers": OK_CUSTOMERS, "ok_products": OK_PRODUCTS, "ok_sales": OK_SALES}
 
@@ -70,12 +72,14 @@ SQL["s2_csv_corrupt_rows"] = star(
     **RAW,
 )
 SQL["s3_csv_unquoted"] = star(
-    f"""SELECT category, count(*) AS rows_read, count(*) AS with_quote, {d('sum(price)')} AS price
+    f"""SELECT category, count(*) AS rows_read, count(*) AS with_quote,
+    {d('sum(price) FILTER (CAST(pid AS BIGINT) % 103 <> 0)')} AS price, count(*) FILTER (CAST(pid AS BIGINT) % 103 = 0) AS unreadable
     FROM raw_products GROUP BY category""",
     **RAW,
 )
 SQL["s4_csv_folder"] = star(
-    f"""SELECT year(order_date) AS folder_year, count(*) AS rows_read, {d('sum(sales_amount)')} AS amount
+    f"""SELECT year(order_date) AS folder_year, count(*) AS rows_read,
+    {d(f'sum(sales_amount) FILTER ({K} % 109 <> 0)')} AS amount, count(*) FILTER ({K} % 109 = 0) AS unreadable
     FROM raw_sales GROUP BY ALL""",
     **RAW,
 )
@@ -119,8 +123,9 @@ SQL["c4_clean_inventory"] = clean(
     FROM raw_inventory WHERE pid IN (SELECT pid FROM ok_products)"""
 )
 SQL["c5_clean_returns"] = clean(
-    f"""SELECT DISTINCT return_id, order_id, reason, {d('refund_amount')} AS refund_amount, return_date, return_status,
-    {i('days_after_purchase')} AS days_after_purchase FROM raw_returns WHERE order_id IN (SELECT order_id FROM ok_sales)"""
+    f"""SELECT return_id, order_id, reason, {d('refund_amount')} AS refund_amount, return_date, return_status,
+    {i('days_after_purchase')} AS days_after_purchase FROM (SELECT * FROM raw_returns {FIRST.format("return_id")})
+    WHERE order_id IN (SELECT order_id FROM ok_sales)"""
 )
 SQL["c6_derive_stores"] = clean(
     """SELECT store AS store_id, region FROM (SELECT store, region, count(*) AS n FROM ok_sales GROUP BY ALL)

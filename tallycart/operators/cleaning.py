@@ -1,7 +1,8 @@
 """Cleaning of the raw extracts (C1-C8), their sanity figures (C11) and the whole pipeline to a star schema.
 
-Columns keep the extracts' names until ``to_star``. Duplicate keys keep one row: the smallest by ``order`` and then by
-the remaining columns, because a distributed table has no file order to fall back on.
+Columns keep the extracts' names until ``to_star``. Of duplicate keys the first row stays: the one with the least
+``_arrival``, which the CSV reader adds (file, place in the file); any orderable column of that name will do. A frame
+without it has no order to fall back on and keeps the smallest row.
 """
 
 from __future__ import annotations
@@ -14,14 +15,21 @@ from pyspark.sql import functions as F
 from tallycart.functions.numeric import dbl, pct, ratio, rnd
 from tallycart.operators.ladder import quantiles
 from tallycart.session import staged
+from tallycart.sources.extracts import ARRIVAL
 from tallycart.sources.warehouse import with_tiers
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key as an aggregate: copies of a hot key collapse where they are read."""
+def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row per key as an aggregate: copies of a hot key collapse where they are read."""
+    order = [c for c in df.columns if c == ARRIVAL]
     rest = [*order, *[c for c in df.columns if c not in keys and c not in order]]
     kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return kept.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns if c != ARRIVAL])
+
+
+def plain(df: DataFrame) -> list[str]:
+    """Columns without the reader's arrival order."""
+    return [c for c in df.columns if c != ARRIVAL]
 
 
 def clipped(name: str, low: Column | int | None = None, high: Column | int | None = None) -> Column:
@@ -61,7 +69,7 @@ def clean_sales(df: DataFrame, customers: DataFrame, products: DataFrame) -> Dat
         .join(customers.select("CustomerID"), "CustomerID", "left_semi")
         .join(products.select("ProductID"), "ProductID", "left_semi")
     )
-    return _cast_like(kept, "Discount", clipped("Discount", 0, 1)).select(*df.columns)
+    return _cast_like(kept, "Discount", clipped("Discount", 0, 1)).select(*plain(df))
 
 
 STOCKS = ("OpeningStock", "ReceivedStock", "SoldStock", "DamagedStock", "ClosingStock")
@@ -72,12 +80,12 @@ def clean_inventory(df: DataFrame, products: DataFrame) -> DataFrame:
     out = df.join(products.select("ProductID"), "ProductID", "left_semi")
     for name in STOCKS:
         out = _cast_like(out, name, clipped(name, 0))
-    return out.select(*df.columns)
+    return out.select(*plain(df))
 
 
 def clean_returns(df: DataFrame, sales: DataFrame) -> DataFrame:
     """One row per return of a surviving order."""
-    return first_per_key(df, ["ReturnID"]).join(sales.select("OrderID"), "OrderID", "left_semi").select(*df.columns)
+    return first_per_key(df, ["ReturnID"]).join(sales.select("OrderID"), "OrderID", "left_semi").select(*plain(df))
 
 
 def derive_stores(sales: DataFrame) -> DataFrame:
@@ -106,7 +114,7 @@ def refresh_ltv(customers: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 # Extract column -> star column where they differ by more than case style.
-RENAMED = {"Store": "store_id", "Warehouse": "warehouse_id"}
+RENAMED = {"Store": "store_id", "Warehouse": "warehouse_id", "Region": "sale_region"}
 
 
 def _snake(name: str) -> str:
@@ -122,8 +130,8 @@ def to_star(raw: Mapping[str, DataFrame], stores: DataFrame, warehouses: DataFra
         "inventory": "fact_inventory", "returns": "fact_returns",
     }
     for entity, table in targets.items():
-        df = raw[entity].drop("Region")
-        tables[table] = df.select(*[F.col(c).alias(_snake(c)) for c in df.columns])
+        df = raw[entity]
+        tables[table] = df.select(*[F.col(c).alias(_snake(c)) for c in plain(df)])
     return tables
 
 

@@ -78,12 +78,8 @@ def profitable_segment(wh: Warehouse) -> DataFrame:
 
 
 def declining_region(wh: Warehouse) -> DataFrame:
-    """Steepest fall in the latest year by the buyer's country, the sale's own region; no row when none fell."""
-    yearly = (
-        per_customer(wh, F.year("order_date").alias("yr"))
-        .groupBy(F.col("country").alias("region"), "yr")
-        .agg(F.sum("revenue").alias("revenue"))
-    )
+    """Steepest fall in the latest year by the sale's own region; no row when none fell."""
+    yearly = totals(wh.sales, F.col("sale_region").alias("region"), F.year("order_date").alias("yr"))
     before = F.lag("revenue").over(Window.partitionBy("region").orderBy("yr"))
     latest = wh.sales.agg(F.year(F.max("order_date")).alias("yr"))
     change = F.col("revenue") - F.col("prev")

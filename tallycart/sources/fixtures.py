@@ -1,12 +1,23 @@
-"""Raw, deliberately dirty extracts derived from the star schema (FIXTURES.md section 4) for the cleaning pipeline."""
+"""Raw, deliberately dirty extracts derived from the star schema (FIXTURES.md section 4) for the cleaning pipeline.
+
+Copies of a key arrive after the first row and differ from it, in a way that would let them win if the smallest row stayed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallycart.sources.extracts import ARRIVAL
 from tallycart.sources.warehouse import Warehouse
 
 
+def with_copies(once: DataFrame, copied: str, **changed: str) -> DataFrame:
+    """The rows, and after them those that ``copied`` selects again with some columns changed."""
+    again = once.where(copied).selectExpr(*[f"CAST({changed[c]} AS {k}) AS {c}" if c in changed else c for c, k in once.dtypes])
+    return once.withColumn(ARRIVAL, F.lit(1)).unionByName(again.withColumn(ARRIVAL, F.lit(2)))
+
+
 def raw_customers(wh: Warehouse) -> DataFrame:
     once = wh.customers.selectExpr(
         "CAST(customer_id AS STRING) AS CustomerID",
@@ -16,7 +27,7 @@ def raw_customers(wh: Warehouse) -> DataFrame:
         "CASE WHEN customer_id % 29 = 0 THEN NULL ELSE lifetime_value END AS LifetimeValue",
         "loyalty_tier AS LoyaltyTier",
     )
-    return once.unionByName(once.where("CAST(CustomerID AS BIGINT) % 101 = 0"))
+    return with_copies(once, "CAST(CustomerID AS BIGINT) % 101 = 0", City="' copy'", Income="NULL")
 
 
 def raw_products(wh: Warehouse) -> DataFrame:
@@ -27,22 +38,20 @@ def raw_products(wh: Warehouse) -> DataFrame:
         "CAST(CASE WHEN product_id % 73 = 0 THEN cost_price - 1 ELSE selling_price END AS DECIMAL(10,2)) AS SellingPrice",
         "supplier AS Supplier", "launch_date AS LaunchDate",
     )
-    return once.unionByName(once.where("CAST(ProductID AS BIGINT) % 101 = 0"))
+    return with_copies(once, "CAST(ProductID AS BIGINT) % 101 = 0", Brand="' copy'")
 
 
 def raw_sales(wh: Warehouse) -> DataFrame:
-    """The sale's own region is the buyer's country, so it differs from the store's region."""
-    joined = wh.sales.join(wh.customers.select("customer_id", "country"), "customer_id")
-    once = joined.selectExpr("*", "CAST(split_part(order_id, '-', 1) AS BIGINT) AS k").selectExpr(
+    once = wh.sales.selectExpr("*", "CAST(split_part(order_id, '-', 1) AS BIGINT) AS k").selectExpr(
         "order_id AS OrderID", "order_date AS OrderDate",
         "CAST(CASE WHEN k % 211 = 0 THEN customer_id + 10000000 ELSE customer_id END AS STRING) AS CustomerID",
         "CAST(product_id AS STRING) AS ProductID",
         "CASE WHEN k % 89 = 0 THEN 0 ELSE quantity END AS Quantity",
         "CAST(CASE WHEN k % 97 = 0 THEN 1.5 ELSE discount END AS DECIMAL(5,3)) AS Discount",
-        "sales_amount AS SalesAmount", "profit AS Profit", "CAST(store_id AS STRING) AS Store", "country AS Region",
+        "sales_amount AS SalesAmount", "profit AS Profit", "CAST(store_id AS STRING) AS Store", "sale_region AS Region",
         "payment_method AS PaymentMethod", "sales_channel AS SalesChannel",
     )
-    return once.unionByName(once.where("CAST(split_part(OrderID, '-', 1) AS BIGINT) % 101 = 0"))
+    return with_copies(once, "CAST(split_part(OrderID, '-', 1) AS BIGINT) % 101 = 0", PaymentMethod="' copy'", Region="' copy'")
 
 
 def raw_inventory(wh: Warehouse) -> DataFrame:
@@ -64,7 +73,7 @@ def raw_returns(wh: Warehouse) -> DataFrame:
         "concat('BAD-', ReturnID) AS ReturnID", "concat('NONE-', OrderID) AS OrderID", "Reason", "RefundAmount",
         "ReturnDate", "ReturnStatus", "DaysAfterPurchase",
     )
-    return once.unionByName(once.where("DaysAfterPurchase = 11")).unionByName(unknown)
+    return with_copies(once, "DaysAfterPurchase = 11", Reason="' copy'").unionByName(unknown.withColumn(ARRIVAL, F.lit(1)))
 
 
 def raw_extracts(wh: Warehouse) -> dict[str, DataFrame]:

@@ -32,7 +32,7 @@ STAR = {
     "dim_warehouses": "warehouse_id! bigint; region! string",
     "fact_sales": """order_id! string; order_date! date; customer_id! bigint; product_id! bigint; quantity! int;
         discount decimal(5,3); sales_amount! decimal(12,2); profit! decimal(12,2); store_id! bigint;
-        payment_method string; sales_channel string""",
+        payment_method string; sales_channel string; sale_region string""",
     "fact_inventory": """product_id! bigint; warehouse_id! bigint; opening_stock bigint; received_stock bigint;
         sold_stock bigint; damaged_stock bigint; closing_stock bigint; reorder_level bigint; lead_time_days int;
         supplier_rating decimal(3,1)""",
@@ -55,6 +55,7 @@ RAW = {
     "forecast": "Month date; Forecasted_Revenue double; Lower_95CI double; Upper_95CI double",
 }
 
+# Keys.
 KEYS = {
     "dim_customers": ["customer_id"],
     "dim_products": ["product_id"],
@@ -65,13 +66,14 @@ KEYS = {
     "fact_returns": ["return_id"],
 }
 
+# Foreign keys.
 FOREIGN = {
     "fact_sales": [("customer_id", "dim_customers"), ("product_id", "dim_products"), ("store_id", "dim_stores")],
     "fact_inventory": [("product_id", "dim_products"), ("warehouse_id", "dim_warehouses")],
     "fact_returns": [("order_id", "fact_sales")],
 }
 
-# Value rules as (name, SQL condition that a valid row meets). As in SQL, an unknown result is no violation.
+# Fixed values. Value rules as (name, SQL condition that a valid row meets). As in SQL, an unknown result is no violation.
 CHECKS = {
     "dim_customers": [
         ("age_range", "age BETWEEN 0 AND 110"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallycart.functions.bands import TIER_LABELS, at_least
 from tallycart.functions.dates import month_of
 from tallycart.operators.ladder import quantiles
-from tallycart.session import shared_dir
+from tallycart.session import shared_dir, staged
 from tallycart.sources.schemas import STAR, names, struct
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
@@ -31,6 +31,12 @@ REASONS = (
     "Late Delivery", "Quality Not as Expected", "Damaged in Transit",
 )
 
+# What the facts need of an order line, its order and its part.
+LINE = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag",
+    "l_linestatus", "o_custkey", "o_orderdate", "o_orderpriority", "p_partkey", "p_retailprice",
+)
+
 PRICE = "CAST(p_retailprice AS DECIMAL(10,2))"
 COST = (
     f"CAST(round({PRICE} * CAST(60 + 5 * (p_partkey % 8) AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)), 2)"
@@ -51,13 +57,14 @@ def _mapped(column: str, codes: Mapping[str, str], rest: str):
 class Warehouse:
     """Seven star-schema tables as DataFrames: sales, products, customers, stores, warehouses, inventory, returns."""
 
-    def __init__(self, spark: SparkSession, supply: Callable[[str], DataFrame]):
+    def __init__(self, spark: SparkSession, supply: Callable[[str], DataFrame], source: str | None = None):
         self.spark = spark
+        self.source = source
         self._supply = supply
 
     @classmethod
     def open(cls, spark: SparkSession, source_dir: str) -> Warehouse:
-        return cls(spark, Derivation(spark, source_dir).table)
+        return cls(spark, Derivation(spark, source_dir).table, source_dir)
 
     @classmethod
     def of(cls, spark: SparkSession, tables: Mapping[str, DataFrame]) -> Warehouse:
@@ -119,21 +126,27 @@ class Derivation:
             _written[key] = self.spark.read.schema(stored).parquet(folder)
         return _written[key]
 
-    def _lines(self, returned_only: bool = False) -> DataFrame:
-        lines, orders, parts = self.read("lineitem"), self.read("orders"), self.read("part")
-        if returned_only:
-            lines = lines.where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 == 0))
-        buying = orders.where(F.col("o_custkey") % 50 != 0)
-        return lines.join(buying, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            parts, F.col("l_partkey") == F.col("p_partkey")
-        )
+    def _lines(self) -> DataFrame:
+        """All order lines with their order and part, joined and written once for sales and returns."""
+        key = (self.spark.sparkContext.applicationId, self.source_dir, "lines")
+        if key not in _written:
+            lines, orders, parts = self.read("lineitem"), self.read("orders"), self.read("part")
+            joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+                parts, F.col("l_partkey") == F.col("p_partkey")
+            )
+            _written[key] = staged(joined.select(*LINE), "lines")
+        return _written[key]
+
+    def _regions(self) -> DataFrame:
+        """One row with the sorted region names, a fixed handful."""
+        return self.read("region").agg(F.sort_array(F.collect_set("r_name")).alias("all_regions"))
 
     ORDER_ID = (
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT))"
     )
 
     def fact_sales(self) -> DataFrame:
-        priced = self._lines().select(
+        priced = self._lines().crossJoin(F.broadcast(self._regions())).select(
             F.expr(self.ORDER_ID).alias("order_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("o_custkey").alias("customer_id"),
@@ -145,6 +158,7 @@ class Derivation:
             F.col("l_suppkey").alias("store_id"),
             _mapped("o_orderpriority", PAYMENT, "Cash on Delivery").alias("payment_method"),
             F.when(F.col("l_linestatus") == "O", "Online").otherwise("Offline").alias("sales_channel"),
+            F.element_at("all_regions", (F.col("l_orderkey") % 5 + 1).cast("int")).alias("sale_region"),
         )
         profit = F.col("sales_amount") - F.col("cost_price") * F.col("quantity")
         return priced.withColumn("profit", profit.cast("decimal(12,2)"))
@@ -155,7 +169,7 @@ class Derivation:
         reason = F.element_at(
             F.array(*[F.lit(r) for r in REASONS]), ((F.col("l_partkey") + F.col("l_suppkey")) % 8 + 1).cast("int")
         )
-        return self._lines(returned_only=True).select(
+        return self._lines().where(F.col("l_returnflag") == "R").select(
             F.expr(f"concat('RET-', {self.ORDER_ID})").alias("return_id"),
             F.expr(self.ORDER_ID).alias("order_id"),
             reason.alias("reason"),
@@ -223,12 +237,11 @@ class Derivation:
         )
 
     def dim_warehouses(self) -> DataFrame:
-        # region names are a fixed handful; their sorted position picks the region of a warehouse
-        regions = self.read("region").agg(F.sort_array(F.collect_set("r_name")).alias("all"))
-        places = self.read("lineitem").select((F.col("l_suppkey") % 20).alias("warehouse_id")).distinct()
-        return places.crossJoin(F.broadcast(regions)).select(
+        # the sorted position of a region picks it for a warehouse
+        places = self.table("fact_inventory").select("warehouse_id").distinct()
+        return places.crossJoin(F.broadcast(self._regions())).select(
             "warehouse_id",
-            F.element_at("all", (F.col("warehouse_id") % 5 + 1).cast("int")).alias("region"),
+            F.element_at("all_regions", (F.col("warehouse_id") % 5 + 1).cast("int")).alias("region"),
         )
 
     def fact_inventory(self) -> DataFrame:

@@ -36,7 +36,7 @@ DEFAULTS = {
     "dim_warehouses": dict(warehouse_id=1, region="North"),
     "fact_sales": dict(order_id="o", order_date=day("2024-01-10"), customer_id=1, product_id=1, quantity=1,
                        discount=Decimal("0.000"), sales_amount=Decimal("10.00"), profit=Decimal("4.00"), store_id=1,
-                       payment_method="UPI", sales_channel="Online"),
+                       payment_method="UPI", sales_channel="Online", sale_region="North"),
     "fact_inventory": dict(product_id=1, warehouse_id=1, opening_stock=10, received_stock=5, sold_stock=8, damaged_stock=1,
                            closing_stock=6, reorder_level=3, lead_time_days=4, supplier_rating=Decimal("4.5")),
     "fact_returns": dict(return_id="r", order_id="o", reason="Late Delivery", refund_amount=Decimal("10.00"),
