@@ -21,7 +21,6 @@ SQL["b1_cards"] = star(
 SQL["b1_trend"] = star(
     f"SELECT month, {d('revenue')} AS total_revenue, {d('profit')} AS total_profit, {d('ytd')} AS revenue_ytd FROM y", **TIMES, y=YTD
 )
-SQL["b1_forecast"] = MEASURES["d_forecast_compare"]
 SQL["b1_category_share"] = REPORTS["q38"]
 SQL["b1_growth_strip"] = star(
     """SELECT measure, growth, CASE WHEN growth > 0.02 THEN '▲' WHEN growth < -0.02 THEN '▼' ELSE '▬' END AS icon

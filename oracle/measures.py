@@ -154,23 +154,6 @@ SQL["d_variance"] = star(
     **TIMES,
     targets=TARGETS,
 )
-# recursive three-month mean after the last training month
-MA = {
-    "seen": "SELECT revenue, row_number() OVER (ORDER BY month DESC) AS b FROM months WHERE month <= DATE '2000-07-01'",
-    "ma": f"""SELECT 0 AS k, CAST(0 AS DOUBLE) AS f, (SELECT {d('revenue')} FROM seen WHERE b = 3) AS x,
-        (SELECT {d('revenue')} FROM seen WHERE b = 2) AS y, (SELECT {d('revenue')} FROM seen WHERE b = 1) AS z
-      UNION ALL SELECT k + 1, (x + y + z) / 3, y, z, (x + y + z) / 3 FROM ma WHERE k < 12""",
-    "forecast": """SELECT CAST(DATE '2000-07-01' + to_months(k) AS DATE) AS month, f FROM ma WHERE k > 0""",
-}
-SQL["d_forecast_compare"] = star(
-    f"""SELECT month, {r('f')} AS forecasted_revenue, {r('f * 0.9')} AS forecast_lower_bound,
-    {r('f * 1.1')} AS forecast_upper_bound, {r('a - f')} AS actual_vs_forecast_variance,
-    {r('(a - f) / f', 4)} AS actual_vs_forecast_variance_pct,
-    CASE WHEN a >= f * 0.9 AND a <= f * 1.1 THEN 'Within Range' ELSE 'Outside Range' END AS is_actuals_within_forecast_ci
-    FROM (SELECT forecast.month, f, {d('revenue')} AS a FROM forecast JOIN months USING (month))""",
-    **TIMES,
-    **MA,
-)
 SQL["d_customer_returns"] = star(
     f"""SELECT month, {r(div('count(*) FILTER (n > 1)', 'count(*)'), 4)} AS repeat_purchase_rate,
     (SELECT {r(div('sum(lifetime_value)', 'count(*)'))} FROM dim_customers) AS average_customer_lifetime_value,

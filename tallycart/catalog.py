@@ -121,7 +121,7 @@ on_star("d_flags", measures.flags)
 on_star("d_variance", lambda wh: measures.variance(wh, calendar.sample_targets(wh.spark, FIRST_MONTH, LAST_MONTH)))
 on_star(
     "d_forecast_compare",
-    lambda wh: measures.forecast_compare(wh, forecasting.moving_average_file(wh, FORECAST_FROM)),
+    lambda wh: measures.forecast_compare(wh, forecasting.total_outlook(wh, FORECAST_FROM)),
 )
 on_star("d_customer_returns", measures.customer_measures)
 on_star("d_inventory", measures.inventory_measures)
@@ -132,7 +132,7 @@ on_star("d_refunds_by_return_month", measures.refunds_by_return_month)
 
 def _total_and(plan: Callable[..., DataFrame], by: str) -> Callable[[Warehouse], DataFrame]:
     """A per-series plan for the total series and one series per attribute value, complete months only."""
-    return lambda wh: plan(wh, last=LAST_FULL_MONTH).unionByName(plan(wh, by=[by], last=LAST_FULL_MONTH))
+    return lambda wh: plan(wh, by=[by], last=LAST_FULL_MONTH, with_total=True)
 
 
 on_star("m0_features", statistics.feature_profile)
@@ -213,8 +213,13 @@ def _panel(wh: Warehouse) -> DataFrame:
 
 
 def _fits(model: str) -> Callable[[Warehouse], DataFrame]:
-    """R: forecasts of one model family for the panel; correctness is covered by tests/test_forecasting.py."""
-    return lambda wh: forecasting.model_forecasts(_panel(wh), models=[model])
+    """Forecasts of one model for the panel."""
+
+
+    def plan(wh: Warehouse) -> DataFrame:
+        return forecasting.MODELS[model](_panel(wh)).select("series", "month", *[rnd(c).alias(c) for c in ("forecast", "lower", "upper")])
+
+    return plan
 
 
 def _holdout_errors(wh: Warehouse) -> DataFrame:
@@ -229,10 +234,8 @@ on_star(
     "e2_moving_average",
     lambda wh: forecasting.moving_average(_panel(wh)).select("series", "month", rnd("forecast").alias("forecast")),
 )
-on_star("e3_holt_winters", _fits("Exponential Smoothing"))
-on_star("e4_arima", _fits("ARIMA"))
-on_star("e5_sarima", _fits("SARIMA"))
-on_star("e6_trend_and_waves", _fits("Prophet"))
+on_star("e3_holt_winters", _fits(forecasting.SMOOTHING))
+on_star("e6_trend_and_season", _fits(forecasting.LOG_LINEAR))
 on_star("e7_scorecard", lambda wh: forecasting.scorecard(_panel(wh)))
 on_star("e8_outlook", lambda wh: forecasting.outlook(_panel(wh)))
 on_star("s10_forecast_csv", extract_checks.s10, last=FORECAST_FROM)

@@ -135,7 +135,7 @@ def s6(wh: Warehouse) -> DataFrame:
 
 def s10(wh: Warehouse, last) -> DataFrame:
     """S10 a forecast table written as the forecast file and imported again with its fixed types."""
-    table = forecasting.moving_average_file(wh, last)
+    table = forecasting.total_outlook(wh, last)
     numbers = ("Forecasted_Revenue", "Lower_95CI", "Upper_95CI")
     path = extracts.write_csv(table.select("Month", *[rnd(c).alias(c) for c in numbers]), scratch(wh.spark, "forecast.csv"))
     return extracts.read_extract(wh.spark, path, "forecast")

@@ -5,40 +5,48 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycart.functions.dates import spine_between
 from tallycart.functions.numeric import rnd
-from tallycart.functions.timeseries import MODELS
 from tallycart.plans.measures import fact_keys, in_context
 from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
 
 
-def monthly_series(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
-    """(series, month, revenue) with every month between a series' first and last sale; missing months are 0.
-
-    ``series`` is 'total' or the attribute values joined by '|'. ``last`` cuts off incomplete months.
-    """
+def _sums(wh: Warehouse, by: Sequence[str], last) -> DataFrame:
+    """Revenue per month and attribute values, reduced from the fact once and written. ``last`` cuts off incomplete months."""
     reduced = wh.sales.groupBy(*fact_keys([*by, "month"])).agg(F.sum("sales_amount").alias("revenue"))
-    named = F.concat_ws("|", *by) if by else F.lit("total")
-    sums = (
-        in_context(wh, reduced, by)
-        .groupBy(named.alias("series"), "month")
-        .agg(F.sum("revenue").cast("double").alias("revenue"))
-    )
-    if last is not None:
-        sums = sums.where(F.col("month") <= F.lit(last))
-    bounds = sums.groupBy("series").agg(F.min("month").alias("first"), F.max("month").alias("final"))
+    sums = in_context(wh, reduced, by).groupBy(*by, "month").agg(F.sum("revenue").alias("revenue"))
+    return staged(sums if last is None else sums.where(F.col("month") <= F.lit(last)), "monthly-sums")
+
+
+def _gap_free(sums: DataFrame, name: Column) -> DataFrame:
+    named = sums.groupBy(name.alias("series"), "month").agg(F.sum("revenue").cast("double").alias("revenue"))
+    bounds = named.groupBy("series").agg(F.min("month").alias("first"), F.max("month").alias("final"))
     return (
         spine_between(bounds, "first", "final", "month", "month")
-        .join(sums, ["series", "month"], "left")
+        .join(named, ["series", "month"], "left")
         .select("series", "month", F.coalesce("revenue", F.lit(0.0)).alias("revenue"))
     )
 
 
+def monthly_series(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+    """(series, month, revenue) with every month between a series' first and last sale; missing months are 0.
+
+    ``series`` is 'total' or the attribute values joined by '|'. ``last`` cuts off incomplete months.
+    """
+    return _gap_free(_sums(wh, by, last), F.concat_ws("|", *by) if by else F.lit("total"))
+
+
+def panel(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+    """The total series and one series per value of the given attributes, from one scan of the fact."""
+    sums = _sums(wh, by, last)
+    total = _gap_free(sums, F.lit("total"))
+    return total.unionByName(_gap_free(sums, F.concat_ws("|", *by))) if by else total
+
+
 def moving_average(series: DataFrame, horizon: int = 12, window: int = 3) -> DataFrame:
     """The mean of the last ``window`` values, fed back month after month. Plain SQL arrays, no Python."""
     recent = Window.partitionBy("series").orderBy(F.desc("month"))
@@ -68,54 +76,99 @@ def moving_average(series: DataFrame, horizon: int = 12, window: int = 3) -> Dat
     )
 
 
-def moving_average_file(wh: Warehouse, last: dt.date, horizon: int = 12) -> DataFrame:
-    """S10 content: the moving average after ``last`` in the columns of the forecast file, with a ten-percent band."""
-    return moving_average(monthly_series(wh, last=last), horizon).select(
-        F.col("month").alias("Month"),
-        F.col("forecast").alias("Forecasted_Revenue"),
-        (F.col("forecast") * 0.9).alias("Lower_95CI"),
-        (F.col("forecast") * 1.1).alias("Upper_95CI"),
+MOVING_AVERAGE, SMOOTHING, LOG_LINEAR = "Moving Average", "Exponential Smoothing", "Log-Linear Trend and Season"
+SEASON = 12
+Z95 = 1.96  # fixed value: normal quantile of the published bands
+#: Weights that exponential smoothing tries: level, slope, season.
+LEVELS, SLOPES, SEASONS = (0.1, 0.3, 0.5, 0.7, 0.9), (0.0, 0.1, 0.3, 0.5), (0.0, 0.1, 0.3, 0.5)
+SHORT = "fewer than 24 months"
+NEGATIVE = "needs revenue above -1"
+NO_HOLDOUT = "too short for a holdout"
+
+
+def _lists(series: DataFrame) -> DataFrame:
+    """One row per series with its values in order; a series is as long as the calendar."""
+    ordered = F.array_sort(F.collect_list(F.struct("month", "revenue")))
+    rows = series.groupBy("series").agg(F.max("month").alias("final"), ordered.alias("rows"))
+    return rows.select("series", "final", F.transform("rows", lambda x: x["revenue"]).alias("v"), F.size("rows").alias("n"))
+
+
+def _ahead(frame: DataFrame, horizon: int) -> DataFrame:
+    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
+    return frame.withColumn("h", steps).withColumn("month", F.add_months("final", F.col("h")))
+
+
+def smoothing(series: DataFrame, horizon: int = 12) -> DataFrame:
+    """Additive level, slope and season of twelve months. The first year gives level and season, the step to the
+    second year the slope; every combination of the weights runs over the rest as a fold of SQL arrays, and the one with
+    the least squared one-step error forecasts. The band is constant, as the published one. 24 months at least."""
+    year = lambda at: F.aggregate(F.slice("v", at, SEASON), F.lit(0.0), lambda a, x: a + x) / SEASON
+    start = _lists(series).where(F.col("n") >= 2 * SEASON).withColumn("m1", year(1)).withColumn("m2", year(SEASON + 1))
+    for name, values in (("a", LEVELS), ("b", SLOPES), ("g", SEASONS)):
+        start = start.withColumn(name, F.explode(F.array(*[F.lit(x) for x in values])))
+    state = F.struct(
+        F.col("m1").alias("level"),
+        ((F.col("m2") - F.col("m1")) / SEASON).alias("slope"),
+        F.transform(F.slice("v", 1, SEASON), lambda x: x - F.col("m1")).alias("season"),
+        F.lit(0.0).alias("sse"),
     )
 
+    def step(s: Column, y: Column) -> Column:
+        cycle, line = F.element_at(s["season"], 1), s["level"] + s["slope"]
+        miss = y - (line + cycle)
+        level = F.col("a") * (y - cycle) + (1 - F.col("a")) * line
+        return F.struct(
+            level.alias("level"),
+            (F.col("b") * (level - s["level"]) + (1 - F.col("b")) * s["slope"]).alias("slope"),
+            F.concat(F.slice(s["season"], 2, SEASON - 1), F.array(F.col("g") * (y - level) + (1 - F.col("g")) * cycle)).alias("season"),
+            (s["sse"] + miss * miss).alias("sse"),
+        )
 
-MOVING_AVERAGE = "Moving Average"  # fixed value: its name in scorecards
-FORECAST_SCHEMA = "series string, model string, month date, forecast double, lower double, upper double"
-
+    run = F.aggregate(F.slice(F.col("v"), F.lit(SEASON + 1), F.col("n") - SEASON), state, step)
+    tried = start.select("series", "final", "n", "a", "b", "g", run.alias("s"))
+    best = tried.groupBy("series", "final", "n").agg(F.min_by("s", F.struct("s.sse", "a", "b", "g")).alias("s"))
+    h = F.col("h")
+    forecast = F.col("s.level") + h * F.col("s.slope") + F.element_at("s.season", ((h - 1) % SEASON + 1).cast("int"))
+    spread = Z95 * F.sqrt(F.col("s.sse") / (F.col("n") - SEASON))
+    out = _ahead(best, horizon).withColumn("forecast", forecast)
+    return out.select("series", "month", "forecast", (forecast - spread).alias("lower"), (forecast + spread).alias("upper"))
+
+
+def log_linear(series: DataFrame, horizon: int = 12) -> DataFrame:
+    """ln(1 + revenue) as a line in time plus a level per calendar month, by least squares. The line's slope comes
+    from deviations within the calendar months, which solves the normal equations by grouped sums alone. 24 months at
+    least, all above -1."""
+    along = Window.partitionBy("series").orderBy("month")
+    whole = Window.partitionBy("series")
+    rows = series.withColumn("t", (F.row_number().over(along) - 1).cast("double")).withColumn("n", F.count("*").over(whole))
+    rows = rows.withColumn("least", F.min("revenue").over(whole)).where((F.col("n") >= 2 * SEASON) & (F.col("least") > -1))
+    rows = rows.withColumn("z", F.log1p("revenue"))
+    rows = rows.withColumn("place", F.month("month"))
+    within = Window.partitionBy("series", "place")
+    centred = rows.withColumn("tm", F.avg("t").over(within)).withColumn("zm", F.avg("z").over(within))
+    dt_, dz = F.col("t") - F.col("tm"), F.col("z") - F.col("zm")
+    slope = centred.groupBy("series").agg((F.sum(dt_ * dz) / F.sum(dt_ * dt_)).alias("slope"))
+    fitted = centred.join(slope, "series").withColumn("level", F.col("zm") - F.col("slope") * F.col("tm"))
+    miss = F.col("z") - F.col("level") - F.col("slope") * F.col("t")
+    size = fitted.groupBy("series").agg(
+        F.max("month").alias("final"), F.max("n").alias("n"), F.max("slope").alias("slope"), F.sum(miss * miss).alias("sse")
+    )
+    levels = fitted.groupBy("series", "place").agg(F.max("level").alias("level"))
+    ahead = _ahead(size, horizon).withColumn("place", F.month("month")).join(levels, ["series", "place"])
+    z = F.col("level") + F.col("slope") * (F.col("n") - 1 + F.col("h"))
+    spread = Z95 * F.sqrt(F.col("sse") / (F.col("n") - SEASON - 1))
+    return ahead.select(
+        "series", "month", (F.exp(z) - 1).alias("forecast"), (F.exp(z - spread) - 1).alias("lower"), (F.exp(z + spread) - 1).alias("upper")
+    )
 
-def _ahead(months: pd.Series, horizon: int) -> list[dt.date]:
-    last = max(months)
-    spots = [last.year * 12 + last.month - 1 + k for k in range(1, horizon + 1)]
-    return [dt.date(spot // 12, spot % 12 + 1, 1) for spot in spots]
 
+def averaged(series: DataFrame, horizon: int = 12) -> DataFrame:
+    """The moving average in the form of the other models; it has no interval of its own."""
+    out = moving_average(series, horizon)
+    return out.select("series", "month", "forecast", F.col("forecast").alias("lower"), F.col("forecast").alias("upper"))
 
-def model_forecasts(series: DataFrame, horizon: int = 12, models: Sequence[str] = tuple(MODELS)) -> DataFrame:
-    """Forecasts of the named models, one task per group of series.
 
-    A series is as long as the calendar, so no group can grow with the data; more data means more series. With a
-    ``model`` column in ``series`` each series is fitted with that model only.
-    """
-    names = tuple(models)
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("month")
-        wanted = (rows["model"].iloc[0],) if "model" in rows.columns else names
-        months = _ahead(rows["month"], horizon)
-        values = rows["revenue"].to_numpy(dtype=float)
-        parts = []
-        for name in wanted:
-            found = MODELS[name](values, horizon)
-            if found is not None:
-                forecast, lower, upper = found
-                parts.append(
-                    pd.DataFrame(
-                        {"series": rows["series"].iloc[0], "model": name, "month": months,
-                         "forecast": forecast, "lower": lower, "upper": upper}
-                    )
-                )
-        columns = ["series", "model", "month", "forecast", "lower", "upper"]
-        return pd.concat(parts) if parts else pd.DataFrame(columns=columns)
-
-    return series.groupBy("series").applyInPandas(fit, FORECAST_SCHEMA)
+MODELS = {MOVING_AVERAGE: averaged, SMOOTHING: smoothing, LOG_LINEAR: log_linear}
 
 
 def holdout(series: DataFrame, months: int = 12) -> tuple[DataFrame, DataFrame]:
@@ -141,46 +194,51 @@ def metrics(pairs: DataFrame, *by: str) -> DataFrame:
 
 
 def all_forecasts(train: DataFrame, horizon: int = 12) -> DataFrame:
-    """Every model's forecast of every series; the moving average has no interval of its own."""
-    simple = moving_average(train, horizon).select(
-        "series", F.lit(MOVING_AVERAGE).alias("model"), "month", "forecast",
-        F.col("forecast").alias("lower"), F.col("forecast").alias("upper"),
-    )
-    return model_forecasts(train, horizon).unionByName(simple)
+    """Every model's forecast of every series that it can fit."""
+    out = None
+    for name, model in MODELS.items():
+        made = model(train, horizon).withColumn("model", F.lit(name))
+        out = made if out is None else out.unionByName(made)
+    return out
 
 
 def scorecard(series: DataFrame, months: int = 12) -> DataFrame:
-    """Errors of every model on the held-out months, the one with least MAPE marked per series."""
+    """Errors of every model on the held-out months, and the chosen model per series: least MAPE, or least RMSE where
+    a held-out month without revenue leaves MAPE undefined. Every series has a row for every model; a model that can't be
+    fitted or a series without a holdout has no scores but a ``reason``, and then the moving average is chosen."""
+    series = staged(series, "series")
     train, test = holdout(series, months)
     scores = metrics(all_forecasts(train, months).join(test, ["series", "month"]), "series", "model")
-    place = F.row_number().over(Window.partitionBy("series").orderBy(F.asc_nulls_last("mape"), "model"))
-    return scores.select(
+    counts = series.groupBy("series").agg(F.count("*").alias("n"))
+    least = train.groupBy("series").agg(F.min("revenue").alias("least"))
+    names = F.explode(F.array(*[F.lit(m) for m in MODELS])).alias("model")
+    every = counts.join(least, "series", "left").select("series", "n", "least", names).join(scores, ["series", "model"], "left")
+    reason = (
+        F.when(F.col("n") <= months, NO_HOLDOUT)
+        .when(F.col("rmse").isNotNull(), F.lit(None))
+        .when(F.col("n") - months < 2 * SEASON, SHORT)
+        .otherwise(NEGATIVE)
+    )
+    order = [F.asc_nulls_last("mape"), F.asc_nulls_last("rmse"), F.when(F.col("model") == MOVING_AVERAGE, 0).otherwise(1), F.col("model")]
+    place = F.row_number().over(Window.partitionBy("series").orderBy(*order))
+    return every.select(
         "series", "model", rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), rnd("mape", 4).alias("mape"),
-        (place == 1).alias("chosen"),
+        (place == 1).alias("chosen"), reason.alias("reason"),
     )
 
 
 def outlook(series: DataFrame, horizon: int = 12, months: int = 12) -> DataFrame:
-    """The chosen model of each series refitted on its whole history, ``horizon`` months ahead with bounds."""
+    """The chosen model of each series refitted on its whole history, ``horizon`` months ahead with bounds; ``reason``
+    says why a series had to take the moving average."""
     kept = staged(series, "series")
-    best = staged(scorecard(kept, months).where("chosen").select("series", "model"), "chosen")
-    simple = kept.join(best.where(F.col("model") == MOVING_AVERAGE).select("series"), "series", "left_semi")
-    fitted = kept.join(best.where(F.col("model") != MOVING_AVERAGE), "series")
-    flat = moving_average(simple, horizon).select(
-        "series", F.lit(MOVING_AVERAGE).alias("model"), "month", "forecast",
-        F.col("forecast").alias("lower"), F.col("forecast").alias("upper"),
-    )
-    return (
-        model_forecasts(fitted, horizon)
-        .unionByName(flat)
-        .select("series", "model", "month", *[rnd(c).alias(c) for c in ("forecast", "lower", "upper")])
-    )
-
-
-def panel(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
-    """The total series and one series per value of the given attribute."""
-    total = monthly_series(wh, last=last)
-    return total.unionByName(monthly_series(wh, by, last)) if by else total
+    best = staged(scorecard(kept, months).where("chosen").select("series", "model", "reason"), "chosen")
+    out = None
+    for name, model in MODELS.items():
+        own = kept.join(best.where(F.col("model") == name).select("series"), "series", "left_semi")
+        made = model(own, horizon).withColumn("model", F.lit(name))
+        out = made if out is None else out.unionByName(made)
+    rounded = [rnd(c).alias(c) for c in ("forecast", "lower", "upper")]
+    return out.join(best.select("series", "reason"), "series").select("series", "model", "month", *rounded, "reason")
 
 
 def forecast_file(rows: DataFrame, series: str = "total") -> DataFrame:
@@ -191,6 +249,11 @@ def forecast_file(rows: DataFrame, series: str = "total") -> DataFrame:
     )
 
 
+def total_outlook(wh: Warehouse, last: dt.date, horizon: int = 12) -> DataFrame:
+    """S10 content: the outlook of the total series after ``last``, in the columns of the forecast file."""
+    return forecast_file(outlook(monthly_series(wh, last=last), horizon))
+
+
 def outlook_with_history(series: DataFrame, horizon: int = 12) -> DataFrame:
     """B6 line and band: history first, then the forecast with its bounds."""
     nothing = F.lit(None).cast("double")

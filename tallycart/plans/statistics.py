@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from tallycart.functions.numeric import count_if, dbl, pct, ratio, rnd
 from tallycart.functions.tails import f_p_value, t_bound, t_p_value
 from tallycart.operators.ladder import quantiles
-from tallycart.functions.timeseries import SEASON
-from tallycart.plans.forecasting import monthly_series
+from tallycart.plans.forecasting import SEASON, monthly_series, panel
 from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
 
@@ -359,11 +358,11 @@ def importance(wh: Warehouse, trees: int = 100, depth: int = 8, seed: int = 42)
     )
 
 
-def trend(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+def trend(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bool = False) -> DataFrame:
     """M9: least-squares line through each monthly series with the significance of its slope."""
     place = F.row_number().over(Window.partitionBy("series").orderBy("month")) - 1
     fit = (
-        monthly_series(wh, by, last)
+        (panel if with_total else monthly_series)(wh, by, last)
         .withColumn("t", place.cast("double"))
         .groupBy("series")
         .agg(
@@ -386,7 +385,7 @@ def trend(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
     )
 
 
-def decomposed(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+def decomposed(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bool = False) -> DataFrame:
     """Additive decomposition with period 12, unrounded.
 
     Trend: centred 2 x 12 mean, unknown for the first and last six months. Seasonal: mean of the detrended values per
@@ -398,7 +397,7 @@ def decomposed(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
     ends = F.lag("revenue", half).over(along) + F.lead("revenue", half).over(along)
     centred = (ends * 0.5 + F.sum("revenue").over(inner)) / SEASON
     rows = (
-        monthly_series(wh, by, last)
+        (panel if with_total else monthly_series)(wh, by, last)
         .withColumn("place", (F.row_number().over(along) - 1) % SEASON)
         .withColumn("trend", F.when(F.count("revenue").over(full) == SEASON + 1, centred))
         .withColumn("loose", F.col("revenue") - F.col("trend"))
@@ -413,24 +412,24 @@ def decomposed(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
     )
 
 
-def decomposition(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+def decomposition(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bool = False) -> DataFrame:
     """M10 per month, rounded."""
     parts = ("observed", "trend", "seasonal", "resid")
-    return decomposed(wh, by, last).select("series", "month", *[rnd(c).alias(c) for c in parts])
+    return decomposed(wh, by, last, with_total).select("series", "month", *[rnd(c).alias(c) for c in parts])
 
 
-def seasonal_index(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+def seasonal_index(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bool = False) -> DataFrame:
     """Seasonal component per calendar month."""
     return (
-        decomposed(wh, by, last)
+        decomposed(wh, by, last, with_total)
         .groupBy("series", F.month("month").cast("bigint").alias("month_number"))
         .agg(rnd(F.avg("seasonal")).alias("seasonal_index"))
     )
 
 
-def seasonality(wh: Warehouse, by: Sequence[str] = (), last=None) -> DataFrame:
+def seasonality(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bool = False) -> DataFrame:
     """M10 summary per series: strength, range and the months of peak and trough."""
-    rows = decomposed(wh, by, last).withColumn("m", F.month("month"))
+    rows = decomposed(wh, by, last, with_total).withColumn("m", F.month("month"))
     both = F.col("seasonal") + F.col("resid")
     whole = rows.groupBy("series").agg(
         (1 - ratio(F.var_samp("resid"), F.var_samp(both))).alias("strength"),
