@@ -49,9 +49,9 @@ def models(name: str, train: str) -> dict[str, str]:
           UNION ALL SELECT series, final, k + 1, list_sum(w) / len(w), list_append(w, list_sum(w) / len(w))[-3:] FROM {n}_ma WHERE k < 12""",
         f"{n}_g": """SELECT a, b, g FROM (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9]::DOUBLE[]) AS a),
           (SELECT unnest([0.0, 0.1, 0.3, 0.5]::DOUBLE[]) AS b), (SELECT unnest([0.0, 0.1, 0.3, 0.5]::DOUBLE[]) AS g)""",
-        f"{n}_hw": f"""SELECT series, final, n, v, a, b, g, CAST(12 AS BIGINT) AS k, m AS level, (m2 - m) / 12 AS slope,
-            list_transform(v[1:12], lambda x: x - m) AS season, CAST(0 AS DOUBLE) AS sse
-          FROM (SELECT *, {_sum(1)} AS m, {_sum(13)} AS m2 FROM {n}_l WHERE n >= 24), {n}_g
+        f"{n}_hw": f"""SELECT series, final, n, v, a, b, g, CAST(12 AS BIGINT) AS k, m + rise * 5.5 AS level, rise AS slope,
+            list_transform(v[1:12], lambda x, i: x - (m + rise * (i - 6.5))) AS season, CAST(0 AS DOUBLE) AS sse
+          FROM (SELECT *, {_sum(1)} AS m, ({_sum(13)} - {_sum(1)}) / 12 AS rise FROM {n}_l WHERE n >= 24), {n}_g
           UNION ALL SELECT series, final, n, v, a, b, g, k + 1, up, b * (up - level) + (1 - b) * slope,
             list_append(season[2:12], g * (y - up) + (1 - g) * s), sse + e * e
           FROM (SELECT *, a * (y - s) + (1 - a) * (level + slope) AS up, y - (level + slope + s) AS e

@@ -99,17 +99,18 @@ def _ahead(frame: DataFrame, horizon: int) -> DataFrame:
 
 
 def smoothing(series: DataFrame, horizon: int = 12) -> DataFrame:
-    """Additive level, slope and season of twelve months. The first year gives level and season, the step to the
-    second year the slope; every combination of the weights runs over the rest as a fold of SQL arrays, and the one with
+    """Additive level, slope and season of twelve months. The step from the first year's mean to the second's gives the
+    slope, the first year about that line level and season; every combination of the weights runs over the rest as a fold of SQL arrays, and the one with
     the least squared one-step error forecasts. The band is constant, as the published one. 24 months at least."""
     year = lambda at: F.aggregate(F.slice("v", at, SEASON), F.lit(0.0), lambda a, x: a + x) / SEASON
-    start = _lists(series).where(F.col("n") >= 2 * SEASON).withColumn("m1", year(1)).withColumn("m2", year(SEASON + 1))
+    start = _lists(series).where(F.col("n") >= 2 * SEASON).withColumn("m1", year(1))
+    start = start.withColumn("rise", (year(SEASON + 1) - F.col("m1")) / SEASON)
     for name, values in (("a", LEVELS), ("b", SLOPES), ("g", SEASONS)):
         start = start.withColumn(name, F.explode(F.array(*[F.lit(x) for x in values])))
     state = F.struct(
-        F.col("m1").alias("level"),
-        ((F.col("m2") - F.col("m1")) / SEASON).alias("slope"),
-        F.transform(F.slice("v", 1, SEASON), lambda x: x - F.col("m1")).alias("season"),
+        (F.col("m1") + F.col("rise") * 5.5).alias("level"),  # the line at the end of the first year
+        F.col("rise").alias("slope"),
+        F.transform(F.slice("v", 1, SEASON), lambda x, i: x - (F.col("m1") + F.col("rise") * (i - 5.5))).alias("season"),
         F.lit(0.0).alias("sse"),
     )
 

@@ -65,10 +65,11 @@ def test_sales_need_known_keys_and_a_quantity(raw):
     assert rows(out, "OrderID", "Discount") == [("a", Decimal("0.100")), ("e", Decimal("1.000")), ("f", Decimal("0.000"))]
 
 
-def test_first_per_key_follows_the_given_order(raw):
+def test_first_per_key_follows_the_arrival(raw):
     df = raw("sales", dict(Quantity=5, SalesAmount=Decimal("9.00")), dict(Quantity=2, SalesAmount=Decimal("50.00")))
-    assert cleaning.first_per_key(df, ["OrderID"], ["SalesAmount"]).first().Quantity == 5
-    assert cleaning.first_per_key(df, ["OrderID"], ["Quantity"]).first().Quantity == 2
+    for column, quantity in (("SalesAmount", 5), ("Quantity", 2)):
+        kept = cleaning.first_per_key(df.withColumn(extracts.ARRIVAL, F.col(column)), ["OrderID"])
+        assert kept.first().Quantity == quantity and kept.columns == df.columns
 
 
 def test_inventory_is_clipped_but_keeps_unknown_stock(raw):
@@ -209,3 +210,69 @@ def test_report_tables_are_written(make, spark):
 
     loading.write_report({"executive": insights.executive(wh)}, folder)
     assert spark.read.parquet(f"{folder}/executive").first().total_revenue == 13.0
+
+
+def csv_file(tmp_path, name, text):
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(text)
+    return str(folder)
+
+
+SALES = "OrderID,OrderDate,CustomerID,ProductID,Quantity,Discount,SalesAmount,Profit,Store,Region,PaymentMethod,SalesChannel"
+GOODS = "ProductID,Category,Subcategory,Brand,ProductName,SellingPrice,CostPrice,Supplier,LaunchDate"
+
+
+def test_csv_quotes_column_order_and_line_breaks(spark, tmp_path):
+    text = GOODS + '\nP1,A,s,b,"24"" Monitor, black",10.00,6.00,"two\nlines",2020-01-01\n'
+    row = extracts.read_extract(spark, csv_file(tmp_path, "p", text), "products", multi_line=True).first()
+    assert (row.ProductName, row.Supplier) == ('24" Monitor, black', "two\nlines")
+    assert (float(row.CostPrice), float(row.SellingPrice)) == (6.0, 10.0)
+    path = extracts.write_csv(spark.createDataFrame([('a "b", c', None)], "x string, y string"), str(tmp_path / "out"))
+    assert '"a ""b"", c"' in "".join(f.read_text() for f in (tmp_path / "out").glob("*.csv"))
+    assert spark.read.option("header", True).option("escape", '"').csv(path).first().x == 'a "b", c'
+
+
+def test_bad_values_fail_or_are_kept_and_missing_columns_are_named(spark, tmp_path):
+    text = GOODS.replace(",", ";") + '\nP1;A;s;5" b;n;abc;6.00;sup;not-a-date\nP2;A;s;b;n;10.00;6.00;sup;2020-01-01\n'
+    path = csv_file(tmp_path, "p", text)
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        extracts.read_unquoted(spark, path, "products", ";").collect()
+    rows = extracts.read_unquoted(spark, path, "products", ";", tolerant=True).orderBy("ProductID").collect()
+    assert rows[0][extracts.CORRUPT].startswith("P1;") and rows[0].SellingPrice is None and rows[1][extracts.CORRUPT] is None
+    with pytest.raises(ValueError, match="LaunchDate"):
+        extracts.read_extract(spark, csv_file(tmp_path, "q", "ProductID,Category\nP1,A\n"), "products")
+
+
+def test_the_first_of_several_rows_stays(spark, tmp_path):
+    head = "CustomerID,Age,Gender,City,State,Country,Segment,Income,SignupDate,LifetimeValue,LoyaltyTier\n"
+    first = "C1,30,F,Zurich,s,x,New,50000,2020-01-01,1,Gold\n"
+    second = "C1,30,F,Aarau,s,x,New,,2020-01-01,1,Gold\nC2,40,M,c,s,x,New,90000,2020-01-01,1,Gold\n"
+    path = csv_file(tmp_path, "customers", head + first + second)
+    df = extracts.read_extract(spark, path, "customers", arrival=True)
+    rows = {r.CustomerID: r for r in cleaning.clean_customers(df.repartition(3)).collect()}
+    assert (rows["C1"].City, float(rows["C1"].Income)) == ("Zurich", 50000.0)
+    assert extracts.ARRIVAL not in cleaning.clean_customers(df).columns
+
+
+def test_the_sale_keeps_its_own_region(spark, tmp_path, make):
+    from tallycart.plans.insights import declining_region
+
+    row = "O1,2024-01-01,C1,P1,1,0.1,10.00,1.00,S1,East,UPI,Online\n"
+    sales = extracts.read_extract(spark, csv_file(tmp_path, "sales", SALES + "\n" + row), "sales")
+    assert cleaning.to_star({e: sales for e in ("customers", "products", "sales", "inventory", "returns")}, None, None)["fact_sales"].first().sale_region == "East"
+    wh = make(
+        dim_customers=[dict(customer_id=1, country="X")],
+        fact_sales=[sale(100, "2023-02-01", sale_region="East"), sale(60, "2024-02-01", sale_region="East"), sale(5, "2024-02-01", sale_region="West")],
+    )
+    assert declining_region(wh).first().region == "East"
+
+
+def test_customers_without_orders_count_with_zero(make):
+    from tallycart.plans import customers
+
+    wh = make(dim_customers=[dict(customer_id=1), dict(customer_id=2)], fact_sales=[sale(10, customer=1)])
+    assert customers.q24(wh).count() == 1
+    raw = wh.customers.selectExpr("CAST(customer_id AS STRING) AS CustomerID", "lifetime_value AS LifetimeValue", "loyalty_tier AS LoyaltyTier")
+    sold = wh.sales.selectExpr("CAST(customer_id AS STRING) AS CustomerID", "sales_amount AS SalesAmount")
+    assert {r.CustomerID: float(r.LifetimeValue) for r in cleaning.refresh_ltv(raw, sold).collect()} == {"1": 10.0, "2": 0.0}

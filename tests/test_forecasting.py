@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallycart.functions import timeseries as T
 from tallycart.plans import forecasting
 from tests.conftest import day, rows, sale
 
@@ -21,64 +20,6 @@ def seasonal(n, slope=4.0, level=1000.0):
     return level + slope * k + WAVE[k % 12]
 
 
-def test_holt_winters_is_exact_without_noise():
-    y = seasonal(48)
-    forecast, lower, upper = T.holt_winters(y[:36], 12)
-    assert forecast == pytest.approx(y[36:], abs=1e-6)
-    assert upper - lower == pytest.approx(0.0, abs=1e-6)
-
-
-def test_holt_winters_follows_a_shift():
-    rng = np.random.default_rng(1)
-    y = seasonal(60) + rng.normal(0, 5, 60)
-    y[40:] += 200
-    assert np.abs(T.holt_winters(y[:48], 12)[0] - y[48:]).mean() < 25
-
-
-def test_sarima_repeats_an_exact_season():
-    y = seasonal(72)
-    forecast, lower, upper = T.sarima(y[:60], 12)
-    assert forecast == pytest.approx(y[60:], abs=1e-3)
-
-
-def test_all_models_work_on_two_years():
-    """The published comparison trains on 24 months."""
-    rng = np.random.default_rng(2)
-    y = seasonal(24) + rng.normal(0, 3, 24)
-    for model in T.MODELS.values():
-        forecast, lower, upper = model(y, 12)
-        assert np.isfinite(forecast).all() and (lower <= upper).all()
-
-
-def test_arima_recovers_an_autoregression():
-    rng = np.random.default_rng(7)
-    d = np.zeros(400)
-    for k in range(2, 400):
-        d[k] = 0.5 * d[k - 1] + 0.2 * d[k - 2] + rng.normal()
-    y = 100 + np.cumsum(d)
-    forecast, lower, upper = T.arima(y, 12)
-    width = upper - lower
-    assert (np.diff(width) > 0).all()  # uncertainty of an integrated series grows
-    expected = y[-1] + (0.5 * d[-1] + 0.2 * d[-2])
-    assert forecast[0] == pytest.approx(expected, abs=0.6)
-    assert width[0] == pytest.approx(2 * 1.96, rel=0.15)
-
-
-def test_waves_are_exact_on_a_multiplicative_series():
-    k = np.arange(60)
-    y = np.exp(6 + 0.01 * k + 0.2 * np.sin(2 * np.pi * k / 12)) - 1
-    forecast, lower, upper = T.trend_and_waves(y[:48], 12)
-    assert forecast == pytest.approx(y[48:], rel=1e-6)
-    assert (lower <= forecast).all() and (forecast <= upper).all()
-
-
-@pytest.mark.parametrize("model", T.MODELS.values())
-def test_short_series_are_declined_and_flat_ones_survive(model):
-    assert model(np.array([1.0, 2.0]), 12) is None
-    flat = model(np.full(60, 7.0), 12)
-    assert np.isfinite(flat[0]).all() and flat[0] == pytest.approx(7.0, abs=1e-6)
-
-
 def series(spark, **named):
     data = []
     for name, values in named.items():
@@ -111,15 +52,74 @@ def test_holdout_is_the_end_of_each_series(spark):
     assert test.where("series = 'b'").agg(F.min("revenue")).first()[0] == 18.0
 
 
-def test_best_model_is_chosen_per_series_and_refitted(spark):
-    panel = series(spark, wave=seasonal(60), flat=np.full(60, 5.0))
+def ahead(frame):
+    out = {}
+    for r in frame.orderBy("series", "month").collect():
+        out.setdefault(r.series, []).append((r.forecast, r.lower, r.upper))
+    return {k: np.array(v) for k, v in out.items()}
+
+
+def test_smoothing_continues_a_pure_season_and_follows_a_line(spark):
+    k = np.arange(48)
+    got = ahead(forecasting.smoothing(series(spark, wave=1000 + WAVE[k % 12], line=100 + 5.0 * k, short=k[:23])))
+    assert set(got) == {"wave", "line"}
+    assert got["wave"][:, 0] == pytest.approx(1000 + WAVE, abs=1e-6)
+    assert (got["wave"][:, 2] - got["wave"][:, 1]) == pytest.approx(np.zeros(12), abs=1e-6)
+    assert got["line"][:, 0] == pytest.approx(100 + 5.0 * np.arange(48, 60), abs=1e-6)
+
+
+def test_smoothing_equals_the_plain_recursion(spark):
+    rng = np.random.default_rng(1)
+    y = seasonal(40) + rng.normal(0, 20, 40)
+    tried = []
+    for a in forecasting.LEVELS:
+        for b in forecasting.SLOPES:
+            for g in forecasting.SEASONS:
+                slope = (y[12:24].mean() - y[:12].mean()) / 12
+                season = list(y[:12] - y[:12].mean() - slope * (np.arange(12) - 5.5))
+                level, sse = y[:12].mean() + slope * 5.5, 0.0
+                for v in y[12:]:
+                    s = season.pop(0)
+                    e = v - level - slope - s
+                    up = a * (v - s) + (1 - a) * (level + slope)
+                    slope = b * (up - level) + (1 - b) * slope
+                    season.append(g * (v - up) + (1 - g) * s)
+                    level, sse = up, sse + e * e
+                tried.append((sse, [level + h * slope + season[(h - 1) % 12] for h in range(1, 13)]))
+    sse, want = min(tried, key=lambda t: t[0])
+    got = ahead(forecasting.smoothing(series(spark, a=y)))["a"]
+    assert got[:, 0] == pytest.approx(want) and got[:, 2] - got[:, 0] == pytest.approx(np.full(12, 1.96 * np.sqrt(sse / 28)))
+
+
+def test_log_linear_equals_least_squares(spark):
+    rng = np.random.default_rng(2)
+    k = np.arange(43)
+    y = np.exp(6 + 0.01 * k + 0.2 * np.sin(2 * np.pi * k / 12) + rng.normal(0, 0.05, 43)) - 1
+    x = np.column_stack([k.astype(float), (k[:, None] % 12 == np.arange(12)).astype(float)])
+    beta, *_ = np.linalg.lstsq(x, np.log1p(y), rcond=None)
+    t = np.arange(43, 55)
+    want = np.exp(np.column_stack([t.astype(float), (t[:, None] % 12 == np.arange(12)).astype(float)]) @ beta) - 1
+    sigma = np.sqrt(((np.log1p(y) - x @ beta) ** 2).sum() / 30)
+    got = ahead(forecasting.log_linear(series(spark, a=y, low=np.full(30, -2.0), short=k[:20])))
+    assert set(got) == {"a"} and got["a"][:, 0] == pytest.approx(want)
+    assert got["a"][:, 2] == pytest.approx((want + 1) * np.exp(1.96 * sigma) - 1)
+
+
+def test_best_model_is_chosen_per_series_and_no_series_is_lost(spark):
+    gap = np.full(48, 100.0)
+    gap[47] = 0.0  # a held-out month without revenue
+    panel = series(spark, wave=1000 + WAVE[np.arange(60) % 12], flat=np.full(60, 5.0), ten=range(1, 11), twenty=range(1, 21), gap=gap)
     scores = forecasting.scorecard(panel).collect()
+    assert {(r.series, r.model) for r in scores} == {(s, m) for s in ("wave", "flat", "ten", "twenty", "gap") for m in forecasting.MODELS}
     chosen = {r.series: r for r in scores if r.chosen}
-    assert set(chosen) == {"wave", "flat"} and chosen["wave"].mape < 0.01
-    assert len({r.model for r in scores}) == 5
-    ahead = forecasting.outlook(panel).where("series = 'wave'").orderBy("month").collect()
-    assert [r.month for r in ahead][0] == dt.date(2025, 1, 1) and len(ahead) == 12
-    assert [r.forecast for r in ahead] == pytest.approx(list(seasonal(72)[60:]), abs=0.02)
+    assert set(chosen) == {"wave", "flat", "ten", "twenty", "gap"} and chosen["wave"].mape < 0.01
+    assert chosen["ten"].model == forecasting.MOVING_AVERAGE and chosen["ten"].reason == forecasting.NO_HOLDOUT
+    assert {r.reason for r in scores if r.series == "twenty" and r.model != forecasting.MOVING_AVERAGE} == {forecasting.SHORT}
+    gaps = [r for r in scores if r.series == "gap"]
+    assert all(r.mape is None for r in gaps) and chosen["gap"].rmse == min(r.rmse for r in gaps)
+    out = forecasting.outlook(panel).collect()
+    assert {(s, sum(r.series == s for r in out)) for s in chosen} == {(s, 12) for s in chosen}
+    assert {r.reason for r in out if r.series == "ten"} == {forecasting.NO_HOLDOUT}
 
 
 def test_series_are_gap_free_and_split_by_attribute(make):
