@@ -17,10 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycart.session import staged
+
 STEPS = 512  # rungs per factor of two
 SLICES = 64  # parts that the rows of one value are spread over; a power of two
-TIE_BLOCK = 1 << 20  # ids per block when equal values must be told apart
-TIE_TAIL = 5  # characters that text keys of one block may differ in
 
 
 def rung_of(value: Column, descending: bool) -> Column:
@@ -155,17 +155,17 @@ def tile_scores(
     """NTILE over the whole table for several columns at once: ``scores`` maps output -> (column, descending).
 
     Rows with equal values are told apart by ascending ``key``. ``block`` is any expression that grows with the key
-    and holds a bounded number of keys; it splits a value that very many rows share. By default it is TIE_BLOCK
-    consecutive integers, or for text keys all but the last TIE_TAIL characters of the longest key. All scores
-    travel in one long frame, so the input is read once.
+    and holds a bounded number of keys; it splits a value that very many rows share. By default blocks are ranges of
+    the keys as they are distributed, one per shuffle partition: the rows are range-partitioned by key and written
+    once with their range's number, so any kind of key gives as many blocks as tasks. All scores travel in one long
+    frame, so the input is read once.
     """
-    # a default block is never NULL: no filter can slip into one of the uses of ``long``, so they stay equal and run once
-    if block is None and dict(df.dtypes)[key] == "string":
-        longest = df.agg(F.greatest(F.max(F.length(key)) - TIE_TAIL, F.lit(1)).alias("_head"))
-        df = df.crossJoin(F.broadcast(longest))
-        block = F.coalesce(F.substring(F.col(key), F.lit(1), F.col("_head")), F.lit(""))
-    elif block is None:
-        block = F.coalesce(F.floor(F.col(key) / TIE_BLOCK), F.lit(0))
+    if block is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        columns = dict.fromkeys([key, *(column for column, _ in scores.values())])
+        placed = df.select(*columns).repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id())
+        df = staged(placed, "key-ranges")
+        block = F.col("_range")
     entries = [
         F.struct(
             F.lit(name).alias("score"),

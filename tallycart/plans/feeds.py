@@ -76,9 +76,15 @@ def detail(wh: Warehouse, entity: str, key: int | str) -> DataFrame:
 def executive_cards(wh: Warehouse, month: dt.date) -> DataFrame:
     """B1 cards: the four headline numbers with the month-over-month change of ``month``."""
     change = measures.growth(wh).where(F.col("month") == F.lit(month)).select("mom_growth")
-    return base(wh).select("total_revenue", "total_profit", "gross_margin", "average_order_value").crossJoin(
-        F.broadcast(change)
+    sold = wh.sales.agg(
+        F.sum("sales_amount").alias("revenue"), F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("orders")
     )
+    return sold.select(
+        dbl("revenue").alias("total_revenue"),
+        dbl("profit").alias("total_profit"),
+        rnd(ratio("profit", "revenue"), 4).alias("gross_margin"),
+        rnd(ratio("revenue", "orders")).alias("average_order_value"),
+    ).crossJoin(F.broadcast(change))
 
 
 def revenue_trend(wh: Warehouse) -> DataFrame:

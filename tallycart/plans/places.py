@@ -72,7 +72,7 @@ def q65(wh: Warehouse, limit: int = 20) -> DataFrame:
     own = wh.sales.groupBy("customer_id").agg(F.sum("sales_amount").alias("total"), F.count("sales_amount").alias("n"))
     orders = wh.sales.select("order_id", "customer_id", "sales_amount")
     return (
-        salted_join(orders, own, "customer_id", spread="order_id")
+        salted_join(orders, own, "customer_id", spread="order_id", rows="n")
         .where(F.col("sales_amount") * F.col("n") > F.col("total"))
         .orderBy(F.desc("sales_amount"), "order_id")
         .limit(limit)
@@ -88,10 +88,11 @@ def q66(wh: Warehouse, limit: int = 20) -> DataFrame:
         .select("product_id", "product_name", "category", pct("profit", "revenue").alias("product_margin_pct"))
     )
     exact = F.col("product_margin_pct").cast("decimal(18,2)")
-    means = margins.groupBy("category").agg(ratio(F.sum(exact), F.count(exact)).alias("category_avg_margin_pct"))
+    mean = ratio(F.sum(exact), F.count(exact)).alias("category_avg_margin_pct")
+    means = margins.groupBy("category").agg(mean, F.count(F.lit(1)).alias("n"))
     gap = F.col("product_margin_pct") - F.col("category_avg_margin_pct")
     return (
-        salted_join(margins, means, "category", spread="product_id")
+        salted_join(margins, means, "category", spread="product_id", rows="n")
         .where(gap > 0)
         .orderBy(F.desc(gap), "product_id")
         .limit(limit)

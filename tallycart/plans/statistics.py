@@ -346,6 +346,7 @@ def importance(wh: Warehouse, trees: int = 100, depth: int = 8, seed: int = 42)
         .na.drop()
         .withColumn("held_out", F.pmod(F.xxhash64("order_id"), F.lit(5)) == 0)
     )
+    rows = staged(rows, "forest-rows")  # the forest and the evaluator read them several times
     data = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows).select("x", "profit", "held_out")
     forest = RandomForestRegressor(
         featuresCol="x", labelCol="profit", numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed

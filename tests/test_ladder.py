@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallycart.operators import ladder as L
+from tallycart.operators import skew
 from tallycart.operators.skew import salted_join
 
 
@@ -81,10 +82,26 @@ def test_rung_never_breaks_the_order(spark):
     assert rungs == sorted(rungs)
 
 
-def test_salted_join_is_exact(spark):
+def test_salted_join_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 20)
     many = spark.createDataFrame([(k, 1 if k % 3 else k) for k in range(300)], "id bigint, key bigint")
     one = many.groupBy("key").agg(F.count("*").alias("n"))
-    out = salted_join(many, one, "key", "id")
+    out = salted_join(many, one, "key", "id", "n")
     assert out.count() == 300
     plain = {(r.id, r.n) for r in many.join(one, "key").collect()}
     assert {(r.id, r.n) for r in out.collect()} == plain
+
+
+@pytest.mark.parametrize("kind", ["hex", "sparse"])
+def test_one_value_held_by_many_random_keys_stays_in_few_blocks(spark, kind):
+    """200,000 random ids that share one value: as many tie blocks as shuffle partitions, none much above its share."""
+    n = 200_000
+    key = F.md5(F.col("id").cast("string")) if kind == "hex" else F.xxhash64("id")
+    df = spark.range(n).select(key.alias("k"), F.lit(1).cast("decimal(12,2)").alias("v"))
+    out = L.tile_scores(df, "k", {"t": ("v", False)}, 5)
+    got = out.groupBy("t").agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).orderBy("t").collect()
+    assert [r.n for r in got] == [n // 5] * 5
+    assert all(a.high < b.low for a, b in zip(got, got[1:]))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) <= parts and max(r["count"] for r in ranges) < 2 * n / parts
