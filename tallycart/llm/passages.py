@@ -38,12 +38,16 @@ from tallycart.llm.textcode import U64, VALUES, mixed, powers
 from tallycart.session import staged
 
 
+#: Windows that are marked at once.
+MARKED = 1 << 19
+
+
 @dataclass(frozen=True)
 class Settings:
     length: int = 50
     gram: int = 16
     #: Bytes of text in a part, and behind a code range.
-    part: int = 8 << 20
+    part: int = 4 << 20
     range: int = 4 << 20
     #: Bytes of stretches sorted at once within a range.
     step: int = 1 << 21
@@ -340,12 +344,18 @@ def cut(part: Part, st: Stretches, answers: dict[int, bytes], s: Settings) -> It
         bits = np.concatenate(bits).astype(bool)
         first, count = part.first[st.chosen], part.windows[st.chosen]
         later = part.ids[part.owner[st.chosen]] > st.least[st.which]  # an earlier text of this part has the whole stretch
-        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        hit = np.repeat(later, count) | bits[np.repeat(at[st.which], count) + offset]
-        window = (np.repeat(first, count) + offset)[hit]
-        step += np.bincount(window, minlength=len(step)).astype(np.int32)
-        step[s.length :] -= np.bincount(window, minlength=len(step)).astype(np.int32)[: -s.length]
-    gone = np.cumsum(step[: len(part.data)]) > 0
+        held = np.cumsum(count)
+        i = 0
+        while i < len(count):  # some windows at a time
+            j = max(i + 1, int(np.searchsorted(held, held[i] + MARKED)))
+            own = count[i:j]
+            offset = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            hit = np.repeat(later[i:j], own) | bits[np.repeat(at[st.which[i:j]], own) + offset]
+            window = (np.repeat(first[i:j], own) + offset)[hit]
+            np.add.at(step, window, 1)
+            np.subtract.at(step, window + s.length, 1)
+            i = j
+    gone = np.cumsum(step[: len(part.data)], dtype=np.int32) > 0
     for a, b in zip(part.edges, part.edges[1:], strict=False):
         own = gone[a:b]
         runs = int(own[0]) + int((own[1:] & ~own[:-1]).sum())
