@@ -157,3 +157,10 @@ SQL["m10_seasonality"] = star(
     FROM parts GROUP BY series""",
     **PARTS,
 )
+
+SQL["m11_price_elasticity"] = star(
+    f"""SELECT category, count(*) AS product_months, {r('regr_slope(y, x)', 4)} AS elasticity, {r('regr_r2(y, x)', 5)} AS r_squared
+    FROM (SELECT category, ln(CAST(u AS DOUBLE)) AS y, ln(CAST(v AS DOUBLE) / CAST(u AS DOUBLE)) AS x
+          FROM (SELECT product_id, date_trunc('month', order_date) AS m, sum(quantity) AS u, sum(sales_amount) AS v FROM fact_sales GROUP BY ALL)
+          JOIN dim_products USING (product_id) WHERE u > 0 AND v > 0) GROUP BY category"""
+)

@@ -146,6 +146,8 @@ on_star("m6_cluster_profile", statistics.cluster_profile)
 on_star("m7_outliers", statistics.outliers)
 on_star("m7_outlier_summary", statistics.outlier_summary)
 on_star("m8_importance", statistics.importance)
+on_star("m11_price_elasticity", statistics.price_elasticity)
+on_star("m12_churn_propensity", statistics.churn_propensity, cut=dt.date(2000, 12, 31))
 on_star("m9_trend", _total_and(statistics.trend, "category"))
 on_star("m10_decomposition", _total_and(statistics.decomposition, "category"))
 on_star("m10_seasonality", _total_and(statistics.seasonality, "category"))

@@ -6,12 +6,14 @@ first reduce the sales to sums per customer, so the fact table is never joined r
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -20,6 +22,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycart.functions.dates import month_of
 from tallycart.functions.numeric import count_if, dbl, pct, ratio, rnd
 from tallycart.functions.tails import f_p_value, t_bound, t_p_value
 from tallycart.operators.ladder import quantiles
@@ -447,3 +450,39 @@ def seasonality(wh: Warehouse, by: Sequence[str] = (), last=None, with_total: bo
         "peak_month",
         "trough_month",
     )
+
+
+def price_elasticity(wh: Warehouse) -> DataFrame:
+    """Demand elasticity per category: slope of ln(units) on ln(net price per unit) over the product-months with sales.
+
+    NULL where all prices are equal. The fact is reduced to product-months before anything is joined.
+    """
+    months = wh.sales.groupBy("product_id", month_of("order_date").alias("month")).agg(
+        F.sum("quantity").alias("units"), F.sum("sales_amount").alias("revenue")
+    )
+    sold = months.where((F.col("units") > 0) & (F.col("revenue") > 0)).join(wh.products.select("product_id", "category"), "product_id")
+    points = sold.select("category", F.log(dbl("units")).alias("y"), F.log(dbl("revenue") / dbl("units")).alias("x"))
+    fit = points.groupBy("category").agg(
+        F.count(F.lit(1)).alias("product_months"),
+        F.regr_slope("y", "x").alias("slope"),
+        F.regr_r2("y", "x").alias("r2"),
+    )
+    return fit.select("category", "product_months", rnd("slope", 4).alias("elasticity"), rnd("r2", 5).alias("r_squared"))
+
+
+def churn_propensity(wh: Warehouse, cut: dt.date, days: int = 180) -> DataFrame:
+    """Probability per customer that no order follows within ``days`` after ``cut``, by logistic regression on recency,
+    frequency and spend up to the cut. Fitted by Spark on all customers seen by then; whoever came back is known."""
+    until = wh.sales.where(F.col("order_date") <= F.lit(cut)).groupBy("customer_id").agg(
+        F.datediff(F.lit(cut), F.max("order_date")).cast("double").alias("recency"),
+        F.log1p(F.count(F.lit(1)).cast("double")).alias("frequency"),
+        F.log1p(F.greatest(dbl(F.sum("sales_amount")), F.lit(0.0))).alias("monetary"),
+    )
+    after = wh.sales_between(cut + dt.timedelta(days=1), cut + dt.timedelta(days=days)).select("customer_id").distinct()
+    rows = until.join(after.withColumn("back", F.lit(1)), "customer_id", "left").withColumn("churned", F.isnull("back").cast("double"))
+    inputs = ["recency", "frequency", "monetary"]
+    data = staged(rows.select("customer_id", *inputs, "churned"), "churn-rows")
+    vectors = VectorAssembler(inputCols=inputs, outputCol="x").transform(data)
+    model = LogisticRegression(featuresCol="x", labelCol="churned", regParam=0.001, maxIter=50).fit(vectors)
+    chance = F.get(vector_to_array("probability"), F.lit(1))
+    return model.transform(vectors).select("customer_id", rnd(chance, 6).alias("churn_probability"), F.col("churned").cast("int").alias("churned"))

@@ -10,7 +10,7 @@ import pytest
 
 from tallycart.functions import tails
 from tallycart.plans import statistics
-from tests.conftest import sale
+from tests.conftest import day, sale
 
 
 @pytest.mark.parametrize(
@@ -157,3 +157,28 @@ def test_decomposition_of_an_exact_series(make):
 def test_trend_of_a_line(make):
     r = statistics.trend(make(fact_sales=_months(24, lambda k: 100 + 7 * k + (k % 2)))).first()
     assert r.slope == pytest.approx(7.0, abs=0.02) and r.p == 0.0 and r.direction == "upward"
+
+
+def test_elasticity_recovers_a_constant_slope(make):
+    data = []
+    for month in range(1, 13):
+        price = 10 + month
+        units = round(100_000 * price**-2.0)
+        data.append(sale(price * units, f"2024-{month:02d}-10", quantity=units))
+    got = statistics.price_elasticity(make(fact_sales=data, dim_products=[dict(product_id=1, category="A")])).first()
+    assert got.product_months == 12 and got.elasticity == pytest.approx(-2.0, abs=0.01) and got.r_squared > 0.999
+    flat = statistics.price_elasticity(make(fact_sales=[sale(10), sale(10, "2024-02-10")], dim_products=[dict(product_id=1, category="A")])).first()
+    assert flat.elasticity is None
+
+
+def test_churn_probability_follows_recency(make):
+    data = []
+    for c in range(1, 121):
+        idle = c % 2 == 0  # idle customers bought long ago and never come back
+        data.append(sale(50, "2023-02-01" if idle else "2023-12-20", customer=c))
+        if not idle:
+            data.append(sale(20, "2024-02-01", customer=c))
+    rows = {r.customer_id: r for r in statistics.churn_propensity(make(fact_sales=data), day("2023-12-31")).collect()}
+    assert len(rows) == 120 and {r.churned for c, r in rows.items() if c % 2 == 0} == {1}
+    assert min(r.churn_probability for c, r in rows.items() if c % 2 == 0) > 0.8
+    assert max(r.churn_probability for c, r in rows.items() if c % 2) < 0.2
