@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tallycart.functions.dates import month_of
 from tallycart.operators.cleaning import first_per_key
 from tallycart.operators.integrity import require_valid
-from tallycart.sources.schemas import KEYS
+from tallycart.sources.schemas import KEYS, star_schema
 from tallycart.sources.warehouse import Warehouse
 
 ORDER = ("dim_customers", "dim_products", "dim_stores", "dim_warehouses", "fact_sales", "fact_inventory", "fact_returns")
@@ -58,6 +58,23 @@ def write_table(df: DataFrame, table: str, path: str) -> None:
         df.write.parquet(path)
 
 
+def typed(df: DataFrame, table: str) -> DataFrame:
+    """The columns of the star table in their types. Keys may be numbers or text, as the extracts have them; anything
+    else that can't be cast fails the load."""
+    columns = []
+    for field in star_schema(table).fields:
+        if field.name not in df.columns:
+            raise ValueError(f"{table} lacks the column {field.name}")
+        given = df.schema[field.name].dataType
+        if field.name.endswith("_id") and isinstance(given, (T.StringType, T.LongType)):
+            columns.append(F.col(field.name))
+        elif field.name.endswith("_id") and not isinstance(given, (T.IntegerType, T.ShortType)):
+            raise ValueError(f"{table}.{field.name} is {given.simpleString()}; keys are bigint or string")
+        else:
+            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    return df.select(*columns)
+
+
 def load_all(tables: Mapping[str, DataFrame], folder: str, strict: bool = True) -> str:
     """Add the rows whose keys are not stored yet and skip the rest; repeating a load changes nothing.
 
@@ -65,6 +82,7 @@ def load_all(tables: Mapping[str, DataFrame], folder: str, strict: bool = True)
     load stays invisible.
     """
     spark = next(iter(tables.values())).sparkSession
+    tables = {t: typed(tables[t], t) for t in ORDER}
     before = finished_loads(spark, folder)
     load = uuid.uuid4().hex
     for table in ORDER:

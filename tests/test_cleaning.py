@@ -276,3 +276,16 @@ def test_customers_without_orders_count_with_zero(make):
     raw = wh.customers.selectExpr("CAST(customer_id AS STRING) AS CustomerID", "lifetime_value AS LifetimeValue", "loyalty_tier AS LoyaltyTier")
     sold = wh.sales.selectExpr("CAST(customer_id AS STRING) AS CustomerID", "sales_amount AS SalesAmount")
     assert {r.CustomerID: float(r.LifetimeValue) for r in cleaning.refresh_ltv(raw, sold).collect()} == {"1": 10.0, "2": 0.0}
+
+
+def test_load_holds_the_types_of_the_star(spark, make, tmp_path):
+    wh = make(fact_returns=[dict(order_id="o1")])
+    tables = {t: wh.table(t) for t in loading.ORDER}
+    text = dict(tables, fact_sales=tables["fact_sales"].withColumn("quantity", F.col("quantity").cast("string")))
+    loading.load_all(text, str(tmp_path / "a"))
+    assert dict(loading.read_table(spark, str(tmp_path / "a"), "fact_sales").dtypes)["quantity"] == "int"
+    odd = dict(tables, dim_stores=tables["dim_stores"].withColumn("store_id", F.lit(1.5)))
+    with pytest.raises(ValueError, match="store_id"):
+        loading.load_all(odd, str(tmp_path / "b"))
+    with pytest.raises(ValueError, match="region"):
+        loading.load_all(dict(tables, dim_stores=tables["dim_stores"].drop("region")), str(tmp_path / "c"))
