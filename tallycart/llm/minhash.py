@@ -8,9 +8,11 @@ of less than 2 * (1 - p) ** side (1.5e-4 at 0.85 for tuples of 3 and sides of 10
 1. Documents with equal sets collapse to the one with the smallest id.
 2. Table entries are sorted by key and id over all partitions; runs of one key are kept. A run's first document leads it
    (in each partition it reaches), and each member is compared with its leader: no pairs of a hot bucket are listed.
-3. Confirmed links give components. Only members of a run that are in different components by now are compared with each
-   other, in the first table they share, unless their distances from the leader tell them apart (Jaccard distance is a
-   metric). That is every pair that could still join two components, so nothing is lost by the leaders.
+3. Confirmed links give components. Members of a run that are in different components by now still have to meet. Runs are
+   packed into blocks of bounded size, blocks of one run are paired, and a task passes on only pairs that meet in this
+   table first, may reach the similarity by size and by their distances from the leader (Jaccard distance is a metric),
+   and agree in enough of ``sketch`` further minhashes of 8 bits: ``slack`` standard deviations below the limit, which
+   loses a link with a chance of 4e-6 at most, less than the tables do. Survivors are confirmed on the full sets.
 
 Texts are read whole. Null and empty texts have an empty set and no links. Rows with a null id take no part. Rows that
 repeat an id are one node. Other columns are left aside.
@@ -39,6 +41,9 @@ class Settings:
     tuple: int = 3
     side: int = 10
     seed: int = 7
+    sketch: int = 256
+    slack: float = 4.5
+    block: int = 256
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
@@ -76,6 +81,17 @@ def tuples(codes: np.ndarray, settings: Settings) -> np.ndarray:
     return out
 
 
+def sketched(codes: np.ndarray, settings: Settings) -> bytes:
+    """Low bytes of ``sketch`` further minhashes."""
+    seeds = np.random.default_rng(settings.seed + 1).integers(1, 1 << 63, settings.sketch, dtype=np.uint64)
+    out = np.empty(settings.sketch, dtype=np.uint8)
+    step = max(1, (1 << 17) // len(codes))
+    for k in range(0, settings.sketch, step):
+        x = (codes[None, :] ^ seeds[k : k + step, None]) * U64(0x9FB21C651E98DF25)
+        out[k : k + step] = mixed(((x ^ (x >> U64(32))) * U64(0xD6E8FEB86659FD93)).min(axis=1)) & U64(255)
+    return out.tobytes()
+
+
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per row: id, set size, a 128-bit code of the set, and both sides' tuples."""
 
@@ -98,10 +114,10 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def keyed(signed: DataFrame, side: int) -> DataFrame:
-    """An entry per table: key, id and set size."""
+    """An entry per table: its number, key, id and set size."""
     first, second = F.slice("tuples", 1, side), F.slice("tuples", side + 1, side)
     keys = F.flatten(F.transform(first, lambda x, i: F.transform(second, lambda y, j: F.xxhash64(i, j, x, y))))
-    return signed.select(F.explode(keys).alias("key"), "doc_id", "n")
+    return signed.select(F.posexplode(keys).alias("slot", "key"), "doc_id", "n")
 
 
 def runs(entries: DataFrame) -> DataFrame:
@@ -138,8 +154,8 @@ def runs(entries: DataFrame) -> DataFrame:
             if len(chosen):
                 taken = rows.take(pa.array(chosen))
                 yield from pa.table(
-                    [taken.column("key"), taken.column("doc_id"), taken.column("n"), pa.array(leaders[chosen], taken.schema.field("doc_id").type), pa.array(edge[chosen])],
-                    names=["key", "doc_id", "n", "leader", "edge"],
+                    [*(taken.column(c) for c in ("slot", "key", "doc_id", "n")), pa.array(leaders[chosen], taken.schema.field("doc_id").type), pa.array(edge[chosen])],
+                    names=["slot", "key", "doc_id", "n", "leader", "edge"],
                 ).to_batches()
             if last:
                 return
@@ -148,7 +164,7 @@ def runs(entries: DataFrame) -> DataFrame:
 
     kind = dict(entries.dtypes)["doc_id"]
     placed = entries.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
-    return placed.mapInArrow(scan, f"key long, doc_id {kind}, n long, leader {kind}, edge boolean")
+    return placed.mapInArrow(scan, f"slot int, key long, doc_id {kind}, n long, leader {kind}, edge boolean")
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +172,60 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """The full sets of the wanted ids, as bytes."""
+    """The full sets of the wanted ids, as bytes, and their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column("text"))
             for a, b in pieces(texts):
-                codes = [s.tobytes() for s in shingle_sets(texts[a:b], settings.words)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(codes, pa.binary())], ["doc_id", "codes"])
+                sets = shingle_sets(texts[a:b], settings.words)
+                columns = [pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([sketched(s, settings) if len(s) else b"" for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), *columns], ["doc_id", "codes", "sketch"])
+
+    return docs.join(wanted, "doc_id", "left_semi").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, codes binary, sketch binary")
+
 
-    return docs.join(wanted, "doc_id", "left_semi").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, codes binary")
+def met(packs: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of members of one run, in different components, that may be similar enough; each in one table only."""
+    s = settings
+    share = s.percent / 100
+    # two sets of similarity ``share`` agree in a byte as often as in a minhash, and in one of 256 other cases
+    agree = share + (1 - share) / 256
+    least = s.sketch * agree - s.slack * np.sqrt(s.sketch * agree * (1 - agree))
+
+    def members(rows: list[dict]) -> dict[str, np.ndarray]:
+        out = {c: np.array([r[c] for r in rows]) for c in ("doc_id", "label", "leader", "n")}
+        out["gap"] = np.array([np.nan if r["gap"] is None else r["gap"] for r in rows], dtype=float)
+        out["tuples"] = np.array([r["tuples"] for r in rows])
+        out["sketch"] = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint8).reshape(len(rows), s.sketch)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                slot = batch.column("slot")[k].as_py()
+                x, y = (members(batch.column(c)[k].as_py()) for c in ("x", "y"))
+                far = lambda c: (x[c][:, None], y[c][None, :])
+                (a, b), (n, m), (p, q) = far("doc_id"), far("n"), far("label")
+                fits = (a != b) & (p != q) & (a != y["leader"][None, :]) & (b != x["leader"][:, None])
+                fits &= np.minimum(n, m) * 100 >= np.maximum(n, m) * s.percent
+                fits &= ~((x["leader"][:, None] == y["leader"][None, :]) & (np.abs(x["gap"][:, None] - y["gap"][None, :]) > 1 - share + 1e-9))
+                if batch.column("same")[k].as_py():
+                    fits &= a < b
+                i, j = np.nonzero(fits)
+                if len(i):
+                    equal = x["tuples"][i] == y["tuples"][j]
+                    first = equal[:, : s.side].argmax(axis=1) * s.side + equal[:, s.side :].argmax(axis=1)
+                    i, j = i[first == slot], j[first == slot]
+                    close = (x["sketch"][i] == y["sketch"][j]).sum(axis=1) >= least
+                    i, j = i[close], j[close]
+                u, v = x["doc_id"][i], y["doc_id"][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    x = packs.select("key", "slot", F.col("block").alias("i"), F.col("members").alias("x"))
+    y = packs.select("key", F.col("block").alias("j"), F.col("members").alias("y"))
+    joined = x.join(y, "key").where("i <= j").select("slot", "x", "y", (F.col("i") == F.col("j")).alias("same"))
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -174,8 +234,8 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both, union = [], []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=U64) for c in ("x", "y"))
                 inside = len(np.intersect1d(x, y, assume_unique=True))
                 both.append(inside)
                 union.append(len(x) + len(y) - inside)
@@ -212,29 +272,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = first_round.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(links)
 
-    # the second round: members of one run in different components, met in the first table that they share
+    # the second round: members of one run in different components
     marked = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     marked = staged(marked, "labelled-buckets")
-    mixed_keys = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
-    mixed_keys = staged(mixed_keys.where("low < high and members > 2").select("key"), "mixed-keys")
+    runs_ = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
+    open_runs = staged(runs_.where("low < high and members > 2").select("key", "members"), "open-runs")
     gap = (F.lit(1.0) - F.col("both") / F.col("union")).alias("gap")
     gaps = first_round.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), gap)
-    rest = marked.join(mixed_keys, "key", "left_semi").join(gaps, ["leader", "doc_id"], "left")
+    rest = marked.join(open_runs, "key").join(gaps, ["leader", "doc_id"], "left")
     rest = rest.withColumn("gap", F.when(F.col("leader") == F.col("doc_id"), F.lit(0.0)).otherwise(F.col("gap")))
-    rest = staged(rest.join(distinct.select("doc_id", "tuples"), "doc_id"), "members-to-compare")
-    x, y = rest.alias("x"), rest.alias("y")
-    slot = lambda at: F.array_position(
-        F.zip_with(F.slice("x.tuples", at, s.side), F.slice("y.tuples", at, s.side), lambda p, q: p == q), True
-    ).cast("int")
-    i, j = slot(1), slot(s.side + 1)
-    first_key = F.xxhash64(i - 1, j - 1, F.get(F.col("x.tuples"), i - 1), F.get(F.col("x.tuples"), j - 1 + s.side))
-    apart = (F.col("x.leader") == F.col("y.leader")) & (F.abs(F.col("x.gap") - F.col("y.gap")) > 1 - s.percent / 100 + 1e-9)
-    met = (
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label"))
-        & (F.col("x.doc_id") != F.col("y.leader")) & (F.col("y.doc_id") != F.col("x.leader"))
-        & fits(F.col("x.n"), F.col("y.n")) & ~F.coalesce(apart, F.lit(False)) & (first_key == F.col("x.key"))
-    )
-    others = staged(x.join(y, met).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "other-pairs")
+    rest = staged(rest.join(distinct.select("doc_id", "tuples"), "doc_id").join(sets.select("doc_id", "sketch"), "doc_id"), "members-to-compare")
+    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / s.block)).alias("block")
+    member = F.struct("doc_id", "label", "leader", "n", "gap", "tuples", "sketch")
+    packs = staged(rest.groupBy("key", "slot", block).agg(F.collect_list(member).alias("members")), "packs")
+    others = staged(met(packs, s), "other-pairs")
     second = compared(others, sets).where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     second = staged(second, "links-of-second-round")
     if not second.isEmpty():
