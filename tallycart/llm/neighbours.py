@@ -36,6 +36,7 @@ class Settings:
     most_lists: int = 48
     links: int = 16
     beam: int = 64
+    home_beam: int = 16
     block: int = 512
 
 
@@ -108,7 +109,7 @@ class Graph:
 
     def homes(self, points: np.ndarray, s: Settings) -> list[list[int]]:
         """The lists that each vector is put into."""
-        order, far = self.search(points, s.beam)
+        order, far = self.search(points, s.home_beam)
         out = []
         for ranked, d in zip(order, far, strict=True):
             chosen = [int(ranked[0])]
@@ -228,10 +229,12 @@ def nearest(table: DataFrame, every: int = 100, id_col: str = "vec_id", vector_c
     sample = matrix(drawn.column("v").combine_chunks())
     leaves = max(1, min(total // s.list_size, len(sample) // 8))
     graph = spark.sparkContext.broadcast(Graph.of(bisected(sample, leaves, np.random.default_rng(11)), s.links))
-    blocks = staged(packed(entered(distinct, graph, s, "homes", ["v", "ids"]), s.block, ("x", "ids")), "blocks")
+    placed = staged(entered(distinct, graph, s, "homes", ["v", "ids"]), "in-lists")  # the range sort below reads it twice
+    blocks = staged(packed(placed, s.block, ("x", "ids")), "blocks")
     queries = staged(rows.where(F.col("vec_id") % every == 0).select("v", F.col("vec_id").alias("ids")).distinct(), "queries")
     width = sample.shape[1]
-    asked = packed(entered(queries, graph, s, "probes", ["v", "ids"]), s.block, ("q", "asker"))
+    probing = staged(entered(queries, graph, s, "probes", ["v", "ids"]), "probes")
+    asked = packed(probing, s.block, ("q", "asker"))
     found = staged(best(answers(blocks, asked, s, width), s.k), "found")
     # few candidates in the lists read: look through all of them
     enough = found.groupBy("query_id").count().where(F.col("count") >= s.k).select(F.col("query_id").alias("ids"))
