@@ -98,7 +98,7 @@ class Part:
             a, b = np.flatnonzero(start), np.flatnonzero(stop)
             firsts.append(a + at)
             counts.append(b - a + 1)
-            codes.append(low[a])
+            codes.append(mixed(low[a]))  # least hashes crowd at zero; mixed ones fill all code ranges alike
             owners.append(np.searchsorted(own, a, side="right") - 1 + begin)
             begin = end
         join = lambda x, t: np.concatenate(x) if x else np.zeros(0, dtype=t)
