@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallycart.llm.bpe import tokens
+from tallycart.llm.minhash import Settings as Similar
 from tallycart.llm.minhash import one_of_each
 from tallycart.llm.mixing import mixed_documents
 from tallycart.llm.pii import redacted
@@ -20,6 +21,8 @@ from tallycart.llm.toxicity import without_toxic
 from tallycart.session import staged
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Five words and 0.80; sides of 14 miss a link of exactly that similarity with a chance of 8.7e-5.
+NEAR = Similar(percent=80, side=14)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +30,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_of_each(docs)
+    return one_of_each(docs, settings=NEAR)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

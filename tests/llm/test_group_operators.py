@@ -290,6 +290,19 @@ def test_pipeline_equals_its_stages_in_plain_python(spark):
     assert got == want
 
 
+def test_stage_joins_texts_from_four_fifths(spark):
+    """Pairs of similarity 0.80 to 0.85 are one document to the stage and two to the query."""
+    rng = random.Random(15)
+    docs = []
+    for k in range(40):
+        base = words(rng, 54)  # one changed word leaves 45 of 55 shingles
+        docs += [(3 * k, " ".join(base)), (3 * k + 1, " ".join([*base[:49], f"x{k}", *base[50:]]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    near = {k for k, (_, c) in brute_groups(docs, 80).items() if k == c}
+    assert len(near) == 40 and len({c for _, c in brute_groups(docs, 85).values()}) == 80
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, SF).collect()} == near
+
+
 _groups = {}
 
 
