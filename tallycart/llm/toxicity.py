@@ -1,13 +1,15 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over whole texts, distance-weighted votes.
 
 Examples are a bounded sample of the labelled training rows (``Settings.per_class`` of each label, smallest hashes first,
-equal texts once). Terms are words and word beginnings that mark one label in the examples (``Settings.terms`` at most);
-their document frequencies are counted over all documents. The index holds examples in blocks; for each term and block the
-largest weight gives an upper bound of a block's cosines, blocks are scored in the order of their bounds, and scoring ends
-when no bound can beat the k-th best: the neighbours are exact. A vote weighs the inverse cosine distance, times how many
-labelled rows its example stands for, against the share of toxic rows as prior.
+equal texts once). Terms are all words and word beginnings of the examples; their document frequencies are counted over all
+documents. A term no example holds counts in a text's norm as one that stands in one document. Terms that mark the toxic
+examples weigh more: by the lower bound of the log ratio of the rates at which toxic and clean examples hold them. Each rate
+is taken within its own label, so caps, sample size and the balance of labels don't move it.
 
-Texts are scored whole; null counts as empty and scores as texts without any marking term do. Ids never enter a score;
+Every text meets every example: products of terms that few examples hold are summed over postings, those of the others over
+rows of a dense table, so the neighbours are exact. A vote weighs the inverse cosine distance, times how many labelled rows its example stands for, against the share of toxic rows as prior.
+
+Texts are scored whole; null counts as empty and scores as texts that share no term do. Ids never enter a score;
 a null id counts as not held out. Without usable labels every score is 0. Repeated rows are scored alike.
 """
 
@@ -18,9 +20,11 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +38,12 @@ REMEMBERED = 300_000
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 3000
-    terms: int = 4096
-    least_rows: int = 5
-    least_z: float = 5.0
+    emphasis: float = 2.0
+    errors: float = 2.0
     neighbours: int = 16
     prior_weight: float = 2.0
     block: int = 64
+    common: float = 0.05
 
 
 def terms_of(word: str) -> list[str]:
@@ -53,72 +57,89 @@ def held_out(id_col: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """Examples as blocks of postings. ``caps`` has the largest weight of each term in each block."""
+    """Example vectors: postings by term for the rare terms, a dense table for the common ones. ``place`` has a common
+    term's row there and -1 for a rare one; ``block`` rows are multiplied at once."""
 
     numbers: dict[str, int]
-    idf: np.ndarray
+    worth: np.ndarray
+    outside: float
     ids: np.ndarray
     labels: np.ndarray
     stands_for: np.ndarray
     block: int
     edges: np.ndarray
-    terms: np.ndarray
     rows: np.ndarray
     weights: np.ndarray
-    caps: np.ndarray
+    place: np.ndarray
+    dense: np.ndarray
     prior: float
     unmarked: float
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples that share a term; ties to the smaller number."""
-        bounds = weights @ self.caps[terms]
-        dense = np.zeros(len(self.idf))
-        dense[terms] = weights
-        rows, scores, floor = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(scores) >= k and bounds[b] < floor - 1e-9:
-                break
-            part = slice(self.edges[b], self.edges[b + 1])
-            got = np.bincount(self.rows[part], weights=self.weights[part] * dense[self.terms[part]], minlength=self.block)
-            hit = np.flatnonzero(got > 0)
-            rows, scores = np.append(rows, hit + b * self.block), np.append(scores, got[hit])
-            order = np.lexsort((rows, -scores))[:k]
-            rows, scores = rows[order], scores[order]
-            floor = scores[-1] if len(scores) else 0.0
-        return rows, scores
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.ids)
+        if not n:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        column = self.place[terms]
+        rare = terms[column < 0]
+        starts = self.edges[rare]
+        sizes = self.edges[rare + 1] - starts
+        at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self.rows[at], weights=self.weights[at] * np.repeat(weights[column < 0], sizes), minlength=n).astype(float)
+        query, column = weights[column >= 0].astype(np.float32), column[column >= 0]
+        for b in range(0, len(column), self.block):
+            scores += query[b : b + self.block] @ self.dense[column[b : b + self.block]]
+        floor = np.partition(scores, n - k)[n - k] if n > k else 0.0
+        rows = np.flatnonzero((scores >= floor) & (scores > 0))
+        rows = rows[np.lexsort((rows, -scores[rows]))[:k]]
+        return rows, scores[rows]
+
+    def vector(self, counts: dict[int, int], others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text; ``others`` is the squared weight, before ``outside``, of terms no example holds."""
         terms = np.array(sorted(counts), dtype=np.int64)
-        weights = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms]
-        return terms, weights / math.sqrt(weights @ weights)
+        weights = (1 + np.log([counts[t] for t in terms.tolist()])) * self.worth[terms]
+        return terms, weights / math.sqrt(weights @ weights + others * self.outside**2)
 
-    def score(self, counts: dict[int, int], settings: Settings) -> tuple[float, list[int]]:
+    def score(self, read: tuple[dict[int, int], float], settings: Settings) -> tuple[float, list[int]]:
+        counts, others = read
         if not counts:
             return self.unmarked, []
-        rows, cosines = self.nearest(*self.vector(counts), settings.neighbours)
+        rows, cosines = self.nearest(*self.vector(counts, others), settings.neighbours)
         votes = self.stands_for[rows] / (1.05 - np.minimum(cosines, 1.0))
         total = votes.sum() + settings.prior_weight
         return float((votes @ self.labels[rows] + settings.prior_weight * self.prior) / total), self.ids[rows[:3]].tolist()
 
 
 class Reader:
-    """Counts of index terms in a text."""
+    """Counts of index terms in a text, and the squared weight of its other terms."""
 
     def __init__(self, numbers: dict[str, int]):
         self.numbers, self.known = numbers, {}
 
-    def __call__(self, text: str) -> dict[int, int]:
+    def found(self, word: str) -> tuple[tuple[int, ...], int]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            terms = terms_of(word)
+            inside = tuple(self.numbers[t] for t in terms if t in self.numbers)
+            found = self.known[word] = inside, len(terms) - len(inside)
+        return found
+
+    def __call__(self, text: str) -> tuple[dict[int, int], float]:
         counts: dict[int, int] = {}
-        known = self.known
-        for word in WORD.findall(text.lower()):
-            found = known.get(word)
-            if found is None:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                found = known[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-            for t in found:
-                counts[t] = counts.get(t, 0) + 1
-        return counts
+        others = 0.0
+        for word, n in Counter(WORD.findall(text.lower())).items():
+            inside, missing = self.found(word)
+            for t in inside:
+                counts[t] = counts.get(t, 0) + n
+            if missing:
+                others += missing * (1 + math.log(n)) ** 2
+        return counts, others
+
+    def terms(self, text: str) -> list[int]:
+        """The index terms of a text, each once."""
+        return list(set(chain.from_iterable(self.found(w)[0] for w in set(WORD.findall(text.lower())))))
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
@@ -127,8 +148,8 @@ def training_rows(labels: DataFrame) -> DataFrame:
     return given.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def marking_terms(examples: DataFrame, settings: Settings, sizes: dict[int, int]) -> list[str]:
-    """Terms far more frequent in toxic examples than chance allows."""
+def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """All terms of the examples in order, and how many clean and toxic ones hold each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,35 +160,44 @@ def marking_terms(examples: DataFrame, settings: Settings, sizes: dict[int, int]
             columns = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)]
             yield pa.RecordBatch.from_arrays(columns, ["term", "clean", "toxic"])
 
-    share = sizes[1] / (sizes[0] + sizes[1])
     counts = examples.select("text", "toxic").mapInArrow(count, "term string, clean long, toxic long")
-    expected = (F.col("clean") + F.col("toxic")) * share
-    z = (F.col("toxic") - expected) / F.sqrt(expected)
-    summed = counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    found = summed.where(F.col("toxic") >= settings.least_rows).select("term", z.alias("z")).where(F.col("z") >= settings.least_z)
-    return [r.term for r in found.orderBy(F.desc("z"), "term").limit(settings.terms).collect()]
+    summed = counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")
+    return summed.column("term").to_pylist(), summed.column("clean").to_numpy(), summed.column("toxic").to_numpy()
+
+
+def emphasis(clean: np.ndarray, toxic: np.ndarray, found: dict[int, int], settings: Settings) -> np.ndarray:
+    """Factors of 1 and more: what the log ratio of a term's rates in toxic and clean examples surely exceeds."""
+    ratio = np.log((toxic + 0.5) / (found[1] + 1)) - np.log((clean + 0.5) / (found[0] + 1))
+    error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    return 1 + settings.emphasis * np.maximum(0, ratio - settings.errors * error)
 
 
-def document_counts(docs: DataFrame, text_col: str, numbers: dict[str, int]) -> tuple[int, np.ndarray]:
+def document_counts(docs: DataFrame, text_col: str, sent: Broadcast, size: int) -> tuple[int, np.ndarray]:
     """How many documents there are, and in how many each term stands, over the whole table."""
-    size = len(numbers)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, read = np.zeros(size + 1, dtype=np.int64), Reader(numbers)
+        total, read = np.zeros(size + 1, dtype=np.int64), Reader(sent.value)
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                total[list(read(text))] += 1
+                total[read.terms(text)] += 1
                 total[size] += 1
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["term", "n"])
 
-    found = docs.select(F.col(text_col)).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = docs.select(F.col(text_col)).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size + 1, dtype=np.int64)
-    for r in found:
-        out[r.term] = r.n
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return int(out[size]), out[:size]
 
 
+@dataclass(frozen=True)
+class Example:
+    doc_id: object
+    toxic: int
+    terms: np.ndarray
+    counts: np.ndarray
+
+
 def build(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, settings: Settings) -> Index | None:
     """The index; None if the labels don't hold both kinds."""
     rows = training_rows(labels)
@@ -185,50 +215,55 @@ def build(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, settin
     if len(found) < 2:
         examples.unpersist()
         return None
-    numbers = {t: k for k, t in enumerate(marking_terms(examples, settings, found))}
-    n_docs, frequency = document_counts(docs, text_col, numbers)
+    words, clean, toxic = example_terms(examples)
+    numbers = {t: k for k, t in enumerate(words)}
+    sent = docs.sparkSession.sparkContext.broadcast(numbers)
+    n_docs, frequency = document_counts(docs, text_col, sent, len(numbers))
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Reader(numbers)
+        read = Reader(sent.value)
         for batch in batches:
-            counts = [sorted(read(t).items()) for t in texts_of(batch.column("text"))]
+            counts = [sorted(read(t)[0].items()) for t in texts_of(batch.column("text"))]
             columns = [batch.column("doc_id"), batch.column("toxic")]
-            columns += [pa.array([[x[part] for x in c] for c in counts], pa.list_(pa.int64())) for part in (0, 1)]
+            columns += [pa.array([np.array([x[part] for x in c], dtype=np.int32).tobytes() for c in counts], pa.binary()) for part in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "terms", "counts"])
 
     kind = dict(examples.dtypes)["doc_id"]
-    drawn = examples.select("doc_id", "toxic", "text").mapInArrow(vectors, f"doc_id {kind}, toxic int, terms array<long>, counts array<long>").collect()
+    rows_ = examples.select("doc_id", "toxic", "text").mapInArrow(vectors, f"doc_id {kind}, toxic int, terms binary, counts binary").collect()
     examples.unpersist()
-    return indexed(drawn, numbers, idf, sizes, found, settings)
+    drawn = [Example(r.doc_id, r.toxic, np.frombuffer(r.terms, dtype=np.int32), np.frombuffer(r.counts, dtype=np.int32)) for r in rows_]
+    worth = idf * emphasis(clean, toxic, found, settings)
+    return indexed(drawn, numbers, worth, sizes, found, settings, math.log((1 + n_docs) / 2) + 1)
 
 
-def indexed(drawn: list, numbers: dict[str, int], idf: np.ndarray, sizes: dict[int, int], found: dict[int, int], settings: Settings) -> Index:
-    """Lay the example vectors out in blocks: similar ones together, by their terms."""
+def indexed(drawn: list, numbers: dict[str, int], worth: np.ndarray, sizes: dict[int, int], found: dict[int, int], settings: Settings, outside: float = 0.0) -> Index:
+    """Lay the example vectors out by term."""
     stands_for = {k: sizes[k] / found[k] for k in (0, 1)}
-    marked = sorted((r for r in drawn if r.terms), key=lambda r: (r.terms, r.counts, str(r.doc_id)))
-    plain = [r for r in drawn if not r.terms]
+    held = [(np.asarray(r.terms, dtype=np.int32), np.asarray(r.counts, dtype=np.int32), r) for r in drawn]
+    marked = sorted((x for x in held if len(x[0])), key=lambda x: (x[0].tobytes(), x[1].tobytes(), str(x[2].doc_id)))
+    plain = [r for terms, _, r in held if not len(terms)]
     prior = sizes[1] / (sizes[0] + sizes[1])
     weight = {k: stands_for[k] * sum(r.toxic == k for r in plain) for k in (0, 1)}
     unmarked = (weight[1] + prior * settings.prior_weight) / (weight[0] + weight[1] + settings.prior_weight)
-    blocks = -(-len(marked) // settings.block)
-    caps = np.zeros((len(idf), max(blocks, 1)))
-    terms, rows, weights, edges = [], [], [], [0]
-    for b in range(blocks):
-        part = []
-        for row, r in enumerate(marked[b * settings.block : (b + 1) * settings.block]):
-            w = (1 + np.log(r.counts)) * idf[r.terms]
-            part += [(t, row, x) for t, x in zip(r.terms, w / math.sqrt(w @ w), strict=True)]
-        for t, row, x in sorted(part):
-            caps[t, b] = max(caps[t, b], x)
-            terms.append(t)
-            rows.append(row)
-            weights.append(x)
-        edges.append(len(terms))
+    none = np.zeros(0, dtype=np.int32)
+    terms = np.concatenate([none, *(x[0] for x in marked)])
+    rows = np.repeat(np.arange(len(marked), dtype=np.int32), [len(x[0]) for x in marked])
+    weights = np.concatenate([none, *((1 + np.log(x[1])) * worth[x[0]] for x in marked)])
+    weights /= np.sqrt(np.bincount(rows, weights=weights**2, minlength=len(marked)))[rows]
+    held_by = np.bincount(terms, minlength=len(worth))
+    place = np.full(len(worth), -1, dtype=np.int32)
+    common = np.flatnonzero(held_by > settings.common * len(marked))
+    place[common] = np.arange(len(common))
+    dense = np.zeros((len(common), len(marked)), dtype=np.float32)
+    often = place[terms] >= 0
+    dense[place[terms[often]], rows[often]] = weights[often]
+    order = np.flatnonzero(~often)[np.argsort(terms[~often], kind="stable")]
+    edges = np.concatenate(([0], np.cumsum(np.where(place < 0, held_by, 0))))
+    labels = [x[2] for x in marked]
     return Index(
-        numbers, idf, np.array([r.doc_id for r in marked], dtype=object), np.array([r.toxic for r in marked], dtype=float),
-        np.array([stands_for[r.toxic] for r in marked]), settings.block, np.array(edges), np.array(terms, dtype=np.int64),
-        np.array(rows, dtype=np.int64), np.array(weights, dtype=float), caps, prior, unmarked,
+        numbers, worth, outside, np.array([r.doc_id for r in labels], dtype=object), np.array([r.toxic for r in labels], dtype=float),
+        np.array([stands_for[r.toxic] for r in labels]), settings.block, edges, rows[order], weights[order], place, dense, prior, unmarked,
     )
 
 

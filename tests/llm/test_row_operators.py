@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -303,6 +304,23 @@ def test_toxicity_odd_rows(spark, odd, labelled):
     assert toxicity.without_toxic(odd, labels).columns == odd.columns
 
 
+def plain_cosine_table(spark, n_toxic, n_clean):
+    """Labelled training texts of words of their own, the toxic ones with one of 10 marks; ids stay outside the held-out fold."""
+    ids = [k for k in range(10_000) if zlib.crc32(str(k).encode()) % 5][: n_toxic + n_clean]
+    texts = [" ".join(f"w{k}x{j}" for j in range(20)) + (f" mark{chr(97 + k % 10)}" if i < n_toxic else "") for i, k in enumerate(ids)]
+    labels = [(k, 1, int(i < n_toxic)) for i, k in enumerate(ids)]
+    return ids, texts, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_whole_texts_enter_the_cosine(spark):
+    ids, texts, labels = plain_cosine_table(spark, 60, 120)
+    held = [k for k in range(10_000, 10_100) if not zlib.crc32(str(k).encode()) % 5]
+    copy = texts[0].rsplit(" ", 1)[0]  # the first toxic text without its mark
+    docs = spark.createDataFrame([*zip(ids, texts, strict=True), (held[0], copy)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.toxic_scores(docs, labels).collect()}
+    assert rows[held[0]].evidence[0] == ids[0] and rows[held[0]].predicted == 1
+
+
 # -- HTML
 
 
