@@ -321,6 +321,14 @@ def test_whole_texts_enter_the_cosine(spark):
     assert rows[held[0]].evidence[0] == ids[0] and rows[held[0]].predicted == 1
 
 
+def test_marks_count_alike_at_every_size_and_balance(spark):
+    for n_toxic, n_clean in ((60, 60), (60, 480), (200, 200)):
+        ids, texts, labels = plain_cosine_table(spark, n_toxic, n_clean)
+        docs = spark.createDataFrame([*zip(ids, texts, strict=True), (20_000, "fresh words markc")], "doc_id long, text string")
+        rows = {r.doc_id: r for r in toxicity.toxic_scores(docs, labels).collect()}
+        assert rows[20_000].predicted == 1
+
+
 # -- HTML
 
 
