@@ -60,6 +60,7 @@ class Node:
     parent: int
     out: bool
     linked: bool
+    marked: str = ""
 
 
 @dataclass
@@ -70,18 +71,62 @@ class Page:
     runs: list[tuple[int, str] | None] = field(default_factory=list)
 
 
+#: What may follow a mark at the start of a name, as in sidebar-left.
+TAILS = frozenset("list area box bar block wrap wrapper container inner section posts links items left right top bottom slot unit buttons form".split())
+SPARING = frozenset(("with", "has", "no", "without"))
+#: Marks of what others wrote: left out however long it is.
+OTHERS = frozenset("comment comments commentlist disqus related replies reply respond".split())
+
+
 def furniture(tag: str, attributes: dict[str, str]) -> bool:
     if tag in FURNITURE:
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
+    return attributes.get("role", "").lower() in ROLES
+
+
+def mark(tag: str, attributes: dict[str, str]) -> str:
+    """The mark of page furniture in a class or id: a whole name, its last part, or its first before mere position words."""
     if tag in ("body", "html", "article", "main"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-    words = [[w.lower() for w in NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))] for name in names]
-    return any(w in MARKS for name in words if name and name[0] not in ("with", "has", "no", "without") for w in name)
+        return ""
+    found = ""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        parts = [w.lower() for w in NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name)) if not w.isdigit()]
+        if not parts or SPARING & set(parts):
+            continue
+        here = parts[-1] if parts[-1] in MARKS else parts[0] if parts[0] in MARKS and TAILS.issuperset(parts[1:]) else ""
+        found = here if here in OTHERS else found or here
+    return found
+
+
+def settle(page: Page) -> None:
+    """Marked elements go out, but one that holds most of the page's words outside links, or of its articles'; no mark
+    counts if no text would be left."""
+    nodes = page.nodes
+    if not any(n.marked for n in nodes):
+        return
+    words, article, within = [0] * len(nodes), [0] * len(nodes), [False] * len(nodes)
+    for k, n in enumerate(nodes):
+        within[k] = n.tag in ("article", "main") or k > 0 and within[n.parent]
+    for run in page.runs:
+        if run and not nodes[run[0]].out and not nodes[run[0]].linked:
+            words[run[0]] += len(run[1].split())
+    for k in range(len(nodes) - 1, -1, -1):
+        if within[k]:
+            article[k] = words[k]
+    for k in range(len(nodes) - 1, 0, -1):
+        words[nodes[k].parent] += words[k]
+        article[nodes[k].parent] += article[k]
+    out = [False] * len(nodes)
+    for k, n in enumerate(nodes):
+        if not k:
+            continue
+        most = words[k] * 2 > words[0] or article[k] * 2 > article[0]
+        out[k] = n.out or out[n.parent] or bool(n.marked) and (n.marked in OTHERS or not most)
+    if any(run and not out[run[0]] and run[1].strip() for run in page.runs):
+        for n, gone in zip(nodes, out, strict=True):
+            n.out = gone
 
 
 def step(tag: str, attributes: dict[str, str]) -> str:
@@ -151,8 +196,9 @@ def parse(html: str) -> Page:
         above = nodes[stack[-1]]
         out = above.out or furniture(tag, attributes)
         path = f"{above.path}/{step(tag, attributes)}" if tag in BLOCK else above.path
-        nodes.append(Node(tag, path, stack[-1], out, above.linked or tag == "a"))
+        nodes.append(Node(tag, path, stack[-1], out, above.linked or tag == "a", mark(tag, attributes)))
         stack.append(len(nodes) - 1)
+    settle(page)
     return page
 
 

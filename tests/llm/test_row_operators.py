@@ -354,6 +354,16 @@ def test_broken_and_odd_pages():
     assert len(text_of("<p>" + "long " * 100_000)) == 499_999
 
 
+@pytest.mark.parametrize("name", ["content-with-sidebar", "layout-sidebar-right", "page-menu-open", "elementor-widget-container", "widget", "page sidebar"])
+def test_wrappers_named_like_furniture_stay(name):
+    assert text_of(f'<nav>home</nav><div class="{name}"><p>{"real words " * 20}</p></div><div class="ad">buy</div>') == ("real words " * 20).strip()
+
+
+def test_comments_longer_than_the_text_go():
+    page = f'<article><p>short text</p></article><div class="sidebar-left">aside</div><div id="comments"><article>{"mine too " * 50}</article></div>'
+    assert text_of(page) == "short text"
+
+
 def test_hosts_agree_on_a_path(spark):
     body = lambda k: f"<div class='wrap'><div class='story b{k}'><p>{'real words ' * 20}{k}</p></div><div class='teaser'><p>{'short ' * (2 + 40 * (k == 3))}</p></div></div>"
     pages = [(k, f"http://a.example/{k}", body(k), "x") for k in range(6)] + [(None, None, None, "x"), (9, "odd url", "", "y"), (9, "odd url", "", "y")]
