@@ -2,8 +2,10 @@
 
 First pass: every page's containers are scored by the words they hold outside links and page furniture; the best
 container's path (tags with their classes, digits generalised) is the page's vote. Votes are summed per host in Spark and
-each host keeps the ``paths`` with the most votes. Second pass: a page is extracted from the containers whose path ends
-like a winning path; a page without such a container uses its own best one.
+each host keeps the ``paths`` with the most votes, if they have a quarter of the first one's. Second pass: a page is
+extracted from all its containers with a winning path; its own best one is used too if that has more than four times their
+words, or alone if there are none. A container beside which notable text stands gives way to the one around both. Text off
+the winning paths is left out below that size, as it is where pages of a host have a long teaser beside a short text.
 
 Blocks are cut where block-level tags open or close. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, hidden parts and reader comments are left out by tag, role, class or id. Pages are read whole; null counts as
@@ -207,11 +209,17 @@ CONTAINERS = frozenset(("article", "main", "section", "div", "body", "td", "bloc
 WHOLE = {"article": 1.0, "main": 0.9}
 
 
-def best_path(page: Page) -> str | None:
-    """The path of the container with the highest score: its own words outside links and furniture, less those in links,
-    and a share of its inner containers' score that halves with each level (article and main count nearly all)."""
+#: Words outside links beside the best container, and their share of its own, from which its parent is taken.
+NOTABLE, NOTABLE_SHARE = 10, 0.05
+#: A page's own best container joins the host's paths when it has this many times their words.
+FAR_MORE = 4
+
+
+def containers(page: Page) -> tuple[list[int], list[float], list[float]]:
+    """The nearest container of each node; per container its words outside links and furniture less those in links, with
+    all inner ones, and with a share of the inner ones that halves with each level."""
     nodes = page.nodes
-    box = [0] * len(nodes)  # the nearest container of each node
+    box = [0] * len(nodes)
     for k, n in enumerate(nodes):
         box[k] = k if n.tag in CONTAINERS else box[n.parent] if k else 0
     full = [0.0] * len(nodes)
@@ -225,19 +233,51 @@ def best_path(page: Page) -> str | None:
             up = box[nodes[k].parent]
             full[up] += full[k]
             fading[up] += fading[k] / 2
+    return box, full, fading
+
+
+def best_box(page: Page, box: list[int], full: list[float], fading: list[float]) -> int | None:
+    """The container with the highest score (article and main count nearly all inner words), or the one around it as long
+    as notable text stands beside it."""
+    nodes = page.nodes
     scores = [(full[k] * WHOLE[n.tag] if n.tag in WHOLE else fading[k], k) for k, n in enumerate(nodes) if k and box[k] == k]
     score, k = max(scores, default=(0.0, 0))
-    return nodes[k].path if score > 0 else None
+    if score <= 0:
+        return None
+    best, up = k, box[nodes[k].parent]
+    while up:
+        if full[up] - full[best] >= max(NOTABLE, NOTABLE_SHARE * full[best]):
+            best = up
+        up = box[nodes[up].parent]
+    return best
+
+
+def best_path(page: Page) -> str | None:
+    best = best_box(page, *containers(page))
+    return None if best is None else page.nodes[best].path
 
 
 def extract(page: Page, paths: list[str]) -> tuple[str, str | None]:
-    """The text under the first of the paths that the page has, else under its own best container; and that path."""
-    own = {n.path for n in page.nodes}
-    path = next((p for p in paths if p in own), None) or best_path(page)
+    """The text under all of the host's paths that the page has, and under its own best container if that is far longer or
+    there are none; and these paths."""
     nodes = page.nodes
-    within = [False] * len(nodes)
-    for k, n in enumerate(nodes):
-        within[k] = not n.out and (path is None or n.path == path or (n.parent >= 0 and within[n.parent]))
+    own = {n.path for n in nodes}
+    used = [p for p in paths if p in own]
+    box, full, fading = containers(page)
+    best = best_box(page, box, full, fading)
+
+    def under(chosen: set[str]) -> list[bool]:
+        within = [False] * len(nodes)
+        for k, n in enumerate(nodes):
+            within[k] = not n.out and (not chosen or n.path in chosen or (n.parent >= 0 and within[n.parent]))
+        return within
+
+    within = under(set(used))
+    if best is not None:
+        words = sum(len(r[1].split()) * (-1 if nodes[r[0]].linked else 1) for r in page.runs if r and within[r[0]])
+        if not used or full[best] > FAR_MORE * words:
+            used.append(nodes[best].path)
+            within = under(set(used))
     blocks, current = [], []
     for run in [*page.runs, None]:
         if run is None:
@@ -248,7 +288,7 @@ def extract(page: Page, paths: list[str]) -> tuple[str, str | None]:
                 current = []
         elif within[run[0]]:
             current.append(unescape(run[1]))
-    return "\n".join(blocks), path
+    return "\n".join(blocks), " ".join(dict.fromkeys(used)) or None
 
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -272,7 +312,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     votes = slim.select("host", "html").mapInArrow(vote, "host string, path string, n long").groupBy("host", "path").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "path"))
-    top = votes.withColumn("rank", rank).where(F.col("rank") <= paths)
+    most = F.max("n").over(Window.partitionBy("host"))
+    top = votes.withColumn("rank", rank).withColumn("most", most).where((F.col("rank") <= paths) & (F.col("n") * 4 >= F.col("most")))
     winners = top.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
     winners = staged(winners, "winning-paths")  # of known size: Spark broadcasts it if small, else both sides are shuffled
     joined = slim.join(winners, "host", "left").select("page_id", "url", "html", "paths")

@@ -364,6 +364,15 @@ def test_comments_longer_than_the_text_go():
     assert text_of(page) == "short text"
 
 
+def test_siblings_and_all_winning_paths_are_kept():
+    lead, story = ("lead words " * 30).strip(), ("story words " * 50).strip()
+    assert text_of(f"<body><div class=lead>{lead}</div><div class=story>{story}</div></body>") == f"{lead}\n{story}"
+    page = html.parse(f"<body><div class=a>{lead}</div><div class=b>{story}</div></body>")
+    assert html.extract(page, ["/body/div.b", "/body/div.a"])[0] == f"{lead}\n{story}"
+    page = html.parse(f"<body><div class=a>one two three</div><div class=c>{story}</div></body>")
+    assert html.extract(page, ["/body/div.a"])[0] == f"one two three\n{story}"
+
+
 def test_hosts_agree_on_a_path(spark):
     body = lambda k: f"<div class='wrap'><div class='story b{k}'><p>{'real words ' * 20}{k}</p></div><div class='teaser'><p>{'short ' * (2 + 40 * (k == 3))}</p></div></div>"
     pages = [(k, f"http://a.example/{k}", body(k), "x") for k in range(6)] + [(None, None, None, "x"), (9, "odd url", "", "y"), (9, "odd url", "", "y")]
