@@ -52,7 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixing),
     ("encoding", encoding),
 ]
-#: SQL can express none of the learned or confirmed stages; tests/llm/test_pipeline.py holds the rows against plain Python.
+#: SQL can express none of the learned or confirmed stages; tests/llm/test_group_operators.py holds the rows against the stages.
 ORACLE_SQL = None
 
 
