@@ -16,6 +16,8 @@ from tallycart.llm.mixing import oracle as mixing_sql
 from tallycart.llm.neighbours import nearest
 from tallycart.llm.passages import removed_passages
 from tallycart.llm.pii import pii_spans
+from tallycart.llm.prefixes import oracle as prefixes_sql
+from tallycart.llm.prefixes import prefix_trie
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
 from tallycart.llm.warc import archived
@@ -91,3 +93,11 @@ SELECT page_id, n::bigint AS payload_bytes, sha1(b) AS payload_digest,
        CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
 FROM d"""
+
+
+@query
+def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefixes"] = prefixes_sql()
