@@ -21,6 +21,7 @@ from tallycart.llm.prefixes import prefix_trie
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
 from tallycart.llm.warc import archived
+from tallycart.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +102,8 @@ def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_prefixes"] = prefixes_sql()
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
