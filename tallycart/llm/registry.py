@@ -20,6 +20,7 @@ from tallycart.llm.prefixes import oracle as prefixes_sql
 from tallycart.llm.prefixes import prefix_trie
 from tallycart.llm.repetition import repetition
 from tallycart.llm.toxicity import toxic_scores
+from tallycart.llm.vectordups import linked_vectors
 from tallycart.llm.warc import archived
 from tallycart.llm.whitening import whitened
 
@@ -107,3 +108,8 @@ ORACLES["op11_prefixes"] = prefixes_sql()
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_vectordups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
