@@ -2,7 +2,7 @@
 
 Vectors are brought to length 1, where a cosine is a distance. A table's key joins ``k`` quantised random projections
 floor((a.v + b) / width) with normal a; there are as many tables as a pair exactly at the limit needs to miss all of them
-with a chance of ``miss`` (1e-4) at most, and k grows with the logarithm of the number of vectors, so that a vector shares a
+with a chance of ``miss`` (1e-6) at most, and k grows with the logarithm of the number of vectors, so that a vector shares a
 bucket with about ``mates`` unrelated ones at any size. Projections multiply whole numbers, which doubles do exactly: a
 key is a pure function of its vector in any task.
 
@@ -47,7 +47,7 @@ SLOT_BITS = 10  # low bits of a key: its table
 class Settings:
     limit: float = 0.95
     width: float = 2.0
-    miss: float = 1e-4
+    miss: float = 1e-6
     mates: int = 64
     bits: int = 128
     slack: float = 4.5
