@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.arima import plain, seasonal
 from oracle.base import r, star
 from oracle.statistics import PANEL
 
@@ -38,7 +39,7 @@ def _sum(first: int) -> str:
 
 
 def models(name: str, train: str) -> dict[str, str]:
-    """Forecasts of all three models over the table of a training statement, as ``{name}_all``; names carry a prefix so that
+    """Forecasts of all five models over the table of a training statement, as ``{name}_all``; names carry a prefix so that
     one statement can fit two histories."""
     n = name
     return {
@@ -65,8 +66,12 @@ def models(name: str, train: str) -> dict[str, str]:
         f"{n}_s": f"""SELECT series, final, n, slope, 1.96 * sqrt(sum((z - lv - slope * t) ** 2) / (max(n) - 13)) AS spread
           FROM {n}_fit GROUP BY series, final, n, slope""",
         f"{n}_h": "SELECT unnest(range(1, 13)) AS h",
+        **plain(f"{n}_arima"),
+        **seasonal(f"{n}_sarima"),
         f"{n}_all": f"""SELECT series, CAST(final + to_months(CAST(k AS INT)) AS DATE) AS month, 'Moving Average' AS model, f, f AS low, f AS high
             FROM {n}_ma WHERE k > 0
+          UNION ALL SELECT series, month, 'ARIMA', f, low, high FROM {n}_arima_out
+          UNION ALL SELECT series, month, 'SARIMA', f, low, high FROM {n}_sarima_out
           UNION ALL SELECT series, CAST(final + to_months(CAST(h AS INT)) AS DATE), 'Exponential Smoothing', f, f - w, f + w FROM
             (SELECT *, level + h * slope + season[(h - 1) % 12 + 1] AS f, 1.96 * sqrt(sse / (n - 12)) AS w FROM {n}_best, {n}_h)
           UNION ALL SELECT series, month, 'Log-Linear Trend and Season', exp(z) - 1, exp(z - spread) - 1, exp(z + spread) - 1 FROM
@@ -87,16 +92,17 @@ def outlook(history: str) -> dict[str, str]:
           FROM t_all JOIN kept USING (series, month) GROUP BY ALL""",
         "score": f"""SELECT *, row_number() OVER (PARTITION BY series ORDER BY mape NULLS LAST, rmse NULLS LAST,
             model <> 'Moving Average', model) = 1 AS chosen,
-          CASE WHEN n <= 12 THEN 'too short for a holdout' WHEN rmse IS NOT NULL THEN NULL WHEN n - 12 < 24 THEN 'fewer than 24 months'
+          CASE WHEN n <= 12 THEN 'too short for a holdout' WHEN rmse IS NOT NULL THEN NULL
+            WHEN n - 12 < 24 THEN 'fewer than 24 months' WHEN model = 'SARIMA' AND n - 12 < 36 THEN 'fewer than 36 months'
             ELSE 'needs revenue above -1' END AS reason
           FROM (SELECT series, count(*) AS n FROM {history} GROUP BY ALL) CROSS JOIN
-          (SELECT unnest(['Moving Average', 'Exponential Smoothing', 'Log-Linear Trend and Season']) AS model) LEFT JOIN errors USING (series, model)""",
+          (SELECT unnest(['Moving Average', 'Exponential Smoothing', 'ARIMA', 'SARIMA', 'Log-Linear Trend and Season']) AS model) LEFT JOIN errors USING (series, model)""",
         "ahead": """SELECT w_all.series, model, month, f, low, high, reason FROM w_all JOIN score USING (series, model) WHERE chosen""",
     }
 
 
 FIT = models("w", "SELECT series, month, revenue FROM panel")
-for name, model in (("e3_holt_winters", "Exponential Smoothing"), ("e6_trend_and_season", "Log-Linear Trend and Season")):
+for name, model in (("e3_holt_winters", "Exponential Smoothing"), ("e4_arima", "ARIMA"), ("e5_sarima", "SARIMA"), ("e6_trend_and_season", "Log-Linear Trend and Season")):
     SQL[name] = star(
         f"SELECT series, month, {r('f')} AS forecast, {r('low')} AS lower, {r('high')} AS upper FROM w_all WHERE model = '{model}'", **PANEL, **FIT
     )

@@ -237,6 +237,8 @@ on_star(
     lambda wh: forecasting.moving_average(_panel(wh)).select("series", "month", rnd("forecast").alias("forecast")),
 )
 on_star("e3_holt_winters", _fits(forecasting.SMOOTHING))
+on_star("e4_arima", _fits(forecasting.ARIMA))
+on_star("e5_sarima", _fits(forecasting.SARIMA))
 on_star("e6_trend_and_season", _fits(forecasting.LOG_LINEAR))
 on_star("e7_scorecard", lambda wh: forecasting.scorecard(_panel(wh)))
 on_star("e8_outlook", lambda wh: forecasting.outlook(_panel(wh)))

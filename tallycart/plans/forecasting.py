@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycart.functions.dates import spine_between
 from tallycart.functions.numeric import rnd
+from tallycart.plans.arima import arima, sarima
 from tallycart.plans.measures import fact_keys, in_context
 from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
@@ -77,11 +78,12 @@ def moving_average(series: DataFrame, horizon: int = 12, window: int = 3) -> Dat
 
 
 MOVING_AVERAGE, SMOOTHING, LOG_LINEAR = "Moving Average", "Exponential Smoothing", "Log-Linear Trend and Season"
+ARIMA, SARIMA = "ARIMA", "SARIMA"
 SEASON = 12
 Z95 = 1.96  # fixed value: normal quantile of the published bands
 #: Weights that exponential smoothing tries: level, slope, season.
 LEVELS, SLOPES, SEASONS = (0.1, 0.3, 0.5, 0.7, 0.9), (0.0, 0.1, 0.3, 0.5), (0.0, 0.1, 0.3, 0.5)
-SHORT = "fewer than 24 months"
+SHORT, SHORT_SEASONAL = "fewer than 24 months", "fewer than 36 months"
 NEGATIVE = "needs revenue above -1"
 NO_HOLDOUT = "too short for a holdout"
 
@@ -169,7 +171,7 @@ def averaged(series: DataFrame, horizon: int = 12) -> DataFrame:
     return out.select("series", "month", "forecast", F.col("forecast").alias("lower"), F.col("forecast").alias("upper"))
 
 
-MODELS = {MOVING_AVERAGE: averaged, SMOOTHING: smoothing, LOG_LINEAR: log_linear}
+MODELS = {MOVING_AVERAGE: averaged, SMOOTHING: smoothing, ARIMA: arima, SARIMA: sarima, LOG_LINEAR: log_linear}
 
 
 def holdout(series: DataFrame, months: int = 12) -> tuple[DataFrame, DataFrame]:
@@ -218,6 +220,7 @@ def scorecard(series: DataFrame, months: int = 12) -> DataFrame:
         F.when(F.col("n") <= months, NO_HOLDOUT)
         .when(F.col("rmse").isNotNull(), F.lit(None))
         .when(F.col("n") - months < 2 * SEASON, SHORT)
+        .when((F.col("model") == SARIMA) & (F.col("n") - months < 3 * SEASON), SHORT_SEASONAL)
         .otherwise(NEGATIVE)
     )
     order = [F.asc_nulls_last("mape"), F.asc_nulls_last("rmse"), F.when(F.col("model") == MOVING_AVERAGE, 0).otherwise(1), F.col("model")]
@@ -233,8 +236,11 @@ def outlook(series: DataFrame, horizon: int = 12, months: int = 12) -> DataFrame
     says why a series had to take the moving average."""
     kept = staged(series, "series")
     best = staged(scorecard(kept, months).where("chosen").select("series", "model", "reason"), "chosen")
+    wanted = {row.model for row in best.select("model").distinct().collect()}  # names of MODELS, so five at most
     out = None
     for name, model in MODELS.items():
+        if wanted and name not in wanted:
+            continue
         own = kept.join(best.where(F.col("model") == name).select("series"), "series", "left_semi")
         made = model(own, horizon).withColumn("model", F.lit(name))
         out = made if out is None else out.unionByName(made)
