@@ -180,3 +180,115 @@ SQL["d_refunds_by_return_month"] = star(
     f"""SELECT CAST(date_trunc('month', return_date) AS DATE) AS month, {d('sum(refund_amount)')} AS refunds_by_return_date
     FROM fact_returns WHERE {PAID} GROUP BY month"""
 )
+
+
+# -- the same measures in a filter context: a grid of every context and month (or day) from its first sale on
+
+WIDE = """SELECT order_date, sales_amount, profit, category, subcategory, region, segment, sales_channel FROM fact_sales
+  JOIN dim_products USING (product_id) JOIN dim_stores USING (store_id) JOIN dim_customers USING (customer_id)"""
+
+
+class Context:
+    def __init__(self, *by: str):
+        self.by, self.keys = by, ", ".join(by)
+        same = " AND ".join(f"days.{b} = f.{b}" for b in by)
+        whole = ", ".join(f"f.{b}" for b in by)
+        grid = """SELECT {whole}, CAST(s.t AS DATE) AS {name}, sum(revenue) AS revenue, sum(profit) AS profit, sum(orders) AS orders,
+            nullif(count(days.order_date), 0) AS days_sold
+          FROM (SELECT {keys}, date_trunc('{unit}', min(order_date)) AS first FROM days GROUP BY ALL) f JOIN
+            (SELECT unnest(generate_series((SELECT date_trunc('{unit}', min(order_date)) FROM days),
+              (SELECT date_trunc('{unit}', max(order_date)) FROM days), INTERVAL 1 {unit})) AS t) s ON s.t >= f.first
+          LEFT JOIN days ON {same} AND date_trunc('{unit}', days.order_date) = s.t GROUP BY ALL"""
+        fill = lambda unit, name: grid.format(whole=whole, keys=self.keys, same=same, unit=unit, name=name)
+        self.tables = {
+            "wide": WIDE,
+            "days": f"SELECT {self.keys}, order_date, sum(sales_amount) AS revenue, sum(profit) AS profit, count(*) AS orders FROM wide GROUP BY ALL",
+            "months": fill("month", "month"),
+            "y": f"SELECT *, sum(revenue) OVER (PARTITION BY {self.keys}, year(month) ORDER BY month) AS ytd FROM months",
+        }
+        self.each_day = {"wide": WIDE, "days": self.tables["days"], "every": fill("day", "order_date")}
+
+    def over(self, more: str = "", rows: str = "") -> str:
+        return f"OVER (PARTITION BY {self.keys}{more} ORDER BY month {rows})"
+
+    def back(self, column: str, n: int) -> str:
+        return f"lag({column}, {n}) {self.over()}"
+
+    def last(self, column: str, n: int, what: str = "sum") -> str:
+        return f"{what}({column}) {self.over(rows=f'ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW')}"
+
+    def grow(self, column: str, n: int) -> str:
+        return r(div(f"({column} - {self.back(column, n)})", self.back(column, n)), 4)
+
+    def time(self, only: str = "") -> str:
+        """``only`` is applied to the rows that come out."""
+        year, quarter = ", year(month)", ", date_trunc('quarter', month)"
+        return star(
+            f"""SELECT * EXCLUDE sold FROM (SELECT {self.keys}, month, revenue IS NOT NULL AS sold,
+            {d(f'sum(revenue) {self.over()}')} AS running_total_revenue, {d('ytd')} AS revenue_ytd,
+            {d(f'sum(revenue) {self.over(quarter)}')} AS revenue_qtd, {d(f'sum(profit) {self.over(year)}')} AS profit_ytd,
+            {d(self.last('revenue', 12))} AS rolling_12_month_revenue, {d(self.last('revenue', 3))} AS rolling_3_month_revenue,
+            {d(self.back('revenue', 12))} AS prior_year_revenue, {d(self.back('ytd', 12))} AS prior_year_revenue_ytd FROM y) {only}""",
+            **self.tables,
+        )
+
+    def growth(self) -> str:
+        return star(
+            f"""SELECT {self.keys}, month, {d('revenue')} AS total_revenue, {d(self.back('revenue', 1))} AS revenue_prior_month,
+            {self.grow('revenue', 1)} AS mom_growth, {d(self.back('revenue', 3))} AS revenue_prior_quarter,
+            {self.grow('revenue', 3)} AS qoq_growth, {self.grow('revenue', 12)} AS yoy_growth, {self.grow('ytd', 12)} AS yoy_growth_ytd,
+            {self.grow('profit', 12)} AS profit_yoy_growth FROM y""",
+            **self.tables,
+        )
+
+    def moving(self) -> str:
+        return star(
+            f"""SELECT {self.keys}, month, {d('revenue')} AS total_revenue,
+            {r(div(self.last('revenue', 3), self.last('days_sold', 3)))} AS revenue_3_month_moving_avg,
+            {r(div(self.last('orders', 3), self.last('days_sold', 3)))} AS orders_3_month_moving_avg,
+            {r(div(self.last('revenue', 3), self.last('revenue', 3, 'count')))} AS monthly_3_month_moving_avg FROM months""",
+            **self.tables,
+        )
+
+    def daily(self) -> str:
+        week = f"OVER (PARTITION BY {self.keys} ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+        return star(
+            f"""SELECT {self.keys}, order_date, {d('revenue')} AS total_revenue,
+            {d(f"sum(revenue) OVER (PARTITION BY {self.keys}, date_trunc('month', order_date) ORDER BY order_date)")} AS revenue_mtd,
+            {r(div(f'sum(revenue) {week}', f'count(revenue) {week}'))} AS revenue_7_day_moving_avg FROM every""",
+            **self.each_day,
+        )
+
+    def quarters(self) -> str:
+        now, before = "a.q", "b.q"
+        same = " AND ".join(f"a.{k} = b.{k}" for k in self.by)
+        return star(
+            f"""SELECT {', '.join(f'a.{k}' for k in self.by)}, a.quarter, {d(now)} AS total_revenue, {d(before)} AS revenue_prior_quarter,
+            {r(div(f'({now} - {before})', before), 4)} AS qoq_growth
+            FROM sums a LEFT JOIN sums b ON {same} AND CAST(b.quarter + INTERVAL 3 MONTH AS DATE) = a.quarter""",
+            wide=WIDE,
+            sums=f"SELECT {self.keys}, CAST(date_trunc('quarter', order_date) AS DATE) AS quarter, sum(sales_amount) AS q FROM wide GROUP BY ALL",
+        )
+
+    def flags(self) -> str:
+        return star(
+            f"""SELECT {self.keys}, month, CASE WHEN margin >= 0.2 THEN 'Healthy' WHEN margin >= 0.1 THEN 'Watch' ELSE 'At Risk' END AS margin_health_flag,
+            CASE WHEN mom > 0.02 THEN '▲' WHEN mom < -0.02 THEN '▼' ELSE '▬' END AS growth_trend_icon,
+            CASE WHEN coalesce({d('revenue')}, 0) >= coalesce(usual, 0) THEN 'Above Trend' ELSE 'Below Trend' END AS above_or_below_trailing_average
+            FROM (SELECT *, {div('profit', 'revenue')} AS margin,
+              {div(f"(revenue - {self.back('revenue', 1)})", self.back('revenue', 1))} AS mom,
+              {div(self.last('revenue', 3), self.last('days_sold', 3))} AS usual FROM months)""",
+            **self.tables,
+        )
+
+
+for own, context in (("region", Context("region")), ("category_channel", Context("category", "sales_channel"))):
+    SQL[f"d_time_{own}"] = context.time()
+    SQL[f"d_growth_{own}"] = context.growth()
+    SQL[f"d_moving_avg_{own}"] = context.moving()
+    SQL[f"d_daily_{own}"] = context.daily()
+    SQL[f"d_growth_quarter_{own}"] = context.quarters()
+    SQL[f"d_flags_{own}"] = context.flags()
+sparse = Context("subcategory", "segment", "region")
+SQL["d_time_subcategory_segment"] = sparse.time()
+SQL["d_time_subcategory_segment_sold"] = sparse.time("WHERE sold")

@@ -111,6 +111,17 @@ on_star("d_daily", measures.daily_measures)
 on_star("d_moving_avg", measures.moving_averages)
 on_star("d_growth", measures.growth)
 on_star("d_growth_quarter", measures.quarter_growth)
+for context in (["region"], ["category", "sales_channel"]):
+    own = "_".join(c.removeprefix("sales_") for c in context)
+    on_star(f"d_time_{own}", measures.time_intelligence, by=context)
+    on_star(f"d_growth_{own}", measures.growth, by=context)
+    on_star(f"d_moving_avg_{own}", measures.moving_averages, by=context)
+    on_star(f"d_daily_{own}", measures.daily_measures, by=context)
+    on_star(f"d_growth_quarter_{own}", measures.quarter_growth, by=context)
+    on_star(f"d_flags_{own}", measures.flags, by=context)
+# few sales in each context: months between them are empty
+on_star("d_time_subcategory_segment", measures.time_intelligence, by=["subcategory", "segment", "region"])
+on_star("d_time_subcategory_segment_sold", measures.time_intelligence, by=["subcategory", "segment", "region"], gaps=False)
 on_star("d_rank_product", measures.product_rank)
 on_star("d_rank_customer", measures.customer_rank)
 on_star("d_rank_store", measures.store_rank)

@@ -1,8 +1,8 @@
 """Measure library D-01 to D-65.
 
-A measure belongs to a filter context. Here the context is the grain: ``base`` evaluates the additive measures for any
-set of attributes, and the time-intelligence functions work on one row per month (or day) of a gap-free spine, so
-that "prior month" means the calendar month and not the previous row. An empty context is NULL, and a division by
+A measure belongs to a filter context. Here the context is the grain: ``base`` and the time-intelligence functions evaluate
+measures for any set of attributes ``by``. Windows range over the numbers of months or days, so that "prior month" means the
+calendar month and not the previous row, and contexts with few sales need no calendar of their own. An empty context is NULL, and a division by
 zero or by nothing is NULL.
 """
 
@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycart.functions.dates import month_of, quarter_of, spine_between
+from tallycart.functions.dates import month_of, quarter_of
 from tallycart.functions.numeric import big, count_if, dbl, ratio, rnd
 from tallycart.operators.ladder import ranked
 from tallycart.plans.calendar import KPIS
 from tallycart.plans.rollups import money, refunds_per_order
+from tallycart.session import staged
 from tallycart.sources.warehouse import Warehouse
 
 # Attribute -> (fact key, Warehouse table) for context columns that live in a dimension.
@@ -85,114 +86,130 @@ def base(wh: Warehouse, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def day_rows(wh: Warehouse) -> DataFrame:
-    return wh.sales.groupBy("order_date").agg(*money())
+def month_rows(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
+    """A row per context and month with revenue, profit, orders and days_sold (days with sales). With ``gaps`` a context has
+    a row for every month from its first sale to the last month of all sales, empty where it sold nothing.
 
+    Days are marked as bits of a month, so that the fact is reduced to months at once."""
+    marked = wh.sales.groupBy(*fact_keys([*by, "month"])).agg(*money(), F.expr("bit_or(1L << dayofmonth(order_date))").alias("days"))
+    sums = [F.sum(c).alias(c) for c in ("revenue", "profit", "orders")]
+    months = in_context(wh, marked, by).groupBy(*by, "month").agg(*sums, F.bit_count(F.bit_or("days")).cast("long").alias("days_sold"))
+    return _without_gaps(months, by, "month", "month") if gaps else months
 
-def month_rows(wh: Warehouse) -> DataFrame:
-    """One row per calendar month from the first to the last sale; days_sold counts days with revenue."""
-    months = (
-        day_rows(wh)
-        .groupBy(month_of("order_date").alias("month"))
-        .agg(
-            *[F.sum(c).alias(c) for c in ("revenue", "profit", "orders")],
-            F.count(F.lit(1)).alias("days_sold"),
-        )
-    )
-    bounds = wh.sales.agg(
-        month_of(F.min("order_date")).alias("first"), month_of(F.max("order_date")).alias("last")
-    )
-    return spine_between(bounds, "first", "last", "month", "month").join(months, "month", "left")
 
+def _without_gaps(rows: DataFrame, by: Sequence[str], at: str, unit: str) -> DataFrame:
+    """Every row repeated up to the one after it in its context (or to the last date of all rows), without its values. No
+    calendar is joined: the work is that of the rows that come out."""
+    step = F.expr(f"interval 1 {unit}")
+    rows = staged(rows, "context-rows")
+    until = F.coalesce(F.lead(at).over(Window.partitionBy(*by).orderBy(at)) - step, F.col("_end")).cast("date")
+    spread = rows.crossJoin(F.broadcast(rows.agg(F.max(at).alias("_end")))).withColumn("_until", until)
+    spread = spread.withColumn("_at", F.explode(F.sequence(F.col(at), F.col("_until"), step)))
+    values = [F.when(F.col("_at") == F.col(at), F.col(c)).alias(c) for c in rows.columns if c not in (*by, at)]
+    return spread.select(*by, F.col("_at").alias(at), *values)
 
-# One row per month of a calendar: these windows are bounded by time, not by data volume.
-def _along() -> Window:
-    return Window.orderBy("month")
 
+class Months:
+    """Windows over months of a context by RANGE of the month's number, so that a missing row is a month without sales.
+    Their size is that of a calendar, not of the data."""
 
-def _last(months: int) -> Window:
-    return Window.orderBy("month").rowsBetween(1 - months, Window.currentRow)
+    def __init__(self, by: Sequence[str]):
+        self.by = by
+        self.number = F.year("month") * 12 + F.month("month")
+        self.along = Window.partitionBy(*by).orderBy(self.number)
 
+    def last(self, months: int, back: int = 0) -> Window:
+        return self.along.rangeBetween(1 - months - back, -back)
 
-def _to_date(part: Column) -> Window:
-    return Window.partitionBy(part).orderBy("month")
+    def back(self, column: str, months: int) -> Column:
+        """The value of the month so many months ago."""
+        return F.max(column).over(self.last(1, months))
+
+    def to_date(self, column: str, months: int = 12, back: int = 0) -> Column:
+        """The sum from the start of the year (3: quarter) to this month, or the one so many months ago."""
+        place = (F.month("month") - 1) % months
+        return F.coalesce(*(F.when(place == k, F.sum(column).over(self.last(k + 1, back))) for k in range(months)))
 
 
 def _growth(now: Column, before: Column) -> Column:
     return rnd(ratio(now - before, before), 4)
 
 
-def time_intelligence(wh: Warehouse) -> DataFrame:
-    """D-14, D-15, D-17 to D-22 per month."""
-    year, quarter = F.year("month"), quarter_of("month")
-    rows = month_rows(wh).withColumn("ytd", F.sum("revenue").over(_to_date(year)))
-    return rows.select(
+def time_intelligence(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
+    """D-14, D-15, D-17 to D-22 per context and month; see ``month_rows`` for ``gaps``."""
+    m = Months(by)
+    running = m.along.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return month_rows(wh, by, gaps).select(
+        *by,
         "month",
-        dbl(F.sum("revenue").over(_along())).alias("running_total_revenue"),
-        dbl("ytd").alias("revenue_ytd"),
-        dbl(F.sum("revenue").over(_to_date(quarter))).alias("revenue_qtd"),
-        dbl(F.sum("profit").over(_to_date(year))).alias("profit_ytd"),
-        dbl(F.sum("revenue").over(_last(12))).alias("rolling_12_month_revenue"),
-        dbl(F.sum("revenue").over(_last(3))).alias("rolling_3_month_revenue"),
-        dbl(F.lag("revenue", 12).over(_along())).alias("prior_year_revenue"),
-        dbl(F.lag("ytd", 12).over(_along())).alias("prior_year_revenue_ytd"),
+        dbl(F.sum("revenue").over(running)).alias("running_total_revenue"),
+        dbl(m.to_date("revenue")).alias("revenue_ytd"),
+        dbl(m.to_date("revenue", 3)).alias("revenue_qtd"),
+        dbl(m.to_date("profit")).alias("profit_ytd"),
+        dbl(F.sum("revenue").over(m.last(12))).alias("rolling_12_month_revenue"),
+        dbl(F.sum("revenue").over(m.last(3))).alias("rolling_3_month_revenue"),
+        dbl(m.back("revenue", 12)).alias("prior_year_revenue"),
+        dbl(m.to_date("revenue", back=12)).alias("prior_year_revenue_ytd"),
     )
 
 
-def day_spine(wh: Warehouse) -> DataFrame:
-    bounds = wh.sales.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
-    return spine_between(bounds, "first", "last", "day", "order_date").join(day_rows(wh), "order_date", "left")
-
-
-def daily_measures(wh: Warehouse) -> DataFrame:
-    """D-16 month to date and D-24 mean of the last seven calendar days, days without sales left out of the mean."""
-    week = Window.orderBy("order_date").rowsBetween(-6, Window.currentRow)
-    return day_spine(wh).select(
+def daily_measures(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
+    """D-16 month to date and D-24 mean of the last seven calendar days, days without sales left out of the mean, per context
+    and day. With ``gaps`` a context's days without sales have rows too."""
+    sold = in_context(wh, wh.sales.groupBy(*fact_keys([*by, "order_date"])).agg(F.sum("sales_amount").alias("revenue")), by)
+    rows = sold.groupBy(*by, "order_date").agg(F.sum("revenue").alias("revenue"))
+    rows = _without_gaps(rows, by, "order_date", "day") if gaps else rows
+    week = Window.partitionBy(*by).orderBy(F.unix_date("order_date")).rangeBetween(-6, Window.currentRow)
+    month = Window.partitionBy(*by, month_of("order_date")).orderBy("order_date")
+    return rows.select(
+        *by,
         "order_date",
         dbl("revenue").alias("total_revenue"),
-        dbl(F.sum("revenue").over(Window.partitionBy(month_of("order_date")).orderBy("order_date"))).alias("revenue_mtd"),
+        dbl(F.sum("revenue").over(month)).alias("revenue_mtd"),
         rnd(ratio(F.sum("revenue").over(week), F.count("revenue").over(week))).alias("revenue_7_day_moving_avg"),
     )
 
 
-def moving_averages(wh: Warehouse) -> DataFrame:
+def moving_averages(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
     """D-23 and D-25: mean of the daily totals over three months; and the mean of the monthly totals beside it."""
-    days = F.sum("days_sold").over(_last(3))
-    return month_rows(wh).select(
+    quarter = Months(by).last(3)
+    days = F.sum("days_sold").over(quarter)
+    return month_rows(wh, by, gaps).select(
+        *by,
         "month",
         dbl("revenue").alias("total_revenue"),
-        rnd(ratio(F.sum("revenue").over(_last(3)), days)).alias("revenue_3_month_moving_avg"),
-        rnd(ratio(F.sum("orders").over(_last(3)), days)).alias("orders_3_month_moving_avg"),
-        rnd(ratio(F.sum("revenue").over(_last(3)), F.count("revenue").over(_last(3)))).alias("monthly_3_month_moving_avg"),
+        rnd(ratio(F.sum("revenue").over(quarter), days)).alias("revenue_3_month_moving_avg"),
+        rnd(ratio(F.sum("orders").over(quarter), days)).alias("orders_3_month_moving_avg"),
+        rnd(ratio(F.sum("revenue").over(quarter), F.count("revenue").over(quarter))).alias("monthly_3_month_moving_avg"),
     )
 
 
-def growth(wh: Warehouse) -> DataFrame:
-    """D-26 to D-32 per month; the prior quarter of a month is the same month one quarter back."""
-    rows = month_rows(wh).withColumn("ytd", F.sum("revenue").over(_to_date(F.year("month"))))
-
-    def back(column: str, months: int) -> Column:
-        return F.lag(column, months).over(_along())
-
+def growth(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
+    """D-26 to D-32 per context and month; the prior quarter of a month is the same month one quarter back."""
+    m = Months(by)
     now = F.col("revenue")
-    return rows.select(
+    return month_rows(wh, by, gaps).select(
+        *by,
         "month",
         dbl("revenue").alias("total_revenue"),
-        dbl(back("revenue", 1)).alias("revenue_prior_month"),
-        _growth(now, back("revenue", 1)).alias("mom_growth"),
-        dbl(back("revenue", 3)).alias("revenue_prior_quarter"),
-        _growth(now, back("revenue", 3)).alias("qoq_growth"),
-        _growth(now, back("revenue", 12)).alias("yoy_growth"),
-        _growth(F.col("ytd"), back("ytd", 12)).alias("yoy_growth_ytd"),
-        _growth(F.col("profit"), back("profit", 12)).alias("profit_yoy_growth"),
+        dbl(m.back("revenue", 1)).alias("revenue_prior_month"),
+        _growth(now, m.back("revenue", 1)).alias("mom_growth"),
+        dbl(m.back("revenue", 3)).alias("revenue_prior_quarter"),
+        _growth(now, m.back("revenue", 3)).alias("qoq_growth"),
+        _growth(now, m.back("revenue", 12)).alias("yoy_growth"),
+        _growth(m.to_date("revenue"), m.to_date("revenue", back=12)).alias("yoy_growth_ytd"),
+        _growth(F.col("profit"), m.back("profit", 12)).alias("profit_yoy_growth"),
     )
 
 
-def quarter_growth(wh: Warehouse) -> DataFrame:
-    """D-28 and D-29 per quarter."""
-    quarters = month_rows(wh).groupBy(quarter_of("month").alias("quarter")).agg(F.sum("revenue").alias("revenue"))
-    before = F.lag("revenue").over(Window.orderBy("quarter"))
+def quarter_growth(wh: Warehouse, by: Sequence[str] = ()) -> DataFrame:
+    """D-28 and D-29 per context and quarter with sales; the prior quarter is the calendar's."""
+    months = month_rows(wh, by, gaps=False)
+    quarters = months.groupBy(*by, quarter_of("month").alias("quarter")).agg(F.sum("revenue").alias("revenue"))
+    number = F.year("quarter") * 4 + F.quarter("quarter")
+    before = F.max("revenue").over(Window.partitionBy(*by).orderBy(number).rangeBetween(-1, -1))
     return quarters.select(
+        *by,
         "quarter",
         dbl("revenue").alias("total_revenue"),
         dbl(before).alias("revenue_prior_quarter"),
@@ -265,18 +282,21 @@ def selected_kpi(wh: Warehouse, kpi: str | None = None, by: Sequence[str] = ("mo
     return base(wh, by).select(*by, columns.get(kpi or "", columns["Revenue"]).alias("selected_kpi_value"))
 
 
-def flags(wh: Warehouse) -> DataFrame:
-    """D-43 margin health, D-44 growth sign, D-46 revenue against the trailing mean of daily totals."""
-    days = F.sum("days_sold").over(_last(3))
-    before = F.lag("revenue").over(_along())
-    rows = month_rows(wh).select(
+def flags(wh: Warehouse, by: Sequence[str] = (), gaps: bool = True) -> DataFrame:
+    """D-43 margin health, D-44 growth sign, D-46 revenue against the trailing mean of daily totals, per context and month."""
+    m = Months(by)
+    days = F.sum("days_sold").over(m.last(3))
+    before = m.back("revenue", 1)
+    rows = month_rows(wh, by, gaps).select(
+        *by,
         "month",
         ratio("profit", "revenue").alias("margin"),
         ratio(F.col("revenue") - before, before).alias("mom"),
         dbl("revenue").alias("revenue"),
-        ratio(F.sum("revenue").over(_last(3)), days).alias("trailing"),
+        ratio(F.sum("revenue").over(m.last(3)), days).alias("trailing"),
     )
     return rows.select(
+        *by,
         "month",
         F.when(F.col("margin") >= 0.20, "Healthy").when(F.col("margin") >= 0.10, "Watch").otherwise("At Risk")
         .alias("margin_health_flag"),
