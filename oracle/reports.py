@@ -446,6 +446,8 @@ SQL["v1_monthly_kpis"] = star(
 SQL["v2_customer_rfm"] = star("SELECT * FROM tiles", rfm=RFM, tiles=TILES)
 SQL["v3_product_abc"] = SQL["q36"]
 SQL["v4_inventory_health"] = star("SELECT * FROM health", stock=STOCK, health=HEALTH)
+for view in ("v1_monthly_kpis", "v2_customer_rfm", "v3_product_abc", "v4_inventory_health"):  # loads keep the same views
+    SQL[f"{view[:2]}_after_loads"] = SQL[view]
 CUSTOMER_OUT = f"""customer_id, {i('age')} AS age, gender, city, state, country, segment, {d('income')} AS income, signup_date,
   {d('lifetime_value')} AS lifetime_value, loyalty_tier"""
 # the routine is applied to customers whose stored value and tier were reset; ids divisible by 50 have no sales

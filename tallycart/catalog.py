@@ -69,6 +69,10 @@ on_star("v1_monthly_kpis", views.v1)
 on_star("v2_customer_rfm", views.v2, as_of=AS_OF)
 on_star("v3_product_abc", views.v3)
 on_star("v4_inventory_health", views.v4)
+on_star("v1_after_loads", lambda wh: extract_checks.refreshed(wh).v1())
+on_star("v2_after_loads", lambda wh: extract_checks.refreshed(wh).v2(AS_OF))
+on_star("v3_after_loads", lambda wh: extract_checks.refreshed(wh).v3())
+on_star("v4_after_loads", lambda wh: extract_checks.refreshed(wh).v4())
 on_star("r1_refresh_customer_ltv", _reset_then_refresh)
 on_star("r2_top_products_by_category", views.r2, category="ECONOMY")
 on_star("r3_monthly_growth", views.r3)

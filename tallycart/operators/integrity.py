@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycart.sources.schemas import CHECKS, FOREIGN, KEYS, required
@@ -38,10 +38,15 @@ def stock_mismatches(inventory: DataFrame) -> DataFrame:
     )
 
 
-def _row_rules(df: DataFrame, table: str) -> DataFrame:
-    """NOT NULL and CHECK rules of a table in one pass."""
+def row_rules(table: str) -> list[tuple[str, Column]]:
+    """NOT NULL and CHECK rules of a table with the condition that a violating row meets."""
     rules = [(f"not_null_{c}", F.col(c).isNull()) for c in required(table)]
-    rules += [(name, ~F.expr(condition)) for name, condition in CHECKS.get(table, [])]
+    return rules + [(name, ~F.expr(condition)) for name, condition in CHECKS.get(table, [])]
+
+
+def _row_rules(df: DataFrame, table: str) -> DataFrame:
+    """All row rules of a table in one pass."""
+    rules = row_rules(table)
     counted = df.agg(*[F.count(F.when(broken, F.lit(1))).alias(name) for name, broken in rules])
     rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name, _ in rules])
     return counted.select(F.lit(table).alias("table_name"), F.explode(rows).alias("r")).select(

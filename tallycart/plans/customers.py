@@ -28,7 +28,11 @@ def rfm_base(wh: Warehouse, as_of: dt.date | Column = AS_OF) -> DataFrame:
 
 
 def rfm_scored(wh: Warehouse, as_of: dt.date = AS_OF) -> DataFrame:
-    base = rfm_base(wh, as_of)
+    return rfm_of(rfm_base(wh, as_of))
+
+
+def rfm_of(base: DataFrame) -> DataFrame:
+    """Scores of rows with customer_id, recency_days, frequency and monetary."""
     scores = {"r_score": ("recency_days", True), "f_score": ("frequency", False), "m_score": ("monetary", False)}
     return base.join(tile_scores(base, "customer_id", scores, 5), "customer_id").select(
         "customer_id",

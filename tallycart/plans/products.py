@@ -16,7 +16,11 @@ from tallycart.sources.warehouse import Warehouse
 
 def abc_products(wh: Warehouse) -> DataFrame:
     """Every product with its cumulative share and ABC class; peers in revenue share both."""
-    return ranked(product_revenue(wh), "product_id", "revenue").select(
+    return abc_of(product_revenue(wh))
+
+
+def abc_of(revenue: DataFrame) -> DataFrame:
+    return ranked(revenue, "product_id", "revenue").select(
         "product_id",
         dbl("revenue").alias("revenue"),
         pct("running", "value_total").alias("cumulative_pct"),

@@ -13,7 +13,12 @@ from tallycart.sources.warehouse import Warehouse
 
 def stock_metrics(wh: Warehouse) -> DataFrame:
     """Per product: total_sold, avg_stock (mean of opening and closing), turnover, damage_rate, stockout_rate."""
-    summed = wh.inventory.groupBy("product_id").agg(
+    return stock_rates(stock_sums(wh))
+
+
+def stock_sums(wh: Warehouse) -> DataFrame:
+    """Sums per product that add up over loads."""
+    return wh.inventory.groupBy("product_id").agg(
         F.sum("sold_stock").alias("total_sold"),
         F.sum(F.col("opening_stock") + F.col("closing_stock")).alias("both"),
         F.count(F.col("opening_stock") + F.col("closing_stock")).alias("lines_known"),
@@ -23,6 +28,9 @@ def stock_metrics(wh: Warehouse) -> DataFrame:
         count_if(F.col("closing_stock") == 0).alias("empty"),
         F.count(F.lit(1)).alias("lines"),
     )
+
+
+def stock_rates(summed: DataFrame) -> DataFrame:
     return (
         summed.withColumn("avg_stock", ratio(F.col("both").cast("double") / 2.0, F.col("lines_known")))
         .withColumn("turnover", ratio("total_sold", "avg_stock"))
@@ -140,9 +148,13 @@ def q50(wh: Warehouse, limit: int = 20) -> DataFrame:
 
 def health(wh: Warehouse) -> DataFrame:
     """Turnover, damage, stockout and the 0-100 score. Unknown damage makes the score 0: GREATEST skips NULL."""
+    return health_of(stock_metrics(wh))
+
+
+def health_of(metrics: DataFrame) -> DataFrame:
     slow = F.when(F.col("turnover") < 0.5, F.lit(20.0)).otherwise(F.lit(0.0))
     points = F.lit(100.0) - F.col("stockout_rate") * 50 - F.col("damage_rate") * 30 - slow
-    return stock_metrics(wh).select(
+    return metrics.select(
         "product_id",
         rnd("turnover").alias("turnover_ratio"),
         rnd(F.col("damage_rate") * 100).alias("damage_rate_pct"),

@@ -21,19 +21,19 @@ from tallycart.sources.warehouse import Warehouse, with_tiers
 
 def v1(wh: Warehouse) -> DataFrame:
     """V1 monthly KPIs. Customers are counted by grouping twice, which keeps partial sums and avoids DISTINCT."""
-    return (
-        totals(wh.sales, month_of("order_date").alias("month"), "customer_id")
-        .groupBy("month")
-        .agg(*resum(), F.count(F.lit(1)).alias("active_customers"))
-        .select(
-            "month",
-            big("orders").alias("orders"),
-            "active_customers",
-            dbl("revenue").alias("revenue"),
-            dbl("profit").alias("profit"),
-            pct("profit", "revenue").alias("margin_pct"),
-            rnd(ratio("revenue", "orders")).alias("avg_order_value"),
-        )
+    buyers = totals(wh.sales, month_of("order_date").alias("month"), "customer_id")
+    return monthly_kpis(buyers.groupBy("month").agg(*resum(), F.count(F.lit(1)).alias("active_customers")))
+
+
+def monthly_kpis(months: DataFrame) -> DataFrame:
+    return months.select(
+        "month",
+        big("orders").alias("orders"),
+        "active_customers",
+        dbl("revenue").alias("revenue"),
+        dbl("profit").alias("profit"),
+        pct("profit", "revenue").alias("margin_pct"),
+        rnd(ratio("revenue", "orders")).alias("avg_order_value"),
     )
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +51,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, work: Callable[[str], object], names: Iterable[str]) -> dict:
+    """Run independent Spark jobs from threads, so that small tables don't wait for each other; the first error is raised."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(work), names), strict=True))

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.functions.bands import TIER_LABELS, at_least
-from tallycart.functions.dates import month_of
 from tallycart.operators.ladder import quantiles
 from tallycart.session import shared_dir, staged
+from tallycart.sources.layout import curved
 from tallycart.sources.schemas import STAR, names, struct
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
@@ -115,9 +115,7 @@ class Derivation:
             folder = f"{shared_dir(self.spark)}/star/{uuid.uuid4().hex}/{name}"
             frame = getattr(self, name)().select(*names(STAR[name]))
             if name == "fact_sales":
-                # AQE sizes the write partitions: small months share a task, a heavy month is split over several
-                frame = frame.withColumn("order_month", month_of("order_date")).hint("rebalance", "order_month")
-                frame.write.partitionBy("order_month").parquet(folder)
+                curved(frame).write.partitionBy("order_month").parquet(folder)
             else:
                 frame.write.parquet(folder)
             stored = struct(STAR[name])
