@@ -19,10 +19,11 @@ SQL["x3_customer_value"] = star(
 # windows end at or before the watermark: three days before the newest order
 FINAL = "(SELECT max(order_date) FROM fact_sales) - 3"
 SQL["x4_daily_revenue"] = star(
-    f"""SELECT from_day, v AS revenue, orders, {r('(v - avg(v) OVER ()) / stddev_pop(v) OVER ()', 3)} AS z,
-    abs((v - avg(v) OVER ()) / stddev_pop(v) OVER ()) > 2 AS alert
+    f"""SELECT from_day, v AS revenue, orders, {r('z', 3)} AS z, coalesce(abs(z) > 2, false) AS alert
+    FROM (SELECT *, CASE WHEN count(*) OVER w >= 2 THEN (v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0) END AS z
     FROM (SELECT order_date AS from_day, {d('sum(sales_amount)')} AS v, count(*) AS orders FROM fact_sales
-          WHERE order_date + 1 <= {FINAL} GROUP BY ALL)"""
+          WHERE order_date + 1 <= {FINAL} GROUP BY ALL)
+    WINDOW w AS (ORDER BY from_day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 )
 SQL["x5_sliding_revenue"] = star(
     f"""SELECT from_day, {d('sum(sales_amount)')} AS revenue, count(*) AS orders

@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallycart.functions.numeric import dbl, ratio, rnd
 from tallycart.operators.cleaning import clipped
 from tallycart.operators.integrity import recompute_profit, stock_mismatches
+from tallycart.session import staged
 
 DAY = 86400
 
@@ -92,14 +94,112 @@ def append_to(stream: DataFrame, folder: str, checkpoint: str, partitions: int |
     _run(stream, writer, checkpoint, partitions)
 
 
-def upsert_to(stream: DataFrame, folder: str, checkpoint: str, partitions: int | None = None) -> None:
-    """X3 sink: each batch's changed customers go to a folder named after the batch. Rewriting the folder of a repeated
-    batch makes the sink idempotent; ``latest`` reads the newest value per customer."""
+class Buckets:
+    """A table of the newest row per key that batches update by copying what they touch.
 
-    def store(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+    Keys fall into a fixed number of buckets. A batch writes the whole new content of the buckets it touches below its own
+    folder and then adds a row to the list, which says for every bucket whose folder holds it; readers follow the newest row,
+    so a batch is seen as a whole or not at all, and a reader opens each bucket once however many batches there were. A
+    batch that is listed already changes nothing; one that died before is written anew. One store belongs to one checkpoint.
+    """
 
-    _run(stream, stream.writeStream.foreachBatch(store).outputMode("update"), checkpoint, partitions)
+    LISTED = "batch bigint, holders array<bigint>"
+
+    def __init__(self, spark: SparkSession, folder: str, key: str, count: int = 16):
+        self.spark, self.folder, self.key, self.count = spark, folder, key, count
+
+    def newest(self) -> tuple[int, list[int]]:
+        """The last batch and, by bucket, the batch that holds it (-1 for none)."""
+        try:
+            row = self.spark.read.schema(self.LISTED).json(f"{self.folder}/_list").orderBy(F.desc("batch")).first()
+        except AnalysisException:  # nothing yet
+            row = None
+        return (row.batch, list(row.holders)) if row else (-1, [-1] * self.count)
+
+    def _read(self, holders: dict[int, int]) -> DataFrame:
+        return self.spark.read.parquet(*(f"{self.folder}/batch={holder}/bucket={bucket}" for bucket, holder in holders.items()))
+
+    def upsert(self, rows: DataFrame, batch: int) -> None:
+        last, holders = self.newest()
+        if batch <= last:
+            return
+        placed = staged(rows.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.count)).cast("int")), "upserts")
+        touched = [row.bucket for row in placed.select("bucket").distinct().collect()]  # ``count`` at most
+        if not touched:
+            return
+        old = {bucket: holders[bucket] for bucket in touched if holders[bucket] >= 0}
+        merged = placed
+        if old:
+            kept = self._read(old).join(placed.select(self.key), self.key, "left_anti")
+            merged = placed.unionByName(kept.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.count)).cast("int")))
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/batch={batch}")
+        now = [batch if bucket in touched else holder for bucket, holder in enumerate(holders)]
+        self.spark.createDataFrame([(batch, now)], self.LISTED).coalesce(1).write.mode("append").json(f"{self.folder}/_list")
+
+    def read(self) -> DataFrame:
+        """The newest row of every key."""
+        return self._read({bucket: holder for bucket, holder in enumerate(self.newest()[1]) if holder >= 0})
+
+
+def upsert_to(stream: DataFrame, folder: str, checkpoint: str, key: str, partitions: int | None = None, buckets: int = 16) -> None:
+    """X3 sink: the newest row per key, kept by ``Buckets``; ``latest`` reads it."""
+    store = Buckets(stream.sparkSession, folder, key, buckets)
+    _run(stream, stream.writeStream.foreachBatch(store.upsert).outputMode("update"), checkpoint, partitions)
+
+
+def judge_to(stream: DataFrame, folder: str, checkpoint: str, limit: float = 2.0, partitions: int | None = None) -> None:
+    """X4 sink: every final day is judged once, by the days before it, when it becomes final. A batch stores its days with
+    ``z`` and ``alert`` below ``days`` and the moments of all days so far below ``moments``; it reads those of the batch
+    before it, so a repeated batch changes nothing."""
+
+    def judge(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        days = judged(rows, earlier_moments(spark, folder, batch), limit)
+        days = staged(days, "judged")
+        after = days.orderBy(F.desc("from_day")).limit(1).select(*MOMENTS)
+        if not days.isEmpty():
+            after.write.mode("overwrite").parquet(f"{folder}/moments/batch={batch}")
+            days.drop(*MOMENTS).write.mode("overwrite").parquet(f"{folder}/days/batch={batch}")
+
+    _run(stream, stream.writeStream.foreachBatch(judge).outputMode("append"), checkpoint, partitions)
+
+
+MOMENTS = ("n", "mean", "m2")
+
+
+def earlier_moments(spark: SparkSession, folder: str, batch: int) -> tuple[float, float, float]:
+    """Number, mean and sum of squared deviations of the days that batches before this one judged."""
+    try:
+        stored = spark.read.parquet(f"{folder}/moments").where(F.col("batch") < batch).orderBy(F.desc("batch")).first()
+    except AnalysisException:  # no batch yet
+        stored = None
+    return (float(stored.n), stored.mean, stored.m2) if stored else (0.0, 0.0, 0.0)
+
+
+def judged(days: DataFrame, before: tuple[float, float, float], limit: float) -> DataFrame:
+    """Days with their deviation from all earlier ones, in units of their population deviation (null for fewer than two
+    or equal earlier days), and the moments that include the day itself. Days are few, so one window takes them."""
+    n0, mean0, m20 = (F.lit(x) for x in before)
+    value = dbl("revenue")
+
+    def merged(frame: Window) -> tuple[Column, Column, Column]:
+        n = F.count(value).over(frame).cast("double")
+        mean = F.coalesce(F.avg(value).over(frame), F.lit(0.0))
+        m2 = F.coalesce(F.var_pop(value).over(frame), F.lit(0.0)) * n
+        total, gap = n0 + n, mean - mean0
+        whole = F.coalesce(F.try_divide(n0 * mean0 + n * mean, total), F.lit(0.0))
+        return total, whole, m20 + m2 + F.coalesce(F.try_divide(gap * gap * n0 * n, total), F.lit(0.0))
+
+    order = Window.orderBy("from_day")
+    n, mean, m2 = merged(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = merged(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = days.select(
+        "from_day", value.alias("revenue"), "orders", n.alias("_n"), mean.alias("_mean"), m2.alias("_m2"),
+        *(x.alias(name) for x, name in zip(after, MOMENTS, strict=True)),
+    )
+    z = F.when(F.col("_n") >= 2, ratio(F.col("revenue") - F.col("_mean"), F.sqrt(F.col("_m2") / F.col("_n"))))
+    out = rows.withColumn("z", rnd(z, 3)).withColumn("alert", F.coalesce(F.abs(z) > limit, F.lit(False)))
+    return out.drop("_n", "_mean", "_m2")
 
 
 def _run(stream: DataFrame, writer: DataStreamWriter, checkpoint: str, partitions: int | None) -> None:
@@ -109,19 +209,7 @@ def _run(stream: DataFrame, writer: DataStreamWriter, checkpoint: str, partition
 
 
 def latest(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    rows = spark.read.parquet(folder)
-    values = [c for c in rows.columns if c not in (key, "batch")]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v"))
-    return newest.select(key, *[F.col(f"v.{c}").alias(c) for c in values])
-
-
-def deviations(daily: DataFrame, limit: float = 2.0) -> DataFrame:
-    """X4 alert: days whose revenue lies more than ``limit`` population deviations from the mean of all stored days."""
-    whole = daily.agg(F.avg(dbl("revenue")).alias("m"), F.stddev_pop(dbl("revenue")).alias("s"))
-    z = ratio(dbl("revenue") - F.col("m"), "s")
-    return daily.crossJoin(F.broadcast(whole)).select(
-        "from_day", dbl("revenue").alias("revenue"), "orders", rnd(z, 3).alias("z"), (F.abs(z) > limit).alias("alert")
-    )
+    return Buckets(spark, folder, key).read()
 
 
 def in_rounds(feeds: list[DataFrame], folder: str, run: Callable[[], None]) -> None:
