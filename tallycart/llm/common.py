@@ -37,14 +37,16 @@ def texts_of(column) -> list[str]:
 def beside(docs: DataFrame, text_col: str, schema: str, fresh: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
     """The rows as a struct column ``row`` beside new columns made from their texts; names can't clash. ``fresh`` gives a
     task its function from texts to one Arrow array per column of ``schema``."""
-    paired = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"))
+    paired = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    place = docs.columns.index(text_col)
     names = ["row", *(x.split()[0] for x in schema.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = fresh()
         for batch in batches:
-            texts = texts_of(batch.column("text"))
+            rows = batch.column("row")
+            texts = texts_of(rows.flatten()[place])
             for a, b in pieces(texts):
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), *made(texts[a:b])], names)
+                yield pa.RecordBatch.from_arrays([rows.slice(a, b - a), *made(texts[a:b])], names)
 
     return paired.mapInArrow(run, StructType([StructField("row", paired.schema["row"].dataType), *StructType.fromDDL(schema)]))

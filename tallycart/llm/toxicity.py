@@ -1,16 +1,21 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over whole texts, distance-weighted votes.
 
 Examples are a bounded sample of the labelled training rows (``Settings.per_class`` of each label, smallest hashes first,
-equal texts once). Terms are all words and word beginnings of the examples; their document frequencies are counted over all
-documents. A term no example holds counts in a text's norm as one that stands in one document. Terms that mark the toxic
-examples weigh more: by the lower bound of the log ratio of the rates at which toxic and clean examples hold them. Each rate
-is taken within its own label, so caps, sample size and the balance of labels don't move it.
-
-Every text meets every example: products of terms that few examples hold are summed over postings, those of the others over
-rows of a dense table, so the neighbours are exact. A vote weighs the inverse cosine distance, times how many labelled rows its example stands for, against the share of toxic rows as prior.
+equal texts once). Terms are the words of the examples; their document frequencies are counted over all documents. A word no
+example holds counts in a text's norm as one that stands in one document. Words that mark the toxic examples weigh more: by
+the lower bound of the log ratio of the rates at which toxic and clean examples hold them (without it, plain TF-IDF finds
+half of the toxic texts only). Each rate is taken within its own label, so caps, sample size and the balance of labels
+don't move it.
+
+The index is block-max: similar examples lie in blocks, common words have the largest weight of each block beside their
+weights, rare words have postings. A text's rare words are summed over their postings; with the blocks' largest weights
+that bounds what a block can reach, blocks are met in falling order of their bounds, and those whose bound is below the k-th
+cosine are skipped. The k nearest are exact; ties go to the example that comes first by its terms. A vote weighs the inverse
+cosine distance, times how many labelled rows its example stands for, against the share of toxic rows as prior.
 
 Texts are scored whole; null counts as empty and scores as texts that share no term do. Ids never enter a score;
-a null id counts as not held out. Without usable labels every score is 0. Repeated rows are scored alike.
+a null id counts as not held out. Without usable labels every score is 0. Repeated rows are scored alike; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +25,6 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +35,6 @@ from pyspark.sql import functions as F
 from tallycart.llm.common import beside, texts_of
 
 WORD = re.compile(r"[^\W_]+")
-#: Words whose terms a task remembers.
-REMEMBERED = 300_000
-
 
 @dataclass(frozen=True)
 class Settings:
@@ -42,14 +43,10 @@ class Settings:
     errors: float = 2.0
     neighbours: int = 16
     prior_weight: float = 2.0
-    block: int = 64
+    block: int = 128
     common: float = 0.05
 
 
-def terms_of(word: str) -> list[str]:
-    return [word, *(f"{word[:n]}-" for n in (4, 5, 6) if len(word) > n)]
-
-
 def held_out(id_col: Column) -> Column:
     """The fold that labels are never learned from."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
@@ -57,8 +54,9 @@ def held_out(id_col: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """Example vectors: postings by term for the rare terms, a dense table for the common ones. ``place`` has a common
-    term's row there and -1 for a rare one; ``block`` rows are multiplied at once."""
+    """Example vectors in blocks: postings by term for the rare terms; for the common ones ``dense`` has the weights of a block
+    (block, term, example) and ``tops`` their largest (term, block). ``place`` has a common term's row and -1 for a rare one,
+    ``rank`` the order of the examples by their terms."""
 
     numbers: dict[str, int]
     worth: np.ndarray
@@ -66,20 +64,22 @@ class Index:
     ids: np.ndarray
     labels: np.ndarray
     stands_for: np.ndarray
+    rank: np.ndarray
     block: int
     edges: np.ndarray
     rows: np.ndarray
     weights: np.ndarray
     place: np.ndarray
     dense: np.ndarray
+    tops: np.ndarray
     prior: float
     unmarked: float
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k nearest examples that share a term; ties to the smaller number."""
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and cosines of the k nearest examples that share a term, and how many blocks were read."""
         n = len(self.ids)
         if not n:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
+            return np.zeros(0, dtype=np.int64), np.zeros(0), 0
         column = self.place[terms]
         rare = terms[column < 0]
         starts = self.edges[rare]
@@ -87,59 +87,50 @@ class Index:
         at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         scores = np.bincount(self.rows[at], weights=self.weights[at] * np.repeat(weights[column < 0], sizes), minlength=n).astype(float)
         query, column = weights[column >= 0].astype(np.float32), column[column >= 0]
-        for b in range(0, len(column), self.block):
-            scores += query[b : b + self.block] @ self.dense[column[b : b + self.block]]
-        floor = np.partition(scores, n - k)[n - k] if n > k else 0.0
-        rows = np.flatnonzero((scores >= floor) & (scores > 0))
-        rows = rows[np.lexsort((rows, -scores[rows]))[:k]]
-        return rows, scores[rows]
-
-    def vector(self, counts: dict[int, int], others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a text; ``others`` is the squared weight, before ``outside``, of terms no example holds."""
-        terms = np.array(sorted(counts), dtype=np.int64)
-        weights = (1 + np.log([counts[t] for t in terms.tolist()])) * self.worth[terms]
+        upper = np.maximum.reduceat(scores, np.arange(0, n, self.block)) + query @ self.tops[column] + 1e-5  # more than rounding can add
+        best, floor, read = np.zeros(0), -1.0, 0
+        for b in np.argsort(-upper, kind="stable").tolist():
+            if upper[b] < floor:
+                break
+            part = scores[b * self.block : (b + 1) * self.block]
+            if len(column):
+                part += (query @ self.dense[b][column])[: len(part)]
+            best = np.concatenate([best, part])
+            if len(best) > k:
+                best = np.partition(best, len(best) - k)[-k:]
+            floor, read = best.min() if len(best) == k else -1.0, read + 1
+        met = np.zeros(len(upper), dtype=bool)
+        met[np.argsort(-upper, kind="stable")[:read]] = True
+        rows = np.flatnonzero((scores >= floor) & (scores > 0) & np.repeat(met, self.block)[:n])
+        rows = rows[np.lexsort((self.rank[rows], -scores[rows]))[:k]]
+        return rows, scores[rows], read
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.search(terms, weights, k)[:2]
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text; ``others`` is the squared weight, before ``outside``, of words no example holds."""
+        weights = (1 + np.log(counts)) * self.worth[terms]
         return terms, weights / math.sqrt(weights @ weights + others * self.outside**2)
 
-    def score(self, read: tuple[dict[int, int], float], settings: Settings) -> tuple[float, list[int]]:
-        counts, others = read
-        if not counts:
+    def score(self, text: str, settings: Settings) -> tuple[float, list[int]]:
+        terms, counts, others = read(text, self.numbers)
+        if not len(terms):
             return self.unmarked, []
-        rows, cosines = self.nearest(*self.vector(counts, others), settings.neighbours)
+        rows, cosines = self.nearest(*self.vector(terms, counts, others), settings.neighbours)
         votes = self.stands_for[rows] / (1.05 - np.minimum(cosines, 1.0))
         total = votes.sum() + settings.prior_weight
         return float((votes @ self.labels[rows] + settings.prior_weight * self.prior) / total), self.ids[rows[:3]].tolist()
 
 
-class Reader:
-    """Counts of index terms in a text, and the squared weight of its other terms."""
-
-    def __init__(self, numbers: dict[str, int]):
-        self.numbers, self.known = numbers, {}
-
-    def found(self, word: str) -> tuple[tuple[int, ...], int]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            terms = terms_of(word)
-            inside = tuple(self.numbers[t] for t in terms if t in self.numbers)
-            found = self.known[word] = inside, len(terms) - len(inside)
-        return found
-
-    def __call__(self, text: str) -> tuple[dict[int, int], float]:
-        counts: dict[int, int] = {}
-        others = 0.0
-        for word, n in Counter(WORD.findall(text.lower())).items():
-            inside, missing = self.found(word)
-            for t in inside:
-                counts[t] = counts.get(t, 0) + n
-            if missing:
-                others += missing * (1 + math.log(n)) ** 2
-        return counts, others
-
-    def terms(self, text: str) -> list[int]:
-        """The index terms of a text, each once."""
-        return list(set(chain.from_iterable(self.found(w)[0] for w in set(WORD.findall(text.lower())))))
+def read(text: str, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Index terms of a text with their counts, and the squared weight of its other words."""
+    words = Counter(WORD.findall(text.lower()))
+    terms = np.fromiter((numbers.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    counts = np.fromiter(words.values(), dtype=np.int64, count=len(words))
+    inside = terms >= 0
+    others = (1 + np.log(counts[~inside])) ** 2
+    return terms[inside], counts[inside], float(others.sum())
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
@@ -155,7 +146,7 @@ def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray, np.ndarra
         for batch in batches:
             seen: tuple[Counter, Counter] = Counter(), Counter()
             for text, toxic in zip(texts_of(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
-                seen[toxic].update({t for w in set(WORD.findall(text.lower())) for t in terms_of(w)})
+                seen[toxic].update(set(WORD.findall(text.lower())))
             terms = list(seen[0] | seen[1])
             columns = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)]
             yield pa.RecordBatch.from_arrays(columns, ["term", "clean", "toxic"])
@@ -176,11 +167,12 @@ def document_counts(docs: DataFrame, text_col: str, sent: Broadcast, size: int)
     """How many documents there are, and in how many each term stands, over the whole table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, read = np.zeros(size + 1, dtype=np.int64), Reader(sent.value)
+        total, get = np.zeros(size + 2, dtype=np.int64), sent.value.get
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                total[read.terms(text)] += 1
+                total[[get(w, size + 1) for w in set(WORD.findall(text.lower()))]] += 1
                 total[size] += 1
+        total = total[: size + 1]
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["term", "n"])
 
@@ -222,11 +214,11 @@ def build(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, settin
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Reader(sent.value)
         for batch in batches:
-            counts = [sorted(read(t)[0].items()) for t in texts_of(batch.column("text"))]
+            found = [read(t, sent.value) for t in texts_of(batch.column("text"))]
+            sorts = [np.argsort(f[0]) for f in found]
             columns = [batch.column("doc_id"), batch.column("toxic")]
-            columns += [pa.array([np.array([x[part] for x in c], dtype=np.int32).tobytes() for c in counts], pa.binary()) for part in (0, 1)]
+            columns += [pa.array([f[part][o].astype(np.int32).tobytes() for f, o in zip(found, sorts, strict=True)], pa.binary()) for part in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "terms", "counts"])
 
     kind = dict(examples.dtypes)["doc_id"]
@@ -255,18 +247,46 @@ def indexed(drawn: list, numbers: dict[str, int], worth: np.ndarray, sizes: dict
     place = np.full(len(worth), -1, dtype=np.int32)
     common = np.flatnonzero(held_by > settings.common * len(marked))
     place[common] = np.arange(len(common))
-    dense = np.zeros((len(common), len(marked)), dtype=np.float32)
     often = place[terms] >= 0
-    dense[place[terms[often]], rows[often]] = weights[often]
-    order = np.flatnonzero(~often)[np.argsort(terms[~often], kind="stable")]
+    whole = np.zeros((len(marked), len(common)), dtype=np.float32)
+    whole[rows[often], place[terms[often]]] = weights[often]
+    order = in_blocks(whole, settings.block)
+    blocks = -(-len(marked) // settings.block)
+    dense = np.zeros((blocks * settings.block, len(common)), dtype=np.float32)
+    dense[: len(marked)] = whole[order]
+    dense = np.ascontiguousarray(dense.reshape(blocks, settings.block, len(common)).transpose(0, 2, 1))
+    now = np.empty(len(marked), dtype=np.int32)
+    now[order] = np.arange(len(marked), dtype=np.int32)
+    by_term = np.flatnonzero(~often)[np.argsort(terms[~often], kind="stable")]
     edges = np.concatenate(([0], np.cumsum(np.where(place < 0, held_by, 0))))
-    labels = [x[2] for x in marked]
+    labels = [marked[k][2] for k in order]
     return Index(
         numbers, worth, outside, np.array([r.doc_id for r in labels], dtype=object), np.array([r.toxic for r in labels], dtype=float),
-        np.array([stands_for[r.toxic] for r in labels]), settings.block, edges, rows[order], weights[order], place, dense, prior, unmarked,
+        np.array([stands_for[r.toxic] for r in labels]), order, settings.block, edges, now[rows[by_term]], weights[by_term], place, dense,
+        np.ascontiguousarray(dense.max(axis=2).T) if blocks else np.zeros((len(common), 0), dtype=np.float32), prior, unmarked,
     )
 
 
+def in_blocks(vectors: np.ndarray, block: int) -> np.ndarray:
+    """An order in which similar vectors share blocks: parts are cut at a whole number of blocks along the direction in
+    which they spread most."""
+    parts, out = [np.arange(len(vectors))], []
+    while parts:
+        own = parts.pop()
+        if len(own) <= block:
+            out.append(own)
+            continue
+        x = vectors[own] - vectors[own].mean(axis=0)
+        along = x[np.abs(x).sum(axis=1).argmax()] if x.size else np.zeros(0, dtype=np.float32)
+        for _ in range(8):
+            along = x.T @ (x @ along)
+            along = along / max(float(np.linalg.norm(along)), 1e-30)
+        own = own[np.argsort(x @ along, kind="stable")]
+        cut = block * (-(-len(own) // block) // 2)
+        parts += [own[cut:], own[:cut]]
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """The rows of ``docs`` as a struct ``row`` with a score between 0 and 1 and the ids of the nearest examples."""
     settings = settings or Settings()
@@ -276,10 +296,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def fresh() -> Callable[[list[str]], list]:
         own = sent.value
-        read = Reader(own.numbers if own else {})
 
         def made(texts: list[str]) -> list:
-            found = [own.score(read(t), settings) if own else (0.0, []) for t in texts]
+            found = [own.score(t, settings) if own else (0.0, []) for t in texts]
             return [pa.array([x[0] for x in found], pa.float64()), pa.array([[str(k) for k in x[1]] for x in found], pa.list_(pa.string()))]
 
         return made
