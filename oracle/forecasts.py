@@ -38,6 +38,31 @@ def _sum(first: int) -> str:
     return "(" + " + ".join(f"v[{k}]" for k in range(first, first + 12)) + ") / 12"
 
 
+def zoomed(n: str) -> dict[str, str]:
+    """``{n}_best``: the smoothing state of each series by five rounds of grids, each around the best weights of the one before."""
+    out = {
+        f"{n}_s0": f"""SELECT series, final, n, v, m + rise * 5.5 AS level, rise AS slope,
+            list_transform(v[1:12], lambda x, i: x - (m + rise * (i - 6.5))) AS season
+          FROM (SELECT *, {_sum(1)} AS m, ({_sum(13)} - {_sum(1)}) / 12 AS rise FROM {n}_l WHERE n >= 24)""",
+        f"{n}_w0": f"SELECT series, 0.5::DOUBLE AS a, 0.5::DOUBLE AS b, 0.5::DOUBLE AS g FROM {n}_s0",
+    }
+    for k, (points, width) in enumerate(((7, "0.5"), (5, "1.0::DOUBLE / 6"), (5, "1.0::DOUBLE / 12"), (5, "1.0::DOUBLE / 24"), (5, "1.0::DOUBLE / 48")), 1):
+        low = {w: f"greatest(0.0::DOUBLE, {w} - {width})" for w in "abg"}
+        axis = {w: f"{low[w]} + (least(1.0::DOUBLE, {w} + {width}) - {low[w]}) * {w}i / {points - 1}" for w in "abg"}
+        steps = ", ".join(f"(SELECT unnest(range({points}))::DOUBLE AS {w}i)" for w in "abg")
+        out |= {
+            f"{n}_g{k}": f"SELECT series, {', '.join(f'{axis[w]} AS {w}' for w in 'abg')} FROM {n}_w{k - 1}, {steps}",
+            f"{n}_hw{k}": f"""SELECT series, final, n, v, a, b, g, CAST(12 AS BIGINT) AS k, level, slope, season, CAST(0 AS DOUBLE) AS sse
+              FROM {n}_s0 JOIN {n}_g{k} USING (series)
+              UNION ALL SELECT series, final, n, v, a, b, g, k + 1, up, b * (up - level) + (1 - b) * slope,
+                list_append(season[2:12], g * (y - up) + (1 - g) * s), sse + e * e
+              FROM (SELECT *, a * (y - s) + (1 - a) * (level + slope) AS up, y - (level + slope + s) AS e
+                    FROM (SELECT *, v[k + 1] AS y, season[1] AS s FROM {n}_hw{k} WHERE k < n))""",
+            f"{n}_w{k}": f"SELECT * FROM {n}_hw{k} WHERE k = n QUALIFY row_number() OVER (PARTITION BY series ORDER BY sse, a, b, g) = 1",
+        }
+    return out | {f"{n}_best": f"SELECT * FROM {n}_w5"}
+
+
 def models(name: str, train: str) -> dict[str, str]:
     """Forecasts of all five models over the table of a training statement, as ``{name}_all``; names carry a prefix so that
     one statement can fit two histories."""
@@ -48,16 +73,7 @@ def models(name: str, train: str) -> dict[str, str]:
           FROM {n}_train GROUP BY series""",
         f"{n}_ma": f"""SELECT series, final, 0 AS k, CAST(NULL AS DOUBLE) AS f, v[-least(n, 3):] AS w FROM {n}_l
           UNION ALL SELECT series, final, k + 1, list_sum(w) / len(w), list_append(w, list_sum(w) / len(w))[-3:] FROM {n}_ma WHERE k < 12""",
-        f"{n}_g": """SELECT a, b, g FROM (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9]::DOUBLE[]) AS a),
-          (SELECT unnest([0.0, 0.1, 0.3, 0.5]::DOUBLE[]) AS b), (SELECT unnest([0.0, 0.1, 0.3, 0.5]::DOUBLE[]) AS g)""",
-        f"{n}_hw": f"""SELECT series, final, n, v, a, b, g, CAST(12 AS BIGINT) AS k, m + rise * 5.5 AS level, rise AS slope,
-            list_transform(v[1:12], lambda x, i: x - (m + rise * (i - 6.5))) AS season, CAST(0 AS DOUBLE) AS sse
-          FROM (SELECT *, {_sum(1)} AS m, ({_sum(13)} - {_sum(1)}) / 12 AS rise FROM {n}_l WHERE n >= 24), {n}_g
-          UNION ALL SELECT series, final, n, v, a, b, g, k + 1, up, b * (up - level) + (1 - b) * slope,
-            list_append(season[2:12], g * (y - up) + (1 - g) * s), sse + e * e
-          FROM (SELECT *, a * (y - s) + (1 - a) * (level + slope) AS up, y - (level + slope + s) AS e
-                FROM (SELECT *, v[k + 1] AS y, season[1] AS s FROM {n}_hw WHERE k < n))""",
-        f"{n}_best": f"SELECT * FROM {n}_hw WHERE k = n QUALIFY row_number() OVER (PARTITION BY series ORDER BY sse, a, b, g) = 1",
+        **zoomed(n),
         f"{n}_z": f"""SELECT *, avg(t) OVER (PARTITION BY series, p) AS tm, avg(z) OVER (PARTITION BY series, p) AS zm FROM
           (SELECT t.series, final, n, month(month) AS p, CAST(row_number() OVER (PARTITION BY t.series ORDER BY month) - 1 AS DOUBLE) AS t,
            ln(1 + revenue) AS z FROM {n}_train t JOIN {n}_l USING (series) WHERE n >= 24 AND least > -1)""",

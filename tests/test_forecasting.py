@@ -68,27 +68,41 @@ def test_smoothing_continues_a_pure_season_and_follows_a_line(spark):
     assert got["line"][:, 0] == pytest.approx(100 + 5.0 * np.arange(48, 60), abs=1e-6)
 
 
-def test_smoothing_equals_the_plain_recursion(spark):
+def errors(y, a, b, g):
+    """Squared one-step errors and forecasts for arrays of weights."""
+    slope = np.full(len(a), (y[12:24].mean() - y[:12].mean()) / 12)
+    season = [np.full(len(a), y[k] - y[:12].mean() - slope[0] * (k - 5.5)) for k in range(12)]
+    level, sse = y[:12].mean() + slope * 5.5, np.zeros(len(a))
+    for v in y[12:]:
+        s = season.pop(0)
+        e = v - level - slope - s
+        up = a * (v - s) + (1 - a) * (level + slope)
+        slope = b * (up - level) + (1 - b) * slope
+        season.append(g * (v - up) + (1 - g) * s)
+        level, sse = up, sse + e * e
+    return sse, np.array([level + h * slope + season[(h - 1) % 12] for h in range(1, 13)])
+
+
+def grid(*axes):
+    return [x.ravel() for x in np.meshgrid(*axes, indexing="ij")]
+
+
+def test_smoothing_zooms_to_the_best_weights(spark):
     rng = np.random.default_rng(1)
-    y = seasonal(40) + rng.normal(0, 20, 40)
-    tried = []
-    for a in forecasting.LEVELS:
-        for b in forecasting.SLOPES:
-            for g in forecasting.SEASONS:
-                slope = (y[12:24].mean() - y[:12].mean()) / 12
-                season = list(y[:12] - y[:12].mean() - slope * (np.arange(12) - 5.5))
-                level, sse = y[:12].mean() + slope * 5.5, 0.0
-                for v in y[12:]:
-                    s = season.pop(0)
-                    e = v - level - slope - s
-                    up = a * (v - s) + (1 - a) * (level + slope)
-                    slope = b * (up - level) + (1 - b) * slope
-                    season.append(g * (v - up) + (1 - g) * s)
-                    level, sse = up, sse + e * e
-                tried.append((sse, [level + h * slope + season[(h - 1) % 12] for h in range(1, 13)]))
-    sse, want = min(tried, key=lambda t: t[0])
-    got = ahead(forecasting.smoothing(series(spark, a=y)))["a"]
-    assert got[:, 0] == pytest.approx(want) and got[:, 2] - got[:, 0] == pytest.approx(np.full(12, 1.96 * np.sqrt(sse / 28)))
+    walk = 500 + np.cumsum(rng.normal(3, 12, 60))
+    given = dict(noisy=seasonal(40) + rng.normal(0, 20, 40), walk=walk, both=walk + seasonal(60) / 2, drifting=seasonal(72) * np.linspace(1, 1.4, 72) + rng.normal(0, 9, 72))
+    got = ahead(forecasting.smoothing(series(spark, **given)))
+    for name, y in given.items():
+        best = (0.5, 0.5, 0.5)
+        for points, width in forecasting.ZOOM:
+            tried = grid(*(np.linspace(max(0, w - width), min(1, w + width), points) for w in best))
+            sse, forecasts = errors(y, *tried)
+            k = sse.argmin()
+            best = tuple(x[k] for x in tried)
+        fine, _ = errors(y, *grid(*[np.linspace(0, 1, 30)] * 3))
+        assert sse[k] <= 1.04 * fine.min()  # the error has several valleys; the zoom follows the best of the first grid
+        assert got[name][:, 0] == pytest.approx(forecasts[:, k], rel=1e-6)
+        assert got[name][:, 2] - got[name][:, 0] == pytest.approx(np.full(12, 1.96 * np.sqrt(sse[k] / (len(y) - 12))), rel=1e-6)
 
 
 def test_log_linear_equals_least_squares(spark):
