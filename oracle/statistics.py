@@ -111,6 +111,9 @@ MARKED = """SELECT order_id, CAST(sales_amount AS DOUBLE) AS sales_amount,
   CAST(sales_amount AS DOUBLE) NOT BETWEEN low AND high AS iqr_outlier,
   abs(CAST(sales_amount AS DOUBLE) - m) > 3 * s AS z_outlier FROM fact_sales, limits"""
 SQL["m7_outliers"] = star("SELECT * FROM marked WHERE iqr_outlier OR z_outlier", limits=LIMITS, marked=MARKED)
+SQL["m7_outliers_tight"] = star(
+    "SELECT * FROM marked WHERE iqr_outlier OR z_outlier", limits=LIMITS.replace("1.5 *", "0.4 *"), marked=MARKED.replace("> 3 * s", "> 1.75 * s")
+)
 SQL["m7_outlier_summary"] = star(
     f"""SELECT 'iqr' AS method, {r('low')} AS lower, {r('high')} AS upper, hits AS outliers, {pct('hits', 'n')} AS share_pct
     FROM limits, (SELECT count(*) FILTER (iqr_outlier) AS hits FROM marked)

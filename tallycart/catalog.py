@@ -159,6 +159,7 @@ on_star("m5_segment_anova", statistics.segment_anova)
 on_star("m6_rfm_features", statistics.rfm_features)
 on_star("m6_cluster_profile", statistics.cluster_profile)
 on_star("m7_outliers", statistics.outliers)
+on_star("m7_outliers_tight", statistics.outliers, fence=0.4, deviations=1.75)  # the fixture's amounts lie inside the usual fences
 on_star("m7_outlier_summary", statistics.outlier_summary)
 on_star("m8_importance", statistics.importance)
 on_star("m11_price_elasticity", statistics.price_elasticity)

@@ -284,31 +284,31 @@ def cluster_profile(wh: Warehouse, k: int = 4) -> DataFrame:
     )
 
 
-def _limits(wh: Warehouse) -> DataFrame:
+def _limits(wh: Warehouse, fence: float = 1.5) -> DataFrame:
     """One row with the fences of both outlier rules."""
     box = quantiles(wh.sales, "sales_amount", {"q1": 0.25, "q3": 0.75})
     whole = _moments(wh.sales).select("n", _mean().alias("m"), (_variance() * (F.col("n") - 1) / F.col("n")).alias("pv"))
-    reach = (F.col("q3") - F.col("q1")) * 1.5
+    reach = (F.col("q3") - F.col("q1")) * fence
     return box.crossJoin(F.broadcast(whole)).select(
         "n", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"), "m", F.sqrt("pv").alias("sd")
     )
 
 
-def _marked(wh: Warehouse) -> DataFrame:
+def _marked(wh: Warehouse, fence: float = 1.5, deviations: float = 3.0) -> DataFrame:
     value = dbl("sales_amount")
-    return wh.sales.crossJoin(F.broadcast(_limits(wh))).select(
+    return wh.sales.crossJoin(F.broadcast(_limits(wh, fence))).select(
         "order_id",
         value.alias("sales_amount"),
         ((value < F.col("low")) | (value > F.col("high"))).alias("iqr_outlier"),
-        (F.abs(value - F.col("m")) > F.col("sd") * 3).alias("z_outlier"),
+        (F.abs(value - F.col("m")) > F.col("sd") * deviations).alias("z_outlier"),
         "n", "low", "high", "m", "sd",
     )
 
 
-def outliers(wh: Warehouse) -> DataFrame:
+def outliers(wh: Warehouse, fence: float = 1.5, deviations: float = 3.0) -> DataFrame:
     """M7: orders outside the IQR fences or more than three population standard deviations from the mean."""
     columns = ("order_id", "sales_amount", "iqr_outlier", "z_outlier")
-    return _marked(wh).where(F.col("iqr_outlier") | F.col("z_outlier")).select(*columns)
+    return _marked(wh, fence, deviations).where(F.col("iqr_outlier") | F.col("z_outlier")).select(*columns)
 
 
 def outlier_summary(wh: Warehouse) -> DataFrame:
