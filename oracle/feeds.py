@@ -152,3 +152,12 @@ SQL["b7_sliced_returns"] = star(
 SQL["b7_product_detail"] = filtered("product_id = 17", "month", "month")
 SQL["b7_customer_detail"] = filtered("customer_id = 101", "month", "month")
 SQL["b7_store_detail"] = filtered("store_id = 9", "month", "month")
+SQL["b7_cube_total"] = based("")
+SQL["b7_cube_region_category"] = based("region, category", "region, category")
+SQL["b7_cube_segment_channel"] = based("segment, sales_channel", "segment, sales_channel")
+SQL["b7_cube_sliced_months"] = filtered(
+    "region IN ('ASIA', 'EUROPE') AND category = 'ECONOMY' AND sales_channel = 'Online' AND segment IN ('Premium', 'New')", "month", "month"
+)
+SQL["b7_cube_tiers"] = filtered("country IN ('ASIA', 'AFRICA')", "loyalty_tier, category", "loyalty_tier, category").replace(
+    "region, segment,", "region, segment, loyalty_tier, country,"
+)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycart.functions.numeric import dbl, rnd
 from tallycart.plans import (
-    calendar, customers, extract_checks, feeds, forecasting, insights, kpis, measures, places, products, returns, sequences,
+    calendar, cube, customers, extract_checks, feeds, forecasting, insights, kpis, measures, places, products, returns, sequences,
     statistics, stock, views,
 )
 from tallycart.sources.warehouse import Warehouse
@@ -216,6 +216,15 @@ SLICE = {
     "first": dt.date(1998, 1, 15), "last": dt.date(2000, 6, 30),
 }
 on_star("b7_sliced_sales", lambda wh: measures.base(feeds.sliced(wh, **SLICE)))
+# the same questions answered from stored cuboids
+on_star("b7_cube_region_category", lambda wh: cube.cube_of(wh).answer(["region", "category"]))
+on_star("b7_cube_total", lambda wh: cube.cube_of(wh).answer())
+on_star("b7_cube_segment_channel", lambda wh: cube.cube_of(wh).answer(["segment", "sales_channel"]))
+on_star(
+    "b7_cube_sliced_months",
+    lambda wh: cube.cube_of(wh).answer(["month"], region=["ASIA", "EUROPE"], category=["ECONOMY"], sales_channel=["Online"], segment=["Premium", "New"]),
+)
+on_star("b7_cube_tiers", lambda wh: cube.cube_of(wh).answer(["loyalty_tier", "category"], country=["ASIA", "AFRICA"]))
 on_star("b7_sliced_inventory", lambda wh: stock.q50(feeds.sliced(wh, warehouse=[3, 7, 11], category=["ECONOMY"])))
 on_star(
     "b7_sliced_returns",

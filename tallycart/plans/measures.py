@@ -66,7 +66,11 @@ def base(wh: Warehouse, by: Sequence[str] = ()) -> DataFrame:
     )
     paid = refunds_per_order(wh).join(wh.sales, "order_id").groupBy(*fact_keys(by)).agg(F.sum("refunds").alias("refunds"))
     refunds = in_context(wh, paid, by).groupBy(*by).agg(F.sum("refunds").alias("refunds"))
-    both = sold.join(refunds, by, "left") if by else sold.crossJoin(F.broadcast(refunds))
+    return base_of(sold.join(refunds, by, "left") if by else sold.crossJoin(F.broadcast(refunds)), by)
+
+
+def base_of(both: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The base measures of rows with their sums and number of customers."""
     net = F.col("profit") - F.coalesce("refunds", F.lit(0))
     return both.select(
         *by,
