@@ -8,6 +8,7 @@ merges the leftmost place of a word at a time, so the result is that of the usua
 
 Encoded words are kept in a bounded memory per task. Texts are read whole; null counts as empty and has no ids. Special
 tokens are plain text. Rows are independent: repeated ids and extra columns do no harm.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

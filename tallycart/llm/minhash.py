@@ -16,6 +16,7 @@ of less than 2 * (1 - p) ** side (1.5e-4 at 0.85 for tuples of 3 and sides of 10
 
 Texts are read whole. Null and empty texts have an empty set and no links. Rows with a null id take no part. Rows that
 repeat an id are one node. Other columns are left aside.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ their copies and all rows are put in the order of another hash.
 Null sources form one source; a null id takes its text's hash in place of the id. Repeated rows draw the same number.
 Sources missing in given weights have weight 0; without weights, a source's share is its size to the power ``alpha``, over
 the sum of these. Columns of the input pass through untouched; the added ones are kept apart in ``mixed``'s struct.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ queries on one list meet in one task as a whole. Queries that met fewer than k c
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do null
 ids. Equal vectors stand once with their k + 1 smallest ids, which is all that any answer can name. Extra columns are left
 aside; a repeated row with the same id counts once.
+Equal distances go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations

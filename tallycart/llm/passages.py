@@ -18,6 +18,7 @@ A passage that every document holds reaches a range once per part, never once pe
 
 Texts are read whole, as UTF-8; null counts as empty. Rows with a null id neither remove nor lose bytes. Rows that share
 an id don't remove each other's bytes. Extra columns are left aside.
+An empty table gives no rows. Of equal passages the one in the smallest id stays.
 """
 
 from __future__ import annotations

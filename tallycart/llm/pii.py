@@ -9,6 +9,7 @@ host", dotted and bare numbers), and the fixed ``SEEDS``.
 
 Texts are read whole; null counts as empty and gives no spans. Repeated rows and ids are treated one by one, other columns
 are left aside. The scan is row-local; only the sample reaches the driver.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 Every text is read whole. Null and empty texts have no words and fail the base rule. Extra columns of the input are left
 aside; rows with equal or null ids are judged one by one. All work is row-local: no shuffle, no state between rows.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
