@@ -23,7 +23,8 @@ HEADLINE = (
     "d_rank_customer", "m1_correlations", "m5_segment_anova", "m7_outlier_summary", "m10_decomposition", "i1_sales_movement",
     "b7_sliced_sales", "e7_scorecard", "c5_clean_returns", "c6_derive_stores", "c7_derive_warehouses", "c8_refresh_ltv",
     "c10_rules_before_cleaning", "s5_idempotent_load", "m6_cluster_profile", "m8_importance", "e8_outlook", "x1_clean_orders",
-    "x2_stock_alerts", "x3_customer_value", "x4_daily_revenue", "x5_sliding_revenue",
+    "x2_stock_alerts", "x3_customer_value", "x4_daily_revenue", "x5_sliding_revenue", "e4_arima", "e5_sarima",
+    "d_time_category_channel", "v1_after_loads", "b7_cube_region_category",
 )
 
 
