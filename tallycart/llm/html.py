@@ -2,20 +2,23 @@
 
 First pass: every page's containers are scored by the words they hold outside links and page furniture; the best
 container's path (tags with their classes, digits generalised) is the page's vote. Votes are summed per host in Spark and
-each host keeps the ``paths`` with the most votes, if they have a quarter of the first one's. Second pass: a page is
-extracted from all its containers with a winning path; its own best one is used too if that has more than four times their
-words, or alone if there are none. A container beside which notable text stands gives way to the one around both. Text off
-the winning paths is left out below that size, as it is where pages of a host have a long teaser beside a short text.
+each host keeps the ``paths`` with the most votes, if they have a quarter of the first one's (ties to the smaller path).
+Second pass: a page is extracted from all its containers with a winning path, or from its own best one if it has none, and
+from any other container with notable text off these - unless the container's path is part of the host's template: found
+on half of its pages or more, and no winner, as a long teaser beside short texts is. A container beside which notable text
+stands gives way to the one around both.
 
 Blocks are cut where block-level tags open or close. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, hidden parts and reader comments are left out by tag, role, class or id. Pages are read whole; null counts as
+styles, hidden parts and reader comments are left out by tag, role, class or id, but what holds most of a page's words or
+of its article's isn't furniture: a form around the whole page, a hidden body, a header that is an article's own. Pages are read whole; null counts as
 empty and gives an empty text. A null or odd url counts as a host of its own name. Repeated pages are extracted alike;
-extra columns are left aside.
+extra columns are left aside; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -39,8 +42,9 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-#: Elements that are no part of the main text.
-FURNITURE = frozenset(("head", "nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "fieldset", "search", *RAW))
+#: Elements that are no part of the main text, and those that are none unless they hold most of it.
+FURNITURE = frozenset(("head", "nav", "footer", "aside", "menu", "button", "select", "label", "search", *RAW))
+MOSTLY = frozenset(("header", "form", "dialog", "fieldset"))
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"))
 #: Words of classes and ids that mark page furniture.
 MARKS = frozenset(
@@ -80,16 +84,15 @@ SPARING = frozenset(("with", "has", "no", "without"))
 OTHERS = frozenset("comment comments commentlist disqus related replies reply respond".split())
 
 
-def furniture(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in FURNITURE:
-        return True
+def mark(tag: str, attributes: dict[str, str], inside: bool) -> str:
+    """The mark of page furniture: an element's own kind, its role, that it is hidden, or in a class or id a whole name, its
+    last part, or its first before mere position words. The header of an article (``inside`` one) is its own."""
+    if tag in MOSTLY and not (tag == "header" and inside):
+        return tag
+    if attributes.get("role", "").lower() in ROLES:
+        return "role"
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    return attributes.get("role", "").lower() in ROLES
-
-
-def mark(tag: str, attributes: dict[str, str]) -> str:
-    """The mark of page furniture in a class or id: a whole name, its last part, or its first before mere position words."""
+        return "hidden"
     if tag in ("body", "html", "article", "main"):
         return ""
     found = ""
@@ -196,9 +199,10 @@ def parse(html: str) -> Page:
             for a in ATTRIBUTE.finditer(raw):
                 attributes.setdefault(a.group(1).lower(), unescape((a.group(2) or "").strip("\"'")))
         above = nodes[stack[-1]]
-        out = above.out or furniture(tag, attributes)
+        out = above.out or tag in FURNITURE
+        inside = any(nodes[k].tag in ("article", "main") for k in stack)
         path = f"{above.path}/{step(tag, attributes)}" if tag in BLOCK else above.path
-        nodes.append(Node(tag, path, stack[-1], out, above.linked or tag == "a", mark(tag, attributes)))
+        nodes.append(Node(tag, path, stack[-1], out, above.linked or tag == "a", mark(tag, attributes, inside)))
         stack.append(len(nodes) - 1)
     settle(page)
     return page
@@ -211,9 +215,6 @@ WHOLE = {"article": 1.0, "main": 0.9}
 
 #: Words outside links beside the best container, and their share of its own, from which its parent is taken.
 NOTABLE, NOTABLE_SHARE = 10, 0.05
-#: A page's own best container joins the host's paths when it has this many times their words.
-FAR_MORE = 4
-
 
 def containers(page: Page) -> tuple[list[int], list[float], list[float]]:
     """The nearest container of each node; per container its words outside links and furniture less those in links, with
@@ -252,32 +253,46 @@ def best_box(page: Page, box: list[int], full: list[float], fading: list[float])
     return best
 
 
-def best_path(page: Page) -> str | None:
-    best = best_box(page, *containers(page))
-    return None if best is None else page.nodes[best].path
+def voted(page: Page) -> tuple[str | None, set[str]]:
+    """The path of the best container, and those of all containers with text."""
+    box, full, fading = containers(page)
+    best = best_box(page, box, full, fading)
+    held = {n.path for k, n in enumerate(page.nodes) if k and box[k] == k and full[k] > 0}
+    return None if best is None else page.nodes[best].path, held
 
 
-def extract(page: Page, paths: list[str]) -> tuple[str, str | None]:
-    """The text under all of the host's paths that the page has, and under its own best container if that is far longer or
-    there are none; and these paths."""
+def extract(page: Page, paths: list[str], template: list[str] = []) -> tuple[str, str | None]:  # noqa: B006
+    """The text under all of the host's paths that the page has (or under its own best container), and under other containers
+    with notable text off them whose path isn't one of the host's ``template``; and these paths."""
     nodes = page.nodes
     own = {n.path for n in nodes}
     used = [p for p in paths if p in own]
     box, full, fading = containers(page)
-    best = best_box(page, box, full, fading)
 
-    def under(chosen: set[str]) -> list[bool]:
+    def under(chosen: set[str], without: set[str] = frozenset()) -> list[bool]:
         within = [False] * len(nodes)
         for k, n in enumerate(nodes):
-            within[k] = not n.out and (not chosen or n.path in chosen or (n.parent >= 0 and within[n.parent]))
+            within[k] = not n.out and (not chosen or n.path in chosen or (n.parent >= 0 and within[n.parent] and n.path not in without))
         return within
 
-    within = under(set(used))
-    if best is not None:
-        words = sum(len(r[1].split()) * (-1 if nodes[r[0]].linked else 1) for r in page.runs if r and within[r[0]])
-        if not used or full[best] > FAR_MORE * words:
-            used.append(nodes[best].path)
-            within = under(set(used))
+    if used:
+        within, shared = under(set(used)), set(template) - set(used)
+        off = [0] * len(nodes)
+        for run in page.runs:
+            if run and not within[run[0]] and not nodes[run[0]].out:
+                off[run[0]] += -len(run[1].split()) if nodes[run[0]].linked else len(run[1].split())
+        for k in range(len(nodes) - 1, 0, -1):
+            if nodes[k].path not in shared:
+                off[nodes[k].parent] += off[k]
+        more = {n.path for k, n in enumerate(nodes) if k and box[k] == k and not n.out and off[k] >= NOTABLE and n.path not in shared} - set(used)
+        if more:
+            beside = under(more, shared)
+            within = [a or b for a, b in zip(within, beside, strict=True)]
+            used += sorted(more)
+    else:
+        best = best_box(page, box, full, fading)
+        used = [] if best is None else [nodes[best].path]
+        within = under(set(used))
     blocks, current = [], []
     for run in [*page.runs, None]:
         if run is None:
@@ -301,27 +316,35 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, str], int] = {}
+            won, seen, pages = Counter(), Counter(), Counter()
             for host, html in zip(batch.column("host").to_pylist(), texts_of(batch.column("html")), strict=True):
-                path = best_path(parse(html))
-                if path:
-                    counts[host, path] = counts.get((host, path), 0) + 1
-            keys = list(counts)
-            columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(counts.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["host", "path", "n"])
-
-    votes = slim.select("host", "html").mapInArrow(vote, "host string, path string, n long").groupBy("host", "path").agg(F.sum("n").alias("n"))
+                path, held = voted(parse(html))
+                pages[host] += 1
+                won.update([(host, path)] if path else [])
+                seen.update((host, p) for p in held)
+            keys = [*seen, *(k for k in won if k not in seen), *((host, None) for host in pages)]
+            columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string())]
+            columns += [pa.array([won[k] for k in keys], pa.int64()), pa.array([pages[k[0]] if k[1] is None else seen[k] for k in keys], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "path", "n", "seen"])
+
+    counts = slim.select("host", "html").mapInArrow(vote, "host string, path string, n long, seen long")
+    counts = staged(counts.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "votes")
+    votes = counts.where("path is not null and n > 0")
     rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "path"))
     most = F.max("n").over(Window.partitionBy("host"))
     top = votes.withColumn("rank", rank).withColumn("most", most).where((F.col("rank") <= paths) & (F.col("n") * 4 >= F.col("most")))
     winners = top.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
-    winners = staged(winners, "winning-paths")  # of known size: Spark broadcasts it if small, else both sides are shuffled
-    joined = slim.join(winners, "host", "left").select("page_id", "url", "html", "paths")
+    pages_of = counts.where("path is null").select("host", F.col("seen").alias("pages"))
+    rest = counts.where("path is not null").join(pages_of, "host").where("seen * 2 >= pages").join(top.select("host", "path"), ["host", "path"], "left_anti")
+    template = rest.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("template"))  # what half of the pages have: a page's worth or two
+    winners = staged(winners.join(template, "host", "left"), "winning-paths")  # of known size: Spark broadcasts it if small, else both sides are shuffled
+    joined = slim.join(winners, "host", "left").select("page_id", "url", "html", "paths", "template")
     kind = dict(slim.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [extract(parse(h), p or []) for h, p in zip(texts_of(batch.column("html")), batch.column("paths").to_pylist(), strict=True)]
+            given = (texts_of(batch.column("html")), batch.column("paths").to_pylist(), batch.column("template").to_pylist())
+            found = [extract(parse(h), p or [], t or []) for h, p, t in zip(*given, strict=True)]
             texts = [x[0] for x in found]
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([x[1] for x in found], pa.string())], ["page_id", "url", "text", "n_chars", "path"])

@@ -420,6 +420,46 @@ def test_siblings_and_all_winning_paths_are_kept():
     assert html.extract(page, ["/body/div.a"])[0] == f"one two three\n{story}"
 
 
+def test_what_holds_the_text_is_no_furniture():
+    story = ("real words " * 60).strip()
+    for page in (
+        f'<body><form id="aspnetForm"><nav>menu</nav><div class="content"><p>{story}</p></div><input></form><footer>foot</footer></body>',
+        f"<body><header><div>{story}</div></header><footer>foot</footer></body>",
+        f'<body><div role="dialog"><p>{story}</p></div></body>',
+        f'<body style="display:none"><p>{story}</p></body>',
+    ):
+        assert text_of(page) == story
+    lead = ("lead words " * 20).strip()
+    assert text_of(f"<header>site name</header><article><header><h1>Title</h1><p>{lead}</p></header><p>{story}</p><form>your mail <input></form></article>") == f"Title\n{lead}\n{story}"
+    assert text_of(f'<article><p>{story}</p><div hidden>not seen</div><div role="alert">careful</div></article>') == story
+
+
+def test_a_host_leaves_out_its_template_but_no_story(spark):
+    """Brute force: of each page the containers with a winning path and those that few pages of the host have."""
+    teaser, story = ("teaser words " * 30).strip(), ("story words " * 75).strip()
+    usual = lambda k: f"<body><div class='teaser'><p>{teaser} {k}</p></div><div class='strip'><p>{'also read this ' * (3 if k % 2 else 1)}</p></div></body>"
+    rare = f"<body><div class='teaser'><p>{teaser} x</p></div><div class='strip'><p>also read this</p></div><div class='story'><p>{story}</p></div></body>"
+    pages = [(k, "http://b.example/", usual(k)) for k in range(8)] + [(8, "http://b.example/", rare)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got[8] == f"{teaser} x\n{story}"
+    won, seen = Counter(), Counter()
+    for _, _, h in pages:
+        path, held = html.voted(html.parse(h))
+        won[path] += 1
+        seen.update(held)
+    best = sorted(won, key=lambda p: (-won[p], p))[:3]
+    best = [p for p in best if won[p] * 4 >= max(won.values())]
+    template = sorted(p for p in seen if seen[p] * 2 >= len(pages) and p not in best)
+    assert got == {k: html.extract(html.parse(h), best, template)[0] for k, _, h in pages}
+
+
+def test_ties_of_votes_go_to_the_smaller_path(spark):
+    story = ("real words " * 20).strip()
+    pages = [(k, "http://c.example/", f"<body><div class='{'abcd'[k]}'><p>{story}</p></div></body>") for k in range(4)]
+    rows = {r.page_id: (r.text, r.path) for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {k: t for k, (t, _) in rows.items()} == dict.fromkeys(range(4), story)  # the fourth has no winner and is taken by itself
+
+
 def test_hosts_agree_on_a_path(spark):
     body = lambda k: f"<div class='wrap'><div class='story b{k}'><p>{'real words ' * 20}{k}</p></div><div class='teaser'><p>{'short ' * (2 + 40 * (k == 3))}</p></div></div>"
     pages = [(k, f"http://a.example/{k}", body(k), "x") for k in range(6)] + [(None, None, None, "x"), (9, "odd url", "", "y"), (9, "odd url", "", "y")]
