@@ -13,6 +13,7 @@ range, and reads the record's range from its archive. Folders may lie on any fil
 
 Null payloads count as empty, null urls as empty urls with key ")/" ; null ids are written as empty names and read back as
 null. Repeated rows and equal ids are records of their own; extra columns are left aside.
+Of equal payloads the largest id is the response; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from tallycart.llm.common import texts_of
 from tallycart.session import scratch, staged
 
 DATE = "2024-01-01T00:00:00Z"
+#: Bytes of archives that one task reads back: at most, and at least while cores are left.
+READ_MOST, READ_LEAST = 64 << 20, 2 << 20
 
 
 @dataclass(frozen=True)
@@ -257,7 +260,10 @@ def read_archives(wanted: DataFrame, archives: str, index: str, parts: DataFrame
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
             )
 
-    placed = wanted.repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset").select("key", "file", "offset")
+    # a pointer is small and its record is not: the archives' bytes ask for the tasks
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // READ_MOST), min(wanted.sparkSession.sparkContext.defaultParallelism, -(-size // READ_LEAST)))
+    placed = wanted.repartitionByRange(tasks, "key", "file", "offset").sortWithinPartitions("key", "file", "offset").select("key", "file", "offset")
     return placed.mapInArrow(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
 
 
