@@ -14,6 +14,7 @@ import pytest
 
 import corpus_pipeline
 from tallycart.llm import components, minhash, mixing, neighbours, passages, pii, registry, toxicity, warc
+from tallycart.session import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -320,6 +321,32 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect() == []
 
 
+def test_odd_rows_go_through_all_stages(spark):
+    """Nulls in any column, empty and very long texts, repeated ids and rows, tied copies."""
+    text = "plain words of a clean text that says little, mail me at jane.roe@mail.example or not, as you like it best today"
+    rows = [
+        (1, text, "en", "a", 9), (1, text, "en", "a", 9), (1, "another text of the same id", None, "a", None), (2, text, "en", None, 1),
+        (3, None, None, None, None), (4, "", "en", "b", 0), (None, text + " once more", "en", "b", 1), (None, None, None, "b", 1),
+        (5, "long words " * 60_000, "en", "c", 1), (6, "\U0001f600 \u0000 odd \n\n", "xx", "c", -5),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF), f"odd-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        if name == "near_duplicates":
+            ids = [r.doc_id for r in docs.collect()]
+            assert len([k for k in ids if k is not None]) == len({k for k in ids if k is not None}) and 2 not in ids and {3, 4, 5, 6} <= set(ids)
+        if name == "personal_data":
+            assert all("jane.roe@mail.example" not in (r.text or "") for r in docs.collect())
+    texts = Counter((r.doc_id, r.text or "") for r in docs.collect())
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_tiktoken_bpe(str(corpus_pipeline.RANKS)), special_tokens={})
+    got = Counter((r.doc_id, reference.decode(list(r.ids))) for r in corpus_pipeline.encoding(spark, docs, SF).collect())
+    assert got == texts
+
+
 def test_registry_names():
     assert sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in registry.QUERIES) == list(range(1, 14))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
