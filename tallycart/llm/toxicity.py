@@ -224,6 +224,7 @@ def build(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, settin
     kind = dict(examples.dtypes)["doc_id"]
     rows_ = examples.select("doc_id", "toxic", "text").mapInArrow(vectors, f"doc_id {kind}, toxic int, terms binary, counts binary").collect()
     examples.unpersist()
+    sent.destroy()
     drawn = [Example(r.doc_id, r.toxic, np.frombuffer(r.terms, dtype=np.int32), np.frombuffer(r.counts, dtype=np.int32)) for r in rows_]
     worth = idf * emphasis(clean, toxic, found, settings)
     return indexed(drawn, numbers, worth, sizes, found, settings, math.log((1 + n_docs) / 2) + 1)
