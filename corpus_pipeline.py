@@ -8,6 +8,7 @@ say; the first four stages return the columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +24,32 @@ from tallycart.session import staged
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Five words and 0.80; sides of 14 miss a link of exactly that similarity with a chance of 8.7e-5.
 NEAR = Similar(percent=80, side=14)
+#: Bytes of texts that a task takes at once: what it holds of them is a few times that on either side of Arrow.
+BATCH = 8 << 20
 
 
+def in_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with the session's Arrow batches bounded in bytes, so that long texts don't add up."""
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@in_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@in_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_of_each(docs, settings=NEAR)
 
 
+@in_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redacted(docs)
 
@@ -41,6 +58,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+@in_batches
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens(docs, RANKS, public_tokenizers.PATTERN)
 
