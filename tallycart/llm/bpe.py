@@ -257,9 +257,9 @@ class Encoder:
         return b"".join(map(self.ranks.tokens.__getitem__, ids))
 
 
-def tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+def tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, step: int = STEP) -> DataFrame:
     """Per document: number of ids, digests of the ids and of the bytes they decode to, and the ids if wanted. ``path``
-    is a rank file that every executor can open."""
+    is a rank file that every executor can open; a task holds the words of ``step`` characters at once."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = f"doc_id {dict(slim.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
@@ -267,7 +267,7 @@ def tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         encoder = Encoder(path, pattern)
         for batch in batches:
             texts = texts_of(batch.column("text"))
-            for a, b in pieces(texts, STEP):
+            for a, b in pieces(texts, step):
                 counts, id_hashes, hashes, ids = [], [], [], []
                 for words, _ in encoder.encoded(texts[a:b]):
                     listed = ",".join([w[0] for w in words])
