@@ -60,7 +60,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @in_batches
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens(docs, RANKS, public_tokenizers.PATTERN)
+    return tokens(docs, RANKS, public_tokenizers.PATTERN, step=BATCH >> 3)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
