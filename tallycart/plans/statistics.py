@@ -484,5 +484,9 @@ def churn_propensity(wh: Warehouse, cut: dt.date, days: int = 180) -> DataFrame:
     data = staged(rows.select("customer_id", *inputs, "churned"), "churn-rows")
     vectors = VectorAssembler(inputCols=inputs, outputCol="x").transform(data)
     model = LogisticRegression(featuresCol="x", labelCol="churned", regParam=0.001, maxIter=50).fit(vectors)
-    chance = F.get(vector_to_array("probability"), F.lit(1))
-    return model.transform(vectors).select("customer_id", rnd(chance, 6).alias("churn_probability"), F.col("churned").cast("int").alias("churned"))
+    # by the coefficients: the model holds its summary, the summary the session, which no task takes once it has observed metrics
+    margin = F.lit(float(model.intercept))
+    for name, weight in zip(inputs, model.coefficients, strict=True):
+        margin += F.col(name) * F.lit(float(weight))
+    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    return data.select("customer_id", rnd(chance, 6).alias("churn_probability"), F.col("churned").cast("int").alias("churned"))

@@ -7,6 +7,8 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from tallycart.functions import tails
 from tallycart.plans import statistics
@@ -182,3 +184,23 @@ def test_churn_probability_follows_recency(make):
     assert len(rows) == 120 and {r.churned for c, r in rows.items() if c % 2 == 0} == {1}
     assert min(r.churn_probability for c, r in rows.items() if c % 2 == 0) > 0.8
     assert max(r.churn_probability for c, r in rows.items() if c % 2) < 0.2
+
+
+def test_churn_in_a_session_that_has_observed_metrics(spark, make):
+    """Loads observe counts; such a session can't be sent to tasks, and a fitted model holds it by its summary."""
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    data = [sale(50, "2023-02-01" if c % 2 else "2023-12-20", customer=c) for c in range(1, 21)]
+    data += [sale(20, "2024-02-01", customer=c) for c in range(2, 21, 2) if c != 4]
+    wh = make(fact_sales=data)
+    got = statistics.churn_propensity(wh, day("2023-12-31")).collect()
+    chance = {r.customer_id: r.churn_probability for r in got}
+    assert {r.customer_id for r in got if r.churned} == {4, *range(1, 21, 2)}
+    assert len(chance) == 20 and len(set(chance.values())) == 2  # alike customers score alike
+    # the intercept isn't regularised, so the probabilities add up to the number of those who stayed away
+    assert chance[1] > 0.8 and chance[2] < 0.3 and sum(chance.values()) == pytest.approx(11, abs=1e-2)
+    # nobody stays away, or everybody does: the regression has an infinite intercept
+    for back, all_alike in ((["2024-02-01"], 0.0), ([], 1.0)):
+        sales = [sale(50, d, customer=c) for c in (1, 2, 3) for d in ["2023-12-20", *back]]
+        assert {r.churn_probability for r in statistics.churn_propensity(make(fact_sales=sales), day("2023-12-31")).collect()} == {all_alike}
