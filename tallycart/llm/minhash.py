@@ -8,11 +8,13 @@ of less than 2 * (1 - p) ** side (1.5e-4 at 0.85 for tuples of 3 and sides of 10
 1. Documents with equal sets collapse to the one with the smallest id.
 2. Table entries are sorted by key and id over all partitions; runs of one key are kept. A run's first document leads it
    (in each partition it reaches), and each member is compared with its leader: no pairs of a hot bucket are listed.
-3. Confirmed links give components. Members of a run that are in different components by now still have to meet. Runs are
-   packed into blocks of bounded size, blocks of one run are paired, and a task passes on only pairs that meet in this
-   table first, may reach the similarity by size and by their distances from the leader (Jaccard distance is a metric),
-   and agree in enough of ``sketch`` further minhashes of 8 bits: ``slack`` standard deviations below the limit, which
-   loses a link with a chance of 4e-6 at most, less than the tables do. Survivors are confirmed on the full sets.
+3. Confirmed links give components. Members of a run that are in different components by now still have to meet. They are
+   grouped by their tuple of the first side, so that a document stands in ``side`` groups at most, not in as many runs as
+   there are tables. Groups are packed into blocks of bounded size, blocks of one group are paired, and a task passes on
+   only pairs that share a tuple of the second side too and none of the first side before this one, may reach the
+   similarity by size and by their distances from a common leader (Jaccard distance is a metric), and agree in enough of
+   ``sketch`` further minhashes of 8 bits: ``slack`` standard deviations below the limit, which loses a link with a chance
+   of 4e-6 at most, less than the tables do. Survivors not compared before are confirmed on the full sets.
 
 Texts are read whole. Null and empty texts have an empty set and no links. Rows with a null id take no part. Rows that
 repeat an id are one node. Other columns are left aside.
@@ -187,7 +189,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame
 
 
 def met(packs: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of members of one run, in different components, that may be similar enough; each in one table only."""
+    """Pairs of members that meet in a table, in different components, and may be similar enough; each from the group of
+    the first tuple of the first side that they share."""
     s = settings
     share = s.percent / 100
     # two sets of similarity ``share`` agree in a byte as often as in a minhash, and in one of 256 other cases
@@ -204,11 +207,11 @@ def met(packs: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                slot = batch.column("slot")[k].as_py()
+                at = batch.column("tuple")[k].as_py()
                 x, y = (members(batch.column(c)[k].as_py()) for c in ("x", "y"))
                 far = lambda c: (x[c][:, None], y[c][None, :])
                 (a, b), (n, m), (p, q) = far("doc_id"), far("n"), far("label")
-                fits = (a != b) & (p != q) & (a != y["leader"][None, :]) & (b != x["leader"][:, None])
+                fits = (a != b) & (p != q)
                 fits &= np.minimum(n, m) * 100 >= np.maximum(n, m) * s.percent
                 fits &= ~((x["leader"][:, None] == y["leader"][None, :]) & (np.abs(x["gap"][:, None] - y["gap"][None, :]) > 1 - share + 1e-9))
                 if batch.column("same")[k].as_py():
@@ -216,16 +219,16 @@ def met(packs: DataFrame, settings: Settings) -> DataFrame:
                 i, j = np.nonzero(fits)
                 if len(i):
                     equal = x["tuples"][i] == y["tuples"][j]
-                    first = equal[:, : s.side].argmax(axis=1) * s.side + equal[:, s.side :].argmax(axis=1)
-                    i, j = i[first == slot], j[first == slot]
+                    here = equal[:, at] & ~equal[:, :at].any(axis=1) & equal[:, s.side :].any(axis=1)
+                    i, j = i[here], j[here]
                     close = (x["sketch"][i] == y["sketch"][j]).sum(axis=1) >= least
                     i, j = i[close], j[close]
                 u, v = x["doc_id"][i], y["doc_id"][j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
 
-    x = packs.select("key", "slot", F.col("block").alias("i"), F.col("members").alias("x"))
-    y = packs.select("key", F.col("block").alias("j"), F.col("members").alias("y"))
-    joined = x.join(y, "key").where("i <= j").select("slot", "x", "y", (F.col("i") == F.col("j")).alias("same"))
+    x = packs.select("tuple", "key", F.col("block").alias("i"), F.col("members").alias("x"))
+    y = packs.select("tuple", "key", F.col("block").alias("j"), F.col("members").alias("y"))
+    joined = x.join(y, ["tuple", "key"]).where("i <= j").select("tuple", "x", "y", (F.col("i") == F.col("j")).alias("same"))
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -277,16 +280,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     marked = staged(marked, "labelled-buckets")
     runs_ = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
-    open_runs = staged(runs_.where("low < high and members > 2").select("key", "members"), "open-runs")
+    open_runs = staged(runs_.where("low < high and members > 2").select("key"), "open-runs")
+    # tables that share a tuple of the first side are one group here, so a document stands in ``side`` groups at most
+    rest = marked.join(open_runs, "key").withColumn("tuple", (F.col("slot") / s.side).cast("int"))
+    rest = rest.groupBy("doc_id", "tuple").agg(F.min("leader").alias("leader"), F.min("label").alias("label"), F.min("n").alias("n"))
     gap = (F.lit(1.0) - F.col("both") / F.col("union")).alias("gap")
     gaps = first_round.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), gap)
-    rest = marked.join(open_runs, "key").join(gaps, ["leader", "doc_id"], "left")
+    rest = rest.join(gaps, ["leader", "doc_id"], "left")
     rest = rest.withColumn("gap", F.when(F.col("leader") == F.col("doc_id"), F.lit(0.0)).otherwise(F.col("gap")))
-    rest = staged(rest.join(distinct.select("doc_id", "tuples"), "doc_id").join(sets.select("doc_id", "sketch"), "doc_id"), "members-to-compare")
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / s.block)).alias("block")
+    rest = rest.join(distinct.select("doc_id", "tuples"), "doc_id").join(sets.select("doc_id", "sketch"), "doc_id")
+    rest = staged(rest.withColumn("key", F.get("tuples", F.col("tuple"))), "members-to-compare")
+    large = rest.groupBy("tuple", "key").agg(F.count("*").alias("members")).where(F.col("members") > s.block)
+    rest = rest.join(staged(large, "large-groups"), ["tuple", "key"], "left")
+    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.coalesce("members", F.lit(1)) / s.block)).alias("block")
     member = F.struct("doc_id", "label", "leader", "n", "gap", "tuples", "sketch")
-    packs = staged(rest.groupBy("key", "slot", block).agg(F.collect_list(member).alias("members")), "packs")
-    others = staged(met(packs, s), "other-pairs")
+    packs = staged(rest.groupBy("tuple", "key", block).agg(F.collect_list(member).alias("members")), "packs")
+    others = staged(met(packs, s).join(led, ["a", "b"], "left_anti"), "other-pairs")
     second = compared(others, sets).where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     second = staged(second, "links-of-second-round")
     if not second.isEmpty():

@@ -100,6 +100,19 @@ def test_hot_group_stays_whole(spark):
     assert got == {k: c for k, (_, c) in brute_groups(docs).items()}
 
 
+def test_second_round_holds_a_document_once_for_each_tuple(spark, monkeypatch):
+    """Near copies on both sides of the limit share runs in most tables; what meets again must not grow with the tables."""
+    rng, packed, met = random.Random(13), [], minhash.met
+    base = words(rng, 150)
+    docs = [(k, " ".join(edited(rng, base, 0.016))) for k in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "met", lambda packs, settings: packed.append(packs) or met(packs, settings))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, settings=minhash.Settings(block=16)).collect()}
+    assert got == {k: c for k, (_, c) in brute_groups(docs).items()}
+    members = packed[0].selectExpr("sum(size(members))").first()[0]
+    assert len(docs) < members <= minhash.Settings().side * len(docs)
+
+
 def test_near_duplicates_odd_rows(spark):
     long_text = " ".join(str(k) for k in range(40_000))
     rows = [(1, None), (2, ""), (None, "x y z"), (None, "x y z"), (3, "x y z"), (4, "x y z"), (4, "x y z"), (5, long_text), (6, long_text + " end")]
