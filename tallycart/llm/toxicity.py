@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycart.llm.common import beside, texts_of
+from tallycart.llm.common import beside, pieces, texts_of
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -85,23 +86,25 @@ class Index:
         starts = self.edges[rare]
         sizes = self.edges[rare + 1] - starts
         at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        scores = np.bincount(self.rows[at], weights=self.weights[at] * np.repeat(weights[column < 0], sizes), minlength=n).astype(float)
+        scores = np.bincount(self.rows.take(at), weights=self.weights.take(at) * np.repeat(weights[column < 0], sizes), minlength=n).astype(float, copy=False)
         query, column = weights[column >= 0].astype(np.float32), column[column >= 0]
-        upper = np.maximum.reduceat(scores, np.arange(0, n, self.block)) + query @ self.tops[column] + 1e-5  # more than rounding can add
+        upper = np.maximum.reduceat(scores, np.arange(0, n, self.block)) + query @ self.tops.take(column, axis=0) + 1e-5  # more than rounding can add
+        order = np.argsort(-upper, kind="stable")
         best, floor, read = np.zeros(0), -1.0, 0
-        for b in np.argsort(-upper, kind="stable").tolist():
-            if upper[b] < floor:
+        for b, most in zip(order.tolist(), upper[order].tolist(), strict=True):
+            if most < floor:
                 break
             part = scores[b * self.block : (b + 1) * self.block]
             if len(column):
-                part += (query @ self.dense[b][column])[: len(part)]
-            best = np.concatenate([best, part])
-            if len(best) > k:
-                best = np.partition(best, len(best) - k)[-k:]
-            floor, read = best.min() if len(best) == k else -1.0, read + 1
-        met = np.zeros(len(upper), dtype=bool)
-        met[np.argsort(-upper, kind="stable")[:read]] = True
-        rows = np.flatnonzero((scores >= floor) & (scores > 0) & np.repeat(met, self.block)[:n])
+                part += (query @ self.dense[b].take(column, axis=0))[: len(part)]
+            read += 1
+            above = part[part > floor]
+            if len(above):
+                best = np.concatenate([best, above])
+                if len(best) > k:
+                    best = np.partition(best, len(best) - k)[-k:]
+                floor = best.min() if len(best) == k else -1.0
+        rows = np.flatnonzero((scores >= floor) & (scores > 0))  # in blocks not read all stay below their bound, so below the floor
         rows = rows[np.lexsort((self.rank[rows], -scores[rows]))[:k]]
         return rows, scores[rows], read
 
@@ -126,7 +129,7 @@ class Index:
 def read(text: str, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, float]:
     """Index terms of a text with their counts, and the squared weight of its other words."""
     words = Counter(WORD.findall(text.lower()))
-    terms = np.fromiter((numbers.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    terms = np.array(list(map(numbers.get, words, repeat(-1))), dtype=np.int64)
     counts = np.fromiter(words.values(), dtype=np.int64, count=len(words))
     inside = terms >= 0
     others = (1 + np.log(counts[~inside])) ** 2
@@ -169,9 +172,13 @@ def document_counts(docs: DataFrame, text_col: str, sent: Broadcast, size: int)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, get = np.zeros(size + 2, dtype=np.int64), sent.value.get
         for batch in batches:
-            for text in texts_of(batch.column(0)):
-                total[[get(w, size + 1) for w in set(WORD.findall(text.lower()))]] += 1
-                total[size] += 1
+            texts = texts_of(batch.column(0))
+            total[size] += len(texts)
+            for a, b in pieces(texts):
+                met: list[int] = []
+                for text in texts[a:b]:
+                    met += map(get, set(WORD.findall(text.lower())), repeat(size + 1))
+                total += np.bincount(np.array(met, dtype=np.int64), minlength=size + 2)
         total = total[: size + 1]
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["term", "n"])
@@ -208,7 +215,8 @@ def build(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, settin
         examples.unpersist()
         return None
     words, clean, toxic = example_terms(examples)
-    numbers = {t: k for k, t in enumerate(words)}
+    # words of many examples come first: a task keeps those it looks up all the time close together
+    numbers = {words[k]: k for k in np.argsort(-(clean + toxic), kind="stable").tolist()}
     sent = docs.sparkSession.sparkContext.broadcast(numbers)
     n_docs, frequency = document_counts(docs, text_col, sent, len(numbers))
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
@@ -263,7 +271,7 @@ def indexed(drawn: list, numbers: dict[str, int], worth: np.ndarray, sizes: dict
     labels = [marked[k][2] for k in order]
     return Index(
         numbers, worth, outside, np.array([r.doc_id for r in labels], dtype=object), np.array([r.toxic for r in labels], dtype=float),
-        np.array([stands_for[r.toxic] for r in labels]), order, settings.block, edges, now[rows[by_term]], weights[by_term], place, dense,
+        np.array([stands_for[r.toxic] for r in labels]), order, settings.block, edges, now[rows[by_term]].astype(np.intp), weights[by_term], place, dense,
         np.ascontiguousarray(dense.max(axis=2).T) if blocks else np.zeros((len(common), 0), dtype=np.float32), prior, unmarked,
     )
 

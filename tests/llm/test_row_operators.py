@@ -264,6 +264,21 @@ def test_block_max_search_is_exact():
         assert np.allclose(np.sort(scores)[::-1], [c for c in cosines[order] if c > 0], atol=1e-6)
 
 
+def test_terms_are_numbered_in_order_and_kept_by_how_often_examples_hold_them(spark):
+    texts = {k: f"Often rare{k} " + "half " * (k % 2) + "often" * (k == 4) for k in range(12)} | {12: None, 13: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, k % 2) for k in texts], "doc_id long, toxic int")
+    index = toxicity.build(docs, labels, "doc_id", "text", toxicity.Settings())
+    learned = [k for k in texts if zlib.crc32(str(k).encode()) % 5]
+    held = Counter(w for k in learned for w in set(re.findall(r"[^\W_]+", (texts[k] or "").lower())))
+    assert {w: k for k, w in enumerate(sorted(held))} == index.numbers
+    assert [held[w] for w in index.numbers] == sorted(held.values(), reverse=True)
+    everywhere = Counter(w for t in texts.values() for w in set(re.findall(r"[^\W_]+", (t or "").lower())))
+    sent = spark.sparkContext.broadcast(index.numbers)
+    total, counts = toxicity.document_counts(docs, "text", sent, len(held))
+    assert total == 14 and {w: counts[k] for w, k in index.numbers.items()} == {w: everywhere[w] for w in held}
+
+
 def test_blocks_below_the_kth_cosine_are_skipped():
     """Examples of eight languages: a text of one reads the blocks of its own, and finds what all examples would give."""
     rng = np.random.default_rng(3)
