@@ -8,9 +8,11 @@ of less than 2 * (1 - p) ** side (1.5e-4 at 0.85 for tuples of 3 and sides of 10
 1. Documents with equal sets collapse to the one with the smallest id.
 2. Table entries are sorted by key and id over all partitions; runs of one key are kept. A run's first document leads it
    (in each partition it reaches), and each member is compared with its leader: no pairs of a hot bucket are listed.
-3. Confirmed links give components. Members of a run that are in different components by now still have to meet. They are
-   grouped by their tuple of the first side, so that a document stands in ``side`` groups at most, not in as many runs as
-   there are tables. Groups are packed into blocks of bounded size, blocks of one group are paired, and a task passes on
+3. Confirmed links give components. Members of a run that are in different components by now still have to meet. Runs with
+   one tuple of the first side and one first document are taken together: a document stands in few such families, not in
+   as many runs as there are tables, and a family whose members all are in its first document's component is settled.
+   Members of the others are grouped by their tuple of the first side, so that a document stands in ``side`` groups at
+   most. Groups are packed into blocks of bounded size, blocks of one group are paired, and a task passes on
    only pairs that share a tuple of the second side too and none of the first side before this one, may reach the
    similarity by size and by their distances from a common leader (Jaccard distance is a metric), and agree in enough of
    ``sketch`` further minhashes of 8 bits: ``slack`` standard deviations below the limit, which loses a link with a chance
@@ -276,13 +278,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = first_round.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(links)
 
-    # the second round: members of one run in different components
-    marked = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    marked = staged(marked, "labelled-buckets")
-    runs_ = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
-    open_runs = staged(runs_.where("low < high and members > 2").select("key"), "open-runs")
-    # tables that share a tuple of the first side are one group here, so a document stands in ``side`` groups at most
-    rest = marked.join(open_runs, "key").withColumn("tuple", (F.col("slot") / s.side).cast("int"))
+    # the second round: members of one run in different components. Runs of one first-side tuple and one first document are
+    # a family, which is open if a member's component isn't the first document's: a document is not met once for each table
+    slim_runs = buckets.where("not edge").select("slot", "doc_id", "n", "leader", F.col("leader").alias("top"))
+    slim_runs = slim_runs.unionByName(buckets.where("edge").join(tops, "key").select("slot", "doc_id", "n", "leader", "top"))
+    family = F.floor(F.col("slot") / s.side).cast("int").alias("tuple")
+    families = slim_runs.groupBy(family, "top", "doc_id").agg(F.min("leader").alias("leader"), F.min("n").alias("n"))
+    label = lambda at: labels.select(F.col("node").alias(at), F.col("label").alias(f"{at}_label"))
+    families = families.join(label("doc_id"), "doc_id", "left").join(label("top"), "top", "left")
+    families = families.withColumn("label", F.coalesce("doc_id_label", "doc_id")).withColumn("loose", F.col("label") != F.coalesce("top_label", "top"))
+    families = staged(families.select("tuple", "top", "doc_id", "leader", "n", "label", "loose"), "families")
+    open_families = families.groupBy("tuple", "top").agg(F.max("loose").alias("open"), F.count("*").alias("members"))
+    open_families = staged(open_families.where("open and members > 2").select("tuple", "top"), "open-families")
+    # families of one tuple of the first side are one group here, so a document stands in ``side`` groups at most
+    rest = families.join(open_families, ["tuple", "top"], "left_semi")
     rest = rest.groupBy("doc_id", "tuple").agg(F.min("leader").alias("leader"), F.min("label").alias("label"), F.min("n").alias("n"))
     gap = (F.lit(1.0) - F.col("both") / F.col("union")).alias("gap")
     gaps = first_round.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), gap)

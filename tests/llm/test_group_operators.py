@@ -113,6 +113,22 @@ def test_second_round_holds_a_document_once_for_each_tuple(spark, monkeypatch):
     assert len(docs) < members <= minhash.Settings().side * len(docs)
 
 
+def test_joins_of_the_second_round_meet_families_not_entries(spark, monkeypatch):
+    """Near copies around the limit fill most tables; no join may put out a row for each of a document's entries there."""
+    rng, joined, written = random.Random(13), [], {}
+    kind, join, stage = type(spark.range(0)), type(spark.range(0)).join, minhash.staged
+    base = words(rng, 150)
+    docs = [(k, " ".join(edited(rng, base, 0.016))) for k in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "staged", lambda frame, name: written.setdefault(name, stage(frame, name)))
+    monkeypatch.setattr(kind, "join", lambda x, *given: joined.append(join(x, *given)) or joined[-1])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, settings=corpus_pipeline.NEAR).collect()}
+    assert got == {k: c for k, (_, c) in brute_groups(docs, corpus_pipeline.NEAR.percent).items()}
+    entries = written["buckets"].count()
+    most = max(x.count() for x in joined if {"slot", "tuple"} & {*x.columns})
+    assert entries > 40 * len(docs) and most < entries / 2
+
+
 def test_near_duplicates_odd_rows(spark):
     long_text = " ".join(str(k) for k in range(40_000))
     rows = [(1, None), (2, ""), (None, "x y z"), (None, "x y z"), (3, "x y z"), (4, "x y z"), (4, "x y z"), (5, long_text), (6, long_text + " end")]
