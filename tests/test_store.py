@@ -5,15 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import random
+import time
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tallycart import Warehouse
 from tallycart.operators import integrity
 from tallycart.plans import views
 from tallycart.plans.refreshed import Views
-from tallycart.session import scratch
+from tallycart.session import LEAN, scratch, shared_dir
 from tallycart.sources import keyindex, layout, loading
 from tests.conftest import sale
 
@@ -164,8 +166,6 @@ def skipped(files, column, value):
 
 
 def test_filters_on_every_key_skip_most_row_groups(spark, make):
-    from tallycart import Warehouse
-
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
     before = {k: spark.conf.get(k) for k in names}
     try:
@@ -190,3 +190,47 @@ def test_limits_of_few_or_no_rows(spark, make):
     assert loading.write_table(wh.sales, "fact_sales", scratch(spark, "one"))[0].rows == 1
     none, counts = loading.write_table(wh.sales.where(F.lit(False)), "fact_sales", scratch(spark, "none"))
     assert (none.rows, none.low) == (0, None) and set(counts.values()) == {0}
+
+
+def shuffle_files(spark):
+    """Shuffle files that the session holds."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+
+
+def staged_names(spark):
+    return {f for f in glob.glob(f"{shared_dir(spark).removeprefix('file://')}/scratch/*/*")}
+
+
+def test_loads_leave_neither_shuffle_files_nor_staged_frames(make, spark, monkeypatch):
+    monkeypatch.setattr(keyindex, "DIRECT", 0)
+    folder, settings = scratch(spark, "store"), {k: spark.conf.get(k, None) for k in LEAN}
+    tables = [batch(make, range(60)), batch(make, [*range(30, 90), 70])]
+    files, names = shuffle_files(spark), staged_names(spark)
+    for some in tables:
+        loading.load_all(some, folder)
+    for _ in range(40):  # files go beside the main thread
+        if not (left := shuffle_files(spark) - files):
+            break
+        time.sleep(0.25)
+    assert not left and not {f for f in staged_names(spark) - names if not f.endswith("/store")}
+    assert {k: spark.conf.get(k, None) for k in LEAN} == settings
+    assert sorted(r.order_id for r in loading.stored_warehouse(spark, folder).sales.collect()) == [f"o{k:06d}" for k in range(90)]
+
+
+def test_order_lines_go_once_both_facts_are_written(spark, tmp_path):
+    for name in ("region", "part", "orders", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    wh = Warehouse.open(spark, str(tmp_path))
+    lines = spark.read.parquet(f"{tmp_path}/lineitem.parquet").count()
+    before, files = staged_names(spark), shuffle_files(spark)
+    sales = wh.sales
+    assert any(f.endswith("/lines") for f in staged_names(spark) - before)
+    returns = wh.returns
+    assert not [f for f in staged_names(spark) - before if f.endswith("/lines")]
+    for _ in range(40):
+        if not (left := shuffle_files(spark) - files):
+            break
+        time.sleep(0.25)
+    assert not left
+    assert sales.count() == lines and returns.count() > 0 and wh.sales.count() == lines
