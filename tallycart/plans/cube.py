@@ -1,9 +1,11 @@
 """Totals under any combination of slicers from stored cuboids, without reading a fact again.
 
-The facts are reduced once to the base cuboid: one row per combination of all slicer attributes, with additive measures and
-the distinct customers as bitmaps of 32,768 ids. The sizes of all cuboids come from one CUBE over it; further ones are chosen
-greedily by the rows they save over all questions (each set of attributes once) and made by one GROUPING SETS. A question is
-answered from the smallest cuboid that holds its slicers and its grouping.
+The facts are reduced once to the base cuboid: one row per combination of all slicer attributes with additive measures, and
+beside it the distinct customers as 64-bit words (the combination, customer_id / 64, a bit for each customer): a sparse cuboid
+has a row for each of its customers, a dense one for 64 of them. The sizes of all cuboids come from one CUBE over it; further
+ones are chosen greedily by the rows they save over all questions (each set of attributes once). A question is answered from the
+smallest cuboid that holds its slicers and its grouping, sums and customers each from theirs. Cuboids of customers keep all
+customer attributes: a customer has one value of each, so dropping them saves no row, and fewer cuboids are made.
 """
 
 from __future__ import annotations
@@ -14,29 +16,30 @@ from itertools import chain, combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycart.plans.measures import base_of, fact_keys, in_context
-from tallycart.plans.rollups import money, refunds_per_order
-from tallycart.session import scratch, staged
+from tallycart.plans.measures import ATTRIBUTES, base_of, fact_keys, in_context
+from tallycart.plans.rollups import refunds_per_order
+from tallycart.session import lean, passing, scratch, staged
 from tallycart.sources.warehouse import Warehouse
 
 SLICERS = ("category", "region", "sales_channel", "segment", "loyalty_tier", "country", "month")
 SUMS = ("revenue", "profit", "orders", "units", "discounts", "refunds")
+SUM_TYPES = {"decimal(38,2)": ("revenue", "profit", "refunds"), "decimal(35,3)": ("discounts",), "bigint": ("orders", "units")}
 
 
 def base_cuboid(wh: Warehouse, slicers: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Sums and customers per combination of slicers. Facts are reduced by their keys before any dimension is joined."""
-    keys = [*dict.fromkeys(["customer_id", *slicers])]
-    none = F.lit(None).cast("decimal(22,2)")
-    sold = wh.sales.groupBy(*fact_keys(keys)).agg(*money())
-    sold = in_context(wh, sold, slicers).withColumn("refunds", none)
-    paid = refunds_per_order(wh).join(wh.sales, "order_id").groupBy(*fact_keys(slicers)).agg(F.sum("refunds").alias("refunds"))
-    paid = in_context(wh, paid, slicers)
-    rows = sold.groupBy(*slicers).agg(*(F.sum(c).alias(c) for c in SUMS))
-    back = paid.groupBy(*slicers).agg(F.sum("refunds").alias("refunds"))
-    whole = rows.unionByName(back, allowMissingColumns=True).groupBy(*slicers).agg(*(F.sum(c).alias(c) for c in SUMS))
-    place = F.bitmap_bit_position("customer_id")
-    buyers = sold.groupBy(*slicers, F.bitmap_bucket_number("customer_id").alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bits"))
-    return whole, buyers
+    """Sums and customers per combination of slicers. Sales and the refunds of their orders meet the dimensions once, stacked; what is
+    staged here, and the frames returned, are for a block of ``passing``."""
+    keys = fact_keys(["customer_id", *slicers])
+    amounts = {"revenue": F.col("sales_amount"), "profit": F.col("profit"), "orders": F.lit(1).cast("bigint"), "units": F.col("quantity"), "discounts": F.col("discount")}
+    sold = wh.sales.select(*keys, *(value.alias(name) for name, value in amounts.items()))
+    paid = staged(refunds_per_order(wh).join(wh.sales, "order_id").select(*keys, "refunds"), "paid")
+    rows = in_context(wh, sold.unionByName(paid, allowMissingColumns=True), slicers)
+    rows = staged(rows.select(*dict.fromkeys([*slicers, "customer_id"]), *SUMS), "rows-in-context")
+    wide = {name: kind for kind, names in SUM_TYPES.items() for name in names}
+    sums = rows.groupBy(*slicers).agg(*(F.sum(c).cast(wide[c]).alias(c) for c in SUMS))
+    bit = F.expr("shiftleft(1L, cast(customer_id & 63 as int))")
+    buyers = rows.groupBy(*slicers, F.expr("shiftright(customer_id, 6)").alias("word")).agg(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("bits"))
+    return sums, buyers
 
 
 def subsets(names: Sequence[str]) -> list[frozenset[str]]:
@@ -77,20 +80,34 @@ class Cube:
             raise ValueError("distinct customers need numeric ids")
         self.spark, self.slicers = wh.spark, tuple(slicers)
         self.folder = folder or scratch(wh.spark, "cube")
-        sums, buyers = (staged(f, "base-cuboid") for f in base_cuboid(wh, self.slicers))
+        needed = ("fact_sales", "fact_returns", *(ATTRIBUTES[a][1] for a in self.slicers if a in ATTRIBUTES))
+        tables = {name: wh.table(name) for name in dict.fromkeys(needed)}  # before the block: a star's tables outlive it
+        with lean(self.spark), passing(self.spark):
+            self._build(Warehouse.of(wh.spark, tables), cuboids)
+
+    def _build(self, wh: Warehouse, cuboids: int) -> None:
+        sums, buyers = base_cuboid(wh, self.slicers)
+        sums = staged(sums, "base-cuboid")
+        whole = frozenset(self.slicers)
         places = {s: sum(1 << (len(self.slicers) - 1 - k) for k, a in enumerate(self.slicers) if a not in s) for s in subsets(self.slicers)}
         counted = sums.cube(*self.slicers).agg(F.grouping_id().alias("g")).groupBy("g").count()
         counts = {r.g: r["count"] for r in counted.collect()}  # a row per set of attributes
         self.sizes = {s: counts.get(g, 0) for s, g in places.items()}
-        self.held = chosen(self.sizes, frozenset(self.slicers), cuboids)
+        self.held = chosen(self.sizes, whole, cuboids)
         sets = [[F.col(a) for a in self.slicers if a in s] for s in self.held]
         self.places = {s: places[s] for s in self.held}
         columns = [F.col(a) for a in self.slicers]
         made = sums.groupingSets(sets, *columns).agg(F.grouping_id().alias("cuboid"), *(F.sum(c).alias(c) for c in SUMS))
         made.repartition("cuboid").write.partitionBy("cuboid").parquet(f"{self.folder}/sums")
-        with_bucket = [[*s, F.col("bucket")] for s in sets]
-        bits = buyers.groupingSets(with_bucket, *columns, F.col("bucket")).agg(F.grouping_id().alias("g"), F.bitmap_or_agg("bits").alias("bits"))
-        bits.withColumn("cuboid", F.shiftright("g", 1)).drop("g").repartition("cuboid").write.partitionBy("cuboid").parquet(f"{self.folder}/buyers")
+        of_customer = {a for a in self.slicers if ATTRIBUTES.get(a, ("",))[0] == "customer_id"}
+        self.buyers = {}
+        for held in dict.fromkeys(s | of_customer for s in self.held):
+            path = f"{self.folder}/buyers/cuboid={places[held]}"
+            kept = [a for a in self.slicers if a in held]
+            (buyers if held == whole else buyers.groupBy(*kept, "word").agg(F.bit_or("bits").alias("bits"))).write.parquet(path)
+            if held == whole:  # comes first
+                buyers = self.spark.read.schema(buyers.schema).parquet(path)
+            self.buyers[held] = (self.spark.read.parquet(path).count(), path)
 
     def smallest(self, needed: Iterable[str]) -> frozenset[str]:
         """The smallest stored cuboid with these attributes."""
@@ -101,16 +118,17 @@ class Cube:
 
     def answer(self, by: Sequence[str] = (), **slices: Sequence) -> DataFrame:
         """The base measures by any slicers, of the rows whose slicers have one of the given values."""
-        cuboid = self.places[self.smallest([*by, *(a for a, values in slices.items() if values)])]
+        wanted = {*by, *(a for a, values in slices.items() if values)}
+        cuboid = self.places[self.smallest(wanted)]
+        _, path = min(at for held, at in self.buyers.items() if wanted <= held)
 
-        def kept(name: str) -> DataFrame:
-            rows = self.spark.read.parquet(f"{self.folder}/{name}").where(F.col("cuboid") == cuboid)
+        def kept(rows: DataFrame) -> DataFrame:
             for attribute, values in slices.items():
                 rows = rows.where(F.col(attribute).isin(*values)) if values else rows
             return rows
 
         keys: list[str | Column] = list(by)
-        sums = kept("sums").groupBy(*keys).agg(*(F.sum(c).alias(c) for c in SUMS))
-        whole = kept("buyers").groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        buyers = whole.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias("customers"))
+        sums = kept(self.spark.read.parquet(f"{self.folder}/sums").where(F.col("cuboid") == cuboid)).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in SUMS))
+        whole = kept(self.spark.read.parquet(path)).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
+        buyers = whole.groupBy(*keys).agg(F.sum(F.bit_count("bits")).alias("customers"))
         return base_of(sums.join(buyers, list(by), "left") if by else sums.crossJoin(F.broadcast(buyers)), by)

@@ -8,6 +8,7 @@ import pytest
 
 from tallycart import Warehouse
 from tallycart.plans import cube, feeds, measures
+from tests.conftest import sale
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,3 +78,18 @@ def test_text_ids_are_refused(make):
     tables["fact_sales"] = wh.sales.withColumn("customer_id", F.lit("K1"))
     with pytest.raises(ValueError, match="numeric"):
         cube.Cube(Warehouse.of(wh.spark, tables))
+
+
+def test_customers_of_sparse_combinations_take_little_room(make, spark):
+    """Two customers far apart in each of many combinations: 4 KB for each of them before."""
+    people = [dict(customer_id=k * 40_000, loyalty_tier=t) for k, t in zip(range(-20, 20), ["Gold", "Silver"] * 20)]
+    sales = [sale(5, f"2024-{k % 12 + 1:02d}-03", customer=k % 40 * 40_000 - 800_000, product=k % 3 + 1, sale_region="North") for k in range(600)]
+    wh = make(dim_customers=people, dim_products=[dict(product_id=k, category=f"C{k}") for k in (1, 2, 3)], fact_sales=sales)
+    made = cube.Cube(wh, cuboids=4)
+    for by in ([], ["month"], ["loyalty_tier"], ["category", "month"]):
+        assert rows(made.answer(by)) == rows(measures.base(wh, by))
+    paths = [path for _, path in made.buyers.values()]
+    stored = spark.read.parquet(paths[0])
+    assert {kind for _, kind in stored.dtypes} <= {"string", "date", "bigint"}  # words, no binaries
+    assert stored.count() == wh.sales.select("customer_id", "product_id", "order_date").distinct().count()
+    assert len(set(paths)) <= len(made.held)
